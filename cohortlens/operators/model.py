@@ -91,8 +91,8 @@ def estimator(model: str, num_trees: int = DEFAULT_TREES):
     raise ValueError(f"model must be one of {MODELS}, got {model!r}")
 
 
-def confusion(pairs: DataFrame) -> DataFrame:
-    """A11 + A12 + P7 + P8: one row of counts, fractions and error.
+def confusion(pairs: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """A11 + A12 + P7 + P8: counts, fractions and error (per ``by`` group).
 
     ``pairs`` has ``label`` and ``prediction`` (0/1). One aggregate replaces
     a count per cell; an empty input gives NULL error, not a failure.
@@ -102,7 +102,7 @@ def confusion(pairs: DataFrame) -> DataFrame:
     def cnt(cond):
         return F.count(F.when(cond, F.lit(1)))
 
-    counts = pairs.agg(
+    counts = pairs.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
         cnt((lab == 0) & (pred == 0)).alias("tn"),
         cnt((lab == 1) & (pred == 1)).alias("tp"),
@@ -112,7 +112,7 @@ def confusion(pairs: DataFrame) -> DataFrame:
     )
     n = F.col("n")
     return counts.select(
-        "n", "tn", "tp", "fp", "fn", "errors",
+        *by, "n", "tn", "tp", "fp", "fn", "errors",
         F.try_divide(F.col("tn"), n).alias("tn_frac"),
         F.try_divide(F.col("tp"), n).alias("tp_frac"),
         F.try_divide(F.col("fp"), n).alias("fp_frac"),

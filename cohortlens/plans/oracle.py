@@ -76,7 +76,7 @@ T_SCORES_ALL = _with(_LONG_COHORT, _STATS.format(k=10)) + f"""
 SELECT cluster, {_ROUND_T}, n_case, n_control FROM tscores"""
 
 TOP_K_CLUSTERS = _with(_LONG_COHORT, _STATS.format(k=10)) + f"""
-SELECT rank, cluster, {_ROUND_T} FROM ranked"""
+SELECT CAST(rank AS INTEGER) AS rank, cluster, {_ROUND_T} FROM ranked"""
 
 CLUSTER_LOOKUP = _with(_LONG_COHORT, _STATS.format(k=10)) + f"""
 SELECT cluster, {_ROUND_T}, n_case, n_control FROM tscores WHERE cluster = 'Brand#12'"""
@@ -97,9 +97,173 @@ SELECT w.grp, w.sample_id, CASE WHEN w.grp = 'case' THEN 1.0 ELSE 0.0 END::DOUBL
 FROM wide w LEFT JOIN background b ON w.sample_id = b.sample_id"""
 
 TAGGED_UNION = _with(_LONG_COHORT) + """
-SELECT sample_id, grp, 0 AS tag FROM cohort WHERE grp = 'control'
+SELECT sample_id, grp, CAST(0 AS INTEGER) AS tag FROM cohort WHERE grp = 'control'
 UNION ALL
-SELECT sample_id, grp, 1 AS tag FROM cohort WHERE grp = 'case'"""
+SELECT sample_id, grp, CAST(1 AS INTEGER) AS tag FROM cohort WHERE grp = 'case'"""
+
+
+# ---- wide binding: embeddings rendered as text, part as annotation -------------
+
+_WIDE = """
+lines AS (
+  SELECT DISTINCT 'PATIENT_ID,DIAGNOSIS,' ||
+         array_to_string(list_transform(range(0, len(embedding)), lambda i: CAST(i AS VARCHAR)), ',')
+         AS value
+  FROM embeddings
+  UNION ALL
+  SELECT concat_ws(',', CAST(vec_id AS VARCHAR), CAST(label AS VARCHAR),
+         array_to_string(list_transform(embedding,
+           lambda x: CAST(CAST(round(CAST(x AS DOUBLE) * 1e6) AS BIGINT) AS VARCHAR)), ','))
+  FROM embeddings),
+wrows AS (SELECT string_split(value, ',') AS cells FROM lines),
+ann_lines AS (
+  SELECT concat_ws(',', p_brand, p_type, species, CAST(count(*) AS VARCHAR),
+                   array_to_string(list_sort(list_distinct(list(member))), ';')) AS value
+  FROM (SELECT p_brand, p_type,
+               ['Human', 'Mouse', 'Rat', 'Zebrafish', 'Yeast'][(p_size % 5) + 1] AS species,
+               CAST(p_partkey % 64 AS VARCHAR) AS member
+        FROM part)
+  GROUP BY p_brand, p_type, species),
+ann AS (SELECT string_split(value, ',') AS c FROM ann_lines),
+annotation AS (SELECT c[1] AS cluster, c[3] AS species, c[5] AS members FROM ann
+               WHERE c[3] = 'Human'),
+membership AS (SELECT cluster, unnest(string_split(members, ';')) AS feature_id FROM annotation),
+positions AS (
+  SELECT DISTINCT feature_id, CAST(position AS INTEGER) AS position FROM (
+    SELECT unnest(cells) AS feature_id, unnest(generate_series(0, len(cells) - 1)) AS position
+    FROM wrows WHERE cells[1] = 'PATIENT_ID')),
+pos_map AS (SELECT p.position, m.cluster FROM membership m JOIN positions p
+            ON m.feature_id = p.feature_id),
+wcohort AS (
+  SELECT cells[1] AS sample_id,
+         CASE WHEN cells[2] IN ('1') THEN 'control'
+              WHEN cells[2] IN ('4', '5') THEN 'case' END AS grp,
+         cells
+  FROM wrows),
+cohort AS (SELECT sample_id, grp, cells FROM wcohort WHERE grp IS NOT NULL),
+sizes AS (SELECT grp, count(*) AS n FROM cohort GROUP BY grp),
+exploded AS (
+  SELECT sample_id, grp, unnest(cells) AS raw,
+         unnest(generate_series(0, len(cells) - 1)) AS position
+  FROM cohort),
+cells AS (
+  SELECT sample_id, grp, CAST(position AS INTEGER) AS position, TRY_CAST(raw AS DOUBLE) AS value
+  FROM exploded WHERE position >= 2 AND TRY_CAST(raw AS DOUBLE) IS NOT NULL),
+scores AS (
+  SELECT c.grp, m.cluster, c.sample_id, sum(c.value) AS score
+  FROM cells c JOIN pos_map m ON c.position = m.position
+  GROUP BY c.grp, m.cluster, c.sample_id)"""
+
+DELIMITED_PARSE = _with(_WIDE) + """
+SELECT cells[1] AS sample_id, cells[2] AS code, CAST(len(cells) AS BIGINT) AS n_cells,
+       CAST(coalesce(list_sum(list_transform(cells,
+         lambda x, i: CASE WHEN i >= 3 THEN TRY_CAST(x AS BIGINT) END)), 0) AS BIGINT) AS value_sum
+FROM wrows"""
+
+ANNOTATION_EXPLODE = _with(_WIDE) + "\nSELECT cluster, feature_id FROM membership"
+
+HEADER_POSITIONS = _with(_WIDE) + "\nSELECT feature_id, position FROM positions"
+
+POSITION_CLUSTER_MAP = _with(_WIDE) + "\nSELECT position, cluster FROM pos_map"
+
+UNPIVOT_LONG = _with(_WIDE) + "\nSELECT sample_id, grp, position, value FROM cells"
+
+COHORT_STATS_WIDE = _with(_WIDE, _STATS.format(k=10)) + """
+SELECT grp, cluster, n, n_scored, round(mean, 6) AS mean, round(sd, 6) AS sd FROM stats"""
+
+TOP_K_CLUSTERS_WIDE = _with(_WIDE, _STATS.format(k=10)) + f"""
+SELECT CAST(rank AS INTEGER) AS rank, cluster, {_ROUND_T} FROM ranked"""
+
+SAMPLE_FEATURES_WIDE = _with(_WIDE, _STATS.format(k=10)) + f"""
+SELECT s.grp, s.sample_id, CASE WHEN s.grp = 'case' THEN 1.0 ELSE 0.0 END::DOUBLE AS label,
+       {_features(10)}
+FROM scores s JOIN ranked r ON s.cluster = r.cluster
+GROUP BY s.grp, s.sample_id"""
+
+_BUCKET = "('0x' || substr(md5(CAST({id} AS VARCHAR)), 1, 8))::BIGINT % 200"
+_FOLD = "CASE WHEN {b} < 67 THEN 0 WHEN {b} < 134 THEN 1 ELSE 2 END"
+
+FOLD_ASSIGNMENT = f"""
+SELECT vec_id AS sample_id, {_FOLD.format(b="b")} AS fold,
+       CASE WHEN b < 140 THEN 'train' ELSE 'test' END AS holdout
+FROM (SELECT vec_id, {_BUCKET.format(id="vec_id")} AS b FROM embeddings)"""
+
+# ---- background and fixed-width text ------------------------------------------
+
+BACKGROUND_PARSE = """
+WITH lines AS (
+  SELECT c_mktsegment || ' customers:' || CAST(count(*) AS VARCHAR) AS value
+  FROM customer GROUP BY c_mktsegment
+  UNION ALL
+  SELECT concat_ws(',', CAST(o_orderkey AS VARCHAR),
+                   CAST(CAST(floor(c_acctbal) AS INTEGER) AS VARCHAR), o_orderstatus, c_mktsegment)
+  FROM orders JOIN customer ON o_custkey = c_custkey),
+p AS (SELECT value, string_split(value, ',') AS c,
+             TRY_CAST(trim(string_split(value, ',')[2]) AS INTEGER) AS age FROM lines),
+q AS (SELECT *, (len(c) = 4 AND age IS NOT NULL) AS ok FROM p)
+SELECT CASE WHEN ok THEN c[1] END AS sample_id, CASE WHEN ok THEN age END AS age,
+       CASE WHEN ok THEN c[3] END AS sex, CASE WHEN ok THEN c[4] END AS education,
+       CASE WHEN NOT ok THEN value END AS _corrupt_record
+FROM q"""
+
+FIXED_WIDTH_GROUPS = """
+WITH lines AS (
+  SELECT 'PATIENT_ID,DIAGNOSIS,STATUS' AS value
+  UNION ALL
+  SELECT concat_ws(',', lpad(CAST(o_orderkey AS VARCHAR), 12, '0'),
+                   substr(o_orderpriority, 1, 1), o_orderstatus)
+  FROM orders),
+g AS (SELECT substr(value, 14, 1) AS key, count(*) AS n_lines FROM lines GROUP BY 1)
+SELECT key, n_lines,
+       CASE WHEN TRY_CAST(key AS INTEGER) = 1 THEN 'control'
+            WHEN TRY_CAST(key AS INTEGER) > 3 AND TRY_CAST(key AS INTEGER) < 6 THEN 'case'
+       END AS grp
+FROM g WHERE TRY_CAST(key AS INTEGER) IS NOT NULL"""
+
+# ---- evaluation pairs -----------------------------------------------------------
+
+_PAIRS = """
+pairs AS (SELECT doc_id, CAST(quality AS DOUBLE) AS label,
+                 CAST(1 - toxic AS DOUBLE) AS prediction FROM labels)"""
+
+CONFUSION_MATRIX = _with(_PAIRS) + """,
+c AS (
+  SELECT count(*) AS n,
+         count(*) FILTER (WHERE label = 0 AND prediction = 0) AS tn,
+         count(*) FILTER (WHERE label = 1 AND prediction = 1) AS tp,
+         count(*) FILTER (WHERE label = 0 AND prediction = 1) AS fp,
+         count(*) FILTER (WHERE label = 1 AND prediction = 0) AS fn,
+         count(*) FILTER (WHERE label <> prediction) AS errors
+  FROM pairs)
+SELECT n, tn, tp, fp, fn, errors,
+       round(tn / n, 6) AS tn_frac, round(tp / n, 6) AS tp_frac, round(fp / n, 6) AS fp_frac,
+       round(fn / n, 6) AS fn_frac, round(errors / n, 6) AS error
+FROM c"""
+
+FOLD_ERROR_MEAN = _with(_PAIRS) + f""",
+folded AS (SELECT *, {_FOLD.format(b=_BUCKET.format(id="doc_id"))} AS fold FROM pairs),
+f AS (SELECT fold, count(*) AS n, count(*) FILTER (WHERE label <> prediction) AS errors
+      FROM folded GROUP BY fold)
+SELECT count(errors / n) AS n_folds, round(avg(errors / n), 6) AS mean_error FROM f"""
+
+# ---- text counts ----------------------------------------------------------------
+
+_WORDS = r"""
+toks AS (SELECT unnest(regexp_split_to_array(text, '[ \t\n\r\f]+')) AS token FROM documents),
+counted AS (SELECT token, count(*) AS n FROM toks WHERE length(token) > 0
+            GROUP BY token HAVING count(*) >= 3)"""
+
+WORD_COUNT_THRESHOLD = _with(_WORDS) + "\nSELECT token, n FROM counted"
+
+CHAR_COUNT = _with(_WORDS) + """,
+chars AS (SELECT unnest(list_transform(range(1, length(token) + 1),
+                                       lambda i: substring(token, i, 1))) AS ch
+          FROM counted)
+SELECT ch, count(*) AS n FROM chars GROUP BY ch"""
+
+LINE_COUNT_THRESHOLD = """
+WITH toks AS (SELECT unnest(string_split(text, chr(10))) AS token FROM documents)
+SELECT token, count(*) AS n FROM toks GROUP BY token HAVING count(*) >= 2"""
 
 
 ORACLE: dict[str, str] = {
@@ -111,4 +275,20 @@ ORACLE: dict[str, str] = {
     "cluster_lookup": CLUSTER_LOOKUP,
     "sample_features": SAMPLE_FEATURES,
     "tagged_union": TAGGED_UNION,
+    "delimited_parse": DELIMITED_PARSE,
+    "annotation_explode": ANNOTATION_EXPLODE,
+    "header_positions": HEADER_POSITIONS,
+    "position_cluster_map": POSITION_CLUSTER_MAP,
+    "unpivot_long": UNPIVOT_LONG,
+    "cohort_stats_wide": COHORT_STATS_WIDE,
+    "top_k_clusters_wide": TOP_K_CLUSTERS_WIDE,
+    "sample_features_wide": SAMPLE_FEATURES_WIDE,
+    "fold_assignment": FOLD_ASSIGNMENT,
+    "background_parse": BACKGROUND_PARSE,
+    "fixed_width_groups": FIXED_WIDTH_GROUPS,
+    "confusion_matrix": CONFUSION_MATRIX,
+    "fold_error_mean": FOLD_ERROR_MEAN,
+    "word_count_threshold": WORD_COUNT_THRESHOLD,
+    "char_count": CHAR_COUNT,
+    "line_count_threshold": LINE_COUNT_THRESHOLD,
 }

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.functions import round6
+from cohortlens.functions import cell, round6
 from cohortlens.operators import features as feat
 from cohortlens.operators import model as ml
 from cohortlens.operators import rank, reshape, stats, textcount
@@ -94,6 +94,110 @@ def q_tagged_union(spark, sf_dir):
                                1: cohort.filter(F.col("grp") == "case")})
 
 
+# ---- wide binding (delimited text) --------------------------------------------
+
+def _wide_rows(spark, sf_dir):
+    return text.wide_rows(spark, tables.wide_lines(spark, sf_dir))
+
+
+def q_delimited_parse(spark, sf_dir):
+    cells = F.col("cells")
+    numeric = F.transform(cells, lambda x, i: F.when(i >= 2, x.try_cast("bigint")))
+    value_sum = F.aggregate(numeric, F.lit(0).cast("bigint"),
+                            lambda acc, x: acc + F.coalesce(x, F.lit(0).cast("bigint")))
+    return _wide_rows(spark, sf_dir).select(
+        cell(cells, 0).alias("sample_id"), cell(cells, 1).alias("code"),
+        F.size(cells).cast("bigint").alias("n_cells"), value_sum.alias("value_sum"))
+
+
+def q_annotation_explode(spark, sf_dir):
+    ann = text.annotation(spark, tables.annotation_lines(spark, sf_dir))
+    return reshape.membership(ann)
+
+
+def q_header_positions(spark, sf_dir):
+    return reshape.header_positions(_wide_rows(spark, sf_dir))
+
+
+def q_position_cluster_map(spark, sf_dir):
+    return wide_analysis(spark, sf_dir).feature_clusters
+
+
+def q_unpivot_long(spark, sf_dir):
+    return wide_analysis(spark, sf_dir).cells
+
+
+def q_top_k_clusters_wide(spark, sf_dir):
+    return _rounded(wide_analysis(spark, sf_dir).ranked.select(*RANK_COLS))
+
+
+def q_cohort_stats_wide(spark, sf_dir):
+    st = wide_analysis(spark, sf_dir).stats
+    return _rounded(st.select("grp", "cluster", "n", "n_scored", "mean", "sd"))
+
+
+def q_sample_features_wide(spark, sf_dir):
+    a = wide_analysis(spark, sf_dir)
+    return a.sample_features().select("grp", "sample_id", "label", *feat.feature_names(a.k))
+
+
+def q_fold_assignment(spark, sf_dir):
+    emb = tables.table(spark, sf_dir, "embeddings")
+    return emb.select(F.col("vec_id").alias("sample_id"),
+                      ml.fold_of(F.col("vec_id")).alias("fold"),
+                      ml.holdout_of(F.col("vec_id")).alias("holdout"))
+
+
+# ---- background and fixed-width text ------------------------------------------
+
+def q_background_parse(spark, sf_dir):
+    return text.background(spark, tables.background_lines(spark, sf_dir))
+
+
+def q_fixed_width_groups(spark, sf_dir):
+    return textcount.key_groups(tables.fixed_width_lines(spark, sf_dir),
+                                start=tables.ID_WIDTH + 1)
+
+
+# ---- evaluation pairs -----------------------------------------------------------
+
+def q_confusion_matrix(spark, sf_dir):
+    return _rounded_fracs(ml.confusion(tables.evaluation_pairs(spark, sf_dir)))
+
+
+def q_fold_error_mean(spark, sf_dir):
+    pairs = ml.with_folds(tables.evaluation_pairs(spark, sf_dir), "doc_id")
+    per_fold = ml.confusion(pairs, by=("fold",))
+    return per_fold.agg(F.count("error").alias("n_folds"),
+                        round6(F.avg("error")).alias("mean_error"))
+
+
+def _rounded_fracs(df):
+    fracs = {"tn_frac", "tp_frac", "fp_frac", "fn_frac", "error"}
+    return df.select(*[round6(c).alias(c) if c in fracs else F.col(c) for c in df.columns])
+
+
+# ---- text counts ----------------------------------------------------------------
+
+def _word_counts(spark, sf_dir):
+    toks = textcount.tokens(tables.document_lines(spark, sf_dir), textcount.WHITESPACE,
+                            drop_empty=True)
+    return textcount.token_counts(toks, WORD_THRESHOLD)
+
+
+def q_word_count_threshold(spark, sf_dir):
+    return _word_counts(spark, sf_dir)
+
+
+def q_char_count(spark, sf_dir):
+    return textcount.char_counts(_word_counts(spark, sf_dir))
+
+
+def q_line_count_threshold(spark, sf_dir):
+    toks = textcount.tokens(tables.document_lines(spark, sf_dir))
+    return textcount.token_counts(toks, LINE_THRESHOLD)
+
+
 QUERIES: dict[str, Query] = {
     "cohort_sizes": q_cohort_sizes,
     "cluster_scores": q_cluster_scores,
@@ -103,4 +207,20 @@ QUERIES: dict[str, Query] = {
     "cluster_lookup": q_cluster_lookup,
     "sample_features": q_sample_features,
     "tagged_union": q_tagged_union,
+    "delimited_parse": q_delimited_parse,
+    "annotation_explode": q_annotation_explode,
+    "header_positions": q_header_positions,
+    "position_cluster_map": q_position_cluster_map,
+    "unpivot_long": q_unpivot_long,
+    "cohort_stats_wide": q_cohort_stats_wide,
+    "top_k_clusters_wide": q_top_k_clusters_wide,
+    "sample_features_wide": q_sample_features_wide,
+    "fold_assignment": q_fold_assignment,
+    "background_parse": q_background_parse,
+    "fixed_width_groups": q_fixed_width_groups,
+    "confusion_matrix": q_confusion_matrix,
+    "fold_error_mean": q_fold_error_mean,
+    "word_count_threshold": q_word_count_threshold,
+    "char_count": q_char_count,
+    "line_count_threshold": q_line_count_threshold,
 }
