@@ -7,6 +7,7 @@ output so results compare across engines (float sums depend on order).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ from cohortlens.operators import features as feat
 from cohortlens.operators import model as ml
 from cohortlens.operators import rank, reshape, stats, textcount
 from cohortlens.plans.cohort import CohortAnalysis, from_long, from_wide
+from cohortlens.session import durable, model_dir
 from cohortlens.sources import tables, text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -198,6 +200,44 @@ def q_line_count_threshold(spark, sf_dir):
     return textcount.token_counts(toks, LINE_THRESHOLD)
 
 
+# ---- classification (no SQL oracle: model training) ----------------------------
+
+def labeled(spark: SparkSession, sf_dir: str, feature_set: str = "genes") -> DataFrame:
+    """Binding L + B: labelled points from the per-sample top-k features."""
+    a = long_analysis(spark, sf_dir)
+    feats = a.sample_features(tables.long_background(spark, sf_dir))
+    return ml.labeled_points(feats, feature_set, a.k)
+
+
+def _cv_query(models: tuple[str, ...], feature_set: str = "genes") -> Query:
+    def run(spark, sf_dir):
+        per_fold, _ = ml.cross_validate(labeled(spark, sf_dir, feature_set), models,
+                                        num_trees=ML_TREES)
+        return _rounded_fracs(per_fold)
+    return run
+
+
+def q_model_comparison(spark, sf_dir):
+    per_fold, _ = ml.cross_validate(labeled(spark, sf_dir), ml.MODELS, num_trees=ML_TREES)
+    return ml.mean_error(per_fold).select("model", "n_folds",
+                                          round6("mean_error").alias("mean_error"))
+
+
+def q_model_roundtrip(spark, sf_dir):
+    """S10 + M7 + M9: fit, save, reload; both predictions side by side."""
+    points = durable(labeled(spark, sf_dir))
+    train, test = ml.training_split(points, 0)
+    fitted = ml.estimator("tree_gini").fit(train)
+    path = f"{model_dir(spark)}/tree_gini-{uuid.uuid4().hex}"
+    ml.save(fitted, path)
+    reloaded = ml.load(path, "tree_gini")
+    reloaded.setPredictionCol("prediction_reloaded").setRawPredictionCol("raw_reloaded") \
+        .setProbabilityCol("probability_reloaded")
+    both = reloaded.transform(fitted.transform(test))
+    return both.select("sample_id", "label", "prediction", "prediction_reloaded",
+                       F.lit(ml.describe(reloaded).count("If (")).alias("n_splits_listed"))
+
+
 QUERIES: dict[str, Query] = {
     "cohort_sizes": q_cohort_sizes,
     "cluster_scores": q_cluster_scores,
@@ -223,4 +263,10 @@ QUERIES: dict[str, Query] = {
     "word_count_threshold": q_word_count_threshold,
     "char_count": q_char_count,
     "line_count_threshold": q_line_count_threshold,
+    "tree_gini_cv": _cv_query(("tree_gini",)),
+    "tree_entropy_cv": _cv_query(("tree_entropy",)),
+    "forest_cv": _cv_query(("forest_entropy",)),
+    "forest_cv_life_stats": _cv_query(("forest_entropy",), "life_stats"),
+    "model_comparison": q_model_comparison,
+    "model_roundtrip": q_model_roundtrip,
 }

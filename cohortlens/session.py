@@ -76,3 +76,11 @@ def durable(df: DataFrame) -> DataFrame:
         return df.checkpoint(eager=True)
     log.warning("no %s configured; persisting instead of checkpointing", CHECKPOINT_CONF)
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def model_dir(spark: SparkSession) -> str:
+    """Folder for saved models: under the shared checkpoint folder."""
+    base = ensure_checkpoint_dir(spark)
+    if not base:
+        raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder to save models")
+    return f"{base.rstrip('/')}/models"
