@@ -16,22 +16,28 @@ def feature_names(k: int = TOP_K) -> list[str]:
     return [f"f{i:0{width}d}" for i in range(1, k + 1)]
 
 
-def sample_features(scores: DataFrame, ranked: DataFrame, k: int = TOP_K,
+def sample_features(cells: DataFrame, feature_clusters: DataFrame, key: str,
+                    ranked: DataFrame, k: int = TOP_K,
                     background: DataFrame | None = None) -> DataFrame:
     """One row per (cohort, sample) with the top-k scores in rank order.
 
-    J5: scores ⋈ top-k on cluster — the top-k side has at most k rows by
-    construction, so it is broadcast and the large score table is never
-    shuffled for this join. R6: ``f01`` holds the rank-1 cluster's score,
-    ``f02`` rank 2, …; a sample without a score in a cluster gets NULL there.
-    Samples with no score in any top-k cluster do not appear. J6: left join
-    to the background on ``sample_id`` (unmatched → NULL fields).
-    ``label`` is 1.0 for case samples and 0.0 for control samples.
+    J5: the feature→cluster map is first cut down to the top-k clusters
+    (the ranked side has at most k rows by construction, so it is
+    broadcast), then joined to the cells once. R6: ``f01`` is the rank-1
+    cluster's score — the sum of the sample's values whose feature is in
+    that cluster — ``f02`` rank 2, …, computed directly by one aggregate per
+    sample, so the full (cluster × sample) score table is never rebuilt or
+    shuffled. A sample without values in a cluster gets NULL there; samples
+    with none in any top-k cluster do not appear. J6: left join to the
+    background on ``sample_id`` (unmatched → NULL fields). ``label`` is 1.0
+    for case samples and 0.0 for control samples.
     """
     names = feature_names(k)
-    picked = scores.join(F.broadcast(ranked.select("cluster", "rank")), "cluster")
+    top_map = feature_clusters.select(key, "cluster").join(
+        F.broadcast(ranked.select("cluster", "rank")), "cluster")
+    picked = cells.join(top_map.select(key, "rank"), key)
     wide = picked.groupBy("grp", "sample_id").agg(*[
-        F.max(F.when(F.col("rank") == i, F.col("score"))).alias(name)
+        F.sum(F.when(F.col("rank") == i, F.col("value"))).alias(name)
         for i, name in enumerate(names, start=1)
     ])
     wide = wide.withColumn("label", F.when(F.col("grp") == CASE, 1.0).otherwise(0.0))

@@ -9,6 +9,7 @@ depend on partition layout and every engine reproduces it.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Model
@@ -135,21 +136,31 @@ class FoldResult:
 
 
 def cross_validate(points: DataFrame, models=MODELS, num_trees: int = DEFAULT_TREES,
-                   folds: int = 3) -> tuple[DataFrame, list[FoldResult]]:
+                   folds: int = 3, parallelism: int = 4) -> tuple[DataFrame, list[FoldResult]]:
     """Every model × fold; returns per-fold metrics and fitted models.
 
     The labelled points are materialised once (checkpoint when a shared
-    checkpoint folder is configured) and reused by all fits.
+    checkpoint folder is configured) and reused by all fits. Fits are
+    independent Spark jobs, so up to ``parallelism`` of them are submitted
+    at once (as Spark ML's own tuning estimators do); each fit is itself
+    distributed over the cluster.
     """
     points = durable(points)
+    tasks = [(name, fold) for name in models for fold in range(folds)]
+
+    def fit(task):
+        name, fold = task
+        train, _ = training_split(points, fold)
+        return estimator(name, num_trees).fit(train)
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        fitted_models = list(pool.map(fit, tasks))
     results: list[FoldResult] = []
-    for name in models:
-        for fold in range(folds):
-            train, test = training_split(points, fold)
-            fitted = estimator(name, num_trees).fit(train)
-            metrics = evaluate(fitted, test).select(
-                F.lit(name).alias("model"), F.lit(fold).alias("fold"), "*")
-            results.append(FoldResult(name, fold, fitted, metrics))
+    for (name, fold), fitted in zip(tasks, fitted_models):
+        _, test = training_split(points, fold)
+        metrics = evaluate(fitted, test).select(
+            F.lit(name).alias("model"), F.lit(fold).alias("fold"), "*")
+        results.append(FoldResult(name, fold, fitted, metrics))
     table = results[0].metrics
     for r in results[1:]:
         table = table.unionByName(r.metrics)

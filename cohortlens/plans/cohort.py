@@ -69,7 +69,8 @@ class CohortAnalysis:
         return rank.report(self.ranked)
 
     def sample_features(self, background: DataFrame | None = None) -> DataFrame:
-        return feat.sample_features(self.scores, self.ranked, self.k, background)
+        return feat.sample_features(self.cells, self.feature_clusters, self.key, self.ranked,
+                                    self.k, background)
 
 
 def from_wide(spark: SparkSession, matrix: str | DataFrame, annotation: str | DataFrame,

@@ -39,11 +39,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Restore scan parallelism when a source has fewer splits than cores.
+
+    A file written as one row group is one split, so everything before the
+    first shuffle (parsing, exploding, partial aggregation) would run in a
+    single task. Large inputs already have at least as many splits as the
+    cluster has cores, and then this is a no-op (no extra shuffle); only
+    under-split inputs are hash-partitioned on ``key`` to the default
+    parallelism. Hashing on the key the next join or aggregate uses lets
+    Spark reuse the partitioning there, and needs no per-partition sort
+    (a round-robin repartition sorts rows to stay deterministic).
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want, key)
+    return df
+
+
+def big_table(spark: SparkSession, sf_dir: str, name: str, key: str, *cols: str) -> DataFrame:
+    """Scan only ``key`` and ``cols`` of a row-heavy table, spread over the cluster."""
+    return spread(table(spark, sf_dir, name).select(key, *cols), key)
+
+
 # ---- L: long binding --------------------------------------------------------
 
 def long_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Matrix rows: ``(sample_id, code)``, one per order."""
-    return table(spark, sf_dir, "orders").select(
+    return big_table(spark, sf_dir, "orders", "o_orderkey", "o_orderpriority").select(
         F.col("o_orderkey").alias("sample_id"),
         F.substring("o_orderpriority", 1, 1).alias("code"),
     )
@@ -51,7 +74,7 @@ def long_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def long_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Observed cells: ``(sample_id, feature_id, value)``, one per line item."""
-    return table(spark, sf_dir, "lineitem").select(
+    return big_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_quantity").select(
         F.col("l_orderkey").alias("sample_id"),
         F.col("l_partkey").alias("feature_id"),
         F.col("l_quantity").cast("double").alias("value"),
@@ -106,7 +129,7 @@ def wide_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     Header ``PATIENT_ID,DIAGNOSIS,0,1,…`` (feature id = vector index) is
     derived from the vector length present in the data.
     """
-    emb = table(spark, sf_dir, "embeddings")
+    emb = big_table(spark, sf_dir, "embeddings", "vec_id", "label", "embedding")
     header = (emb.select(F.size("embedding").alias("dims")).distinct()
               .select(F.concat(
                   F.lit("PATIENT_ID,DIAGNOSIS,"),
@@ -156,7 +179,7 @@ def evaluation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Document texts as the ``value`` column of a text source."""
-    return table(spark, sf_dir, "documents").select(F.col("text").alias("value"))
+    return big_table(spark, sf_dir, "documents", "doc_id", "text").select(F.col("text").alias("value"))
 
 
 def fixed_width_lines(spark: SparkSession, sf_dir: str, width: int = ID_WIDTH) -> DataFrame:
