@@ -73,7 +73,9 @@ def cluster_scores(cells: DataFrame, feature_clusters: DataFrame, key: str) -> D
 def cohort_stats(scores: DataFrame, sizes: DataFrame) -> DataFrame:
     """A3 + A5 (+J3): ``(grp, cluster, n, n_scored, score_sum, mean, sd)``.
 
-    ``sizes`` has one row per cohort (≤ a handful), joined on ``grp``.
+    ``sizes`` has one row per cohort — two rows — so it is always broadcast:
+    a shuffle join on a two-valued key would put every cluster's statistics
+    into two tasks.
     """
     per_cluster = scores.groupBy("grp", "cluster").agg(
         F.count("score").alias("n_scored"),
@@ -83,7 +85,7 @@ def cohort_stats(scores: DataFrame, sizes: DataFrame) -> DataFrame:
     mean = F.col("score_sum") / F.col("n")
     scored_mean = F.try_divide(F.col("score_sum"), F.col("n_scored"))
     shift = scored_mean - mean
-    return (per_cluster.join(sizes, "grp")
+    return (per_cluster.join(F.broadcast(sizes), "grp")
             .select("grp", "cluster", "n", "n_scored", "score_sum",
                     mean.alias("mean"),
                     F.sqrt(F.col("var_scored") + shift * shift).alias("sd")))

@@ -51,10 +51,12 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     Spark reuse the partitioning there, and needs no per-partition sort
     (a round-robin repartition sorts rows to stay deterministic).
     """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want, key)
-    return df
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a remote session): leave the scan as is
+        return df
+    return df.repartition(want, key) if have < want else df
 
 
 def big_table(spark: SparkSession, sf_dir: str, name: str, key: str, *cols: str) -> DataFrame:
