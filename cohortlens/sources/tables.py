@@ -18,6 +18,8 @@ registered query does work proportional to its inputs.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,7 +38,27 @@ WIDE_DIMS = 64
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A parquet table, registered once per session as a temporary view.
+
+    The first use lists the files and infers the schema; later uses resolve
+    the view, as queries over a catalog table would. Call
+    :func:`refresh_tables` after the files change.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    view = _view_name(path)
+    if not spark.catalog.tableExists(view):
+        spark.read.parquet(path).createOrReplaceTempView(view)
+    return spark.table(view)
+
+
+def _view_name(path: str) -> str:
+    return "cohortlens_" + hashlib.sha1(path.encode()).hexdigest()[:16]
+
+
+def refresh_tables(spark: SparkSession, sf_dir: str) -> None:
+    """Forget the registered views of ``sf_dir`` so files are listed again."""
+    for name in TABLES:
+        spark.catalog.dropTempView(_view_name(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
