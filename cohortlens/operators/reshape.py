@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.functions import cell, cohort_label, to_double
+from cohortlens.functions import CASE, CONTROL, cell, cohort_label, to_double
 from cohortlens.functions.columns import CASE_CODES, CONTROL_CODES
 from cohortlens.sources.text import HEADER_MARKER
 
@@ -24,20 +24,52 @@ def membership(annotation: DataFrame) -> DataFrame:
     )
 
 
-def header_positions(rows: DataFrame, first_position: int = 0) -> DataFrame:
-    """R2 (+P3): header cells with their 0-based positions.
+def matrix_summary(rows: DataFrame, control=CONTROL_CODES, case=CASE_CODES) -> DataFrame:
+    """One pass over the wide rows: cohort row counts (A1) and the header.
 
-    The header is the row whose cell 0 is ``PATIENT_ID``. Identical header
-    rows (concatenated files) are de-duplicated so features are not mapped
-    twice.
+    A single global aggregate: ``n_control``, ``n_case`` and ``header`` —
+    the cells of the row whose cell 0 is ``PATIENT_ID``. Identical header
+    rows (concatenated files) collapse into one; two different header rows
+    fail the job (they would map a position to two features). The header is
+    one row of the input, so the aggregate state is bounded by the column
+    count, not by the data.
     """
-    header = rows.filter(cell("cells", 0) == F.lit(HEADER_MARKER))
-    return (header.select(F.posexplode("cells").alias("position", "feature_id"))
+    cells = F.col("cells")
+    grp = cohort_label(cell(cells, 1), control, case)
+    header = F.when(cell(cells, 0) == F.lit(HEADER_MARKER), cells)
+    agg = rows.agg(
+        F.count(F.when(grp == F.lit(CONTROL), F.lit(1))).alias("n_control"),
+        F.count(F.when(grp == F.lit(CASE), F.lit(1))).alias("n_case"),
+        F.max(header).alias("_header_max"),
+        F.min(header).alias("_header_min"),
+    )
+    checked = F.when(F.col("_header_max") != F.col("_header_min"),
+                     F.raise_error(F.lit("conflicting header rows in the matrix"))
+                     ).otherwise(F.col("_header_max"))
+    return agg.select("n_control", "n_case", checked.alias("header"))
+
+
+def summary_sizes(summary: DataFrame) -> DataFrame:
+    """``(grp, n)`` from :func:`matrix_summary` (two rows)."""
+    pairs = F.array(
+        F.struct(F.lit(CONTROL).alias("grp"), F.col("n_control").alias("n")),
+        F.struct(F.lit(CASE).alias("grp"), F.col("n_case").alias("n")),
+    )
+    return summary.select(F.inline(pairs))
+
+
+def summary_positions(summary: DataFrame, first_position: int = 0) -> DataFrame:
+    """R2: ``(feature_id, position)`` of the header from :func:`matrix_summary`."""
+    return (summary.select(F.posexplode("header").alias("position", "feature_id"))
             .filter(F.col("position") >= first_position)
-            .distinct()
             .select("feature_id", "position"))
 
 
+def header_positions(rows: DataFrame, first_position: int = 0) -> DataFrame:
+    """R2 (+P3): header cells with their 0-based positions."""
+    return summary_positions(matrix_summary(rows), first_position)
+
+
 def position_clusters(members: DataFrame, positions: DataFrame) -> DataFrame:
     """Feature id join (inner, many-to-many) → ``(position, cluster)``."""
     return members.join(positions, "feature_id").select("position", "cluster")

@@ -34,6 +34,7 @@ class CohortAnalysis:
     feature_clusters: DataFrame  # (<key>, cluster)
     key: str
     k: int = rank.TOP_K
+    cohort_sizes: DataFrame | None = None  # (grp, n) when known from elsewhere
     _memo: dict = field(default_factory=dict, repr=False)
 
     def _get(self, name, build):
@@ -43,6 +44,8 @@ class CohortAnalysis:
 
     @property
     def sizes(self) -> DataFrame:
+        if self.cohort_sizes is not None:
+            return self.cohort_sizes
         return self._get("sizes", lambda: stats.cohort_sizes(self.cohort))
 
     @property
@@ -77,10 +80,15 @@ def from_wide(spark: SparkSession, matrix: str | DataFrame, annotation: str | Da
               species: str | None = text.SPECIES_KEPT,
               control: Iterable[str] = CONTROL_CODES, case: Iterable[str] = CASE_CODES,
               k: int = rank.TOP_K) -> CohortAnalysis:
-    """Wide delimited matrix + annotation → analysis keyed by column position."""
+    """Wide delimited matrix + annotation → analysis keyed by column position.
+
+    The matrix text is read twice: one global aggregate yields both the
+    header and the cohort sizes, and one pass unpivots the cohort rows.
+    """
     rows = text.wide_rows(spark, matrix)
+    summary = reshape.matrix_summary(rows, control, case)
     members = reshape.membership(text.annotation(spark, annotation, species))
-    pos_map = reshape.position_clusters(members, reshape.header_positions(rows))
+    pos_map = reshape.position_clusters(members, reshape.summary_positions(summary))
     cohort_rows = reshape.cohort_rows(rows, control, case)
     return CohortAnalysis(
         cohort=cohort_rows.select("sample_id", "grp"),
@@ -88,6 +96,7 @@ def from_wide(spark: SparkSession, matrix: str | DataFrame, annotation: str | Da
         feature_clusters=pos_map,
         key="position",
         k=k,
+        cohort_sizes=reshape.summary_sizes(summary),
     )
 
 

@@ -132,3 +132,12 @@ def test_top_k_by_abs_and_ties(spark):
 def test_take_n_is_ordered(spark):
     df = spark.createDataFrame([(i,) for i in range(20)], "x int").repartition(4)
     assert [r["x"] for r in rank.take_n(df, 3, "x").collect()] == [0, 1, 2]
+
+
+def test_duplicate_header_counts_once_and_conflicting_header_fails(spark, lines):
+    doubled = MATRIX + [MATRIX[0]]
+    a = _by_cluster(from_wide(spark, lines(doubled, 3), lines(ANNOTATION)).t_scores)
+    assert a["c1"]["t"] == pytest.approx(6 / math.sqrt(5))
+    conflicting = MATRIX + ["PATIENT_ID,DIAGNOSIS,30,20,10"]
+    with pytest.raises(Exception, match="conflicting header rows"):
+        from_wide(spark, lines(conflicting), lines(ANNOTATION)).t_scores.collect()
