@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from cohortlens.functions import cell, round6
 from cohortlens.operators import features as feat
 from cohortlens.operators import model as ml
-from cohortlens.operators import rank, reshape, stats, textcount
+from cohortlens.operators import reshape, stats, textcount
 from cohortlens.plans.cohort import CohortAnalysis, from_long, from_wide
 from cohortlens.session import durable, model_dir
 from cohortlens.sources import tables, text
