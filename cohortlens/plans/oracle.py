@@ -206,6 +206,20 @@ SELECT CASE WHEN ok THEN c[1] END AS sample_id, CASE WHEN ok THEN age END AS age
        CASE WHEN NOT ok THEN value END AS _corrupt_record
 FROM q"""
 
+BACKGROUND_CSV_PARSE = """
+WITH lines AS (
+  SELECT c_mktsegment || ' customers:' || CAST(count(*) AS VARCHAR) AS value
+  FROM customer GROUP BY c_mktsegment
+  UNION ALL
+  SELECT concat_ws(',', CAST(o_orderkey AS VARCHAR),
+                   CAST(CAST(floor(c_acctbal) AS INTEGER) AS VARCHAR), o_orderstatus, c_mktsegment)
+  FROM orders JOIN customer ON o_custkey = c_custkey),
+p AS (SELECT value, string_split(value, ',') AS c FROM lines)
+SELECT c[1] AS sample_id, TRY_CAST(c[2] AS INTEGER) AS age, c[3] AS sex, c[4] AS education,
+       CASE WHEN len(c) <> 4 OR (c[2] IS NOT NULL AND TRY_CAST(c[2] AS INTEGER) IS NULL)
+            THEN value END AS _corrupt_record
+FROM p"""
+
 FIXED_WIDTH_GROUPS = """
 WITH lines AS (
   SELECT 'PATIENT_ID,DIAGNOSIS,STATUS' AS value
@@ -285,6 +299,7 @@ ORACLE: dict[str, str] = {
     "sample_features_wide": SAMPLE_FEATURES_WIDE,
     "fold_assignment": FOLD_ASSIGNMENT,
     "background_parse": BACKGROUND_PARSE,
+    "background_csv_parse": BACKGROUND_CSV_PARSE,
     "fixed_width_groups": FIXED_WIDTH_GROUPS,
     "confusion_matrix": CONFUSION_MATRIX,
     "fold_error_mean": FOLD_ERROR_MEAN,

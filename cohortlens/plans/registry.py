@@ -7,6 +7,7 @@ output so results compare across engines (float sums depend on order).
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable
 
@@ -18,7 +19,7 @@ from cohortlens.operators import features as feat
 from cohortlens.operators import model as ml
 from cohortlens.operators import reshape, stats, textcount
 from cohortlens.plans.cohort import CohortAnalysis, from_long, from_wide
-from cohortlens.session import durable, model_dir
+from cohortlens.session import durable, model_dir, shared_path
 from cohortlens.sources import tables, text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -156,6 +157,15 @@ def q_background_parse(spark, sf_dir):
     return text.background(spark, tables.background_lines(spark, sf_dir))
 
 
+def q_background_csv_parse(spark, sf_dir):
+    """S1 + S6 through files: the rendered background is written as text to
+    the shared folder, then read back by Spark's CSV reader (PERMISSIVE)."""
+    key = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
+    path = text.write_lines(tables.background_lines(spark, sf_dir),
+                            shared_path(spark, "tables", f"background-{key}"))
+    return text.background_csv(spark, path)
+
+
 def q_fixed_width_groups(spark, sf_dir):
     return textcount.key_groups(tables.fixed_width_lines(spark, sf_dir),
                                 start=tables.ID_WIDTH + 1)
@@ -257,6 +267,7 @@ QUERIES: dict[str, Query] = {
     "sample_features_wide": q_sample_features_wide,
     "fold_assignment": q_fold_assignment,
     "background_parse": q_background_parse,
+    "background_csv_parse": q_background_csv_parse,
     "fixed_width_groups": q_fixed_width_groups,
     "confusion_matrix": q_confusion_matrix,
     "fold_error_mean": q_fold_error_mean,

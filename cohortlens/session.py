@@ -78,9 +78,14 @@ def durable(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def model_dir(spark: SparkSession) -> str:
-    """Folder for saved models: under the shared checkpoint folder."""
+def shared_path(spark: SparkSession, *parts: str) -> str:
+    """A path under the shared checkpoint folder (for written tables, models)."""
     base = ensure_checkpoint_dir(spark)
     if not base:
-        raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder to save models")
-    return f"{base.rstrip('/')}/models"
+        raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder")
+    return "/".join([base.rstrip("/"), *parts])
+
+
+def model_dir(spark: SparkSession) -> str:
+    """Folder for saved models: under the shared checkpoint folder."""
+    return shared_path(spark, "models")

@@ -29,6 +29,12 @@ def read_lines(spark: SparkSession, source: str | DataFrame) -> DataFrame:
     return spark.read.text(source)
 
 
+def write_lines(lines: DataFrame, path: str) -> str:
+    """Text sink: write the ``value`` column as text files (overwrite)."""
+    lines.select("value").write.mode("overwrite").text(path)
+    return path
+
+
 def split_cells(value: Column | str, delimiter: str = ",") -> Column:
     """Line → array of cells; keeps trailing empty cells."""
     col = F.col(value) if isinstance(value, str) else value
