@@ -50,12 +50,12 @@ def matrix_summary(rows: DataFrame, control=CONTROL_CODES, case=CASE_CODES) -> D
 
 
 def summary_sizes(summary: DataFrame) -> DataFrame:
-    """``(grp, n)`` from :func:`matrix_summary` (two rows)."""
+    """``(grp, n)`` from :func:`matrix_summary`; cohorts without rows are absent."""
     pairs = F.array(
         F.struct(F.lit(CONTROL).alias("grp"), F.col("n_control").alias("n")),
         F.struct(F.lit(CASE).alias("grp"), F.col("n_case").alias("n")),
     )
-    return summary.select(F.inline(pairs))
+    return summary.select(F.inline(pairs)).filter(F.col("n") > 0)
 
 
 def summary_positions(summary: DataFrame, first_position: int = 0) -> DataFrame:

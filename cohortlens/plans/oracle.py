@@ -171,6 +171,8 @@ UNPIVOT_LONG = _with(_WIDE) + "\nSELECT sample_id, grp, position, value FROM cel
 COHORT_STATS_WIDE = _with(_WIDE, _STATS.format(k=10)) + """
 SELECT grp, cluster, n, n_scored, round(mean, 6) AS mean, round(sd, 6) AS sd FROM stats"""
 
+COHORT_SIZES_WIDE = _with(_WIDE) + "\nSELECT grp, n FROM sizes"
+
 TOP_K_CLUSTERS_WIDE = _with(_WIDE, _STATS.format(k=10)) + f"""
 SELECT CAST(rank AS INTEGER) AS rank, cluster, {_ROUND_T} FROM ranked"""
 
@@ -295,6 +297,7 @@ ORACLE: dict[str, str] = {
     "position_cluster_map": POSITION_CLUSTER_MAP,
     "unpivot_long": UNPIVOT_LONG,
     "cohort_stats_wide": COHORT_STATS_WIDE,
+    "cohort_sizes_wide": COHORT_SIZES_WIDE,
     "top_k_clusters_wide": TOP_K_CLUSTERS_WIDE,
     "sample_features_wide": SAMPLE_FEATURES_WIDE,
     "fold_assignment": FOLD_ASSIGNMENT,

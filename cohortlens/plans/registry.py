@@ -130,6 +130,10 @@ def q_unpivot_long(spark, sf_dir):
     return wide_analysis(spark, sf_dir).cells
 
 
+def q_cohort_sizes_wide(spark, sf_dir):
+    return wide_analysis(spark, sf_dir).sizes
+
+
 def q_top_k_clusters_wide(spark, sf_dir):
     return _rounded(wide_analysis(spark, sf_dir).ranked.select(*RANK_COLS))
 
@@ -219,10 +223,16 @@ def labeled(spark: SparkSession, sf_dir: str, feature_set: str = "genes") -> Dat
     return ml.labeled_points(feats, feature_set, a.k)
 
 
-def _cv_query(models: tuple[str, ...], feature_set: str = "genes") -> Query:
+def labeled_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Binding W: labelled points from the text matrix's top-k features."""
+    a = wide_analysis(spark, sf_dir)
+    return ml.labeled_points(a.sample_features(), "genes", a.k)
+
+
+def _cv_query(models: tuple[str, ...], feature_set: str = "genes", wide: bool = False) -> Query:
     def run(spark, sf_dir):
-        per_fold, _ = ml.cross_validate(labeled(spark, sf_dir, feature_set), models,
-                                        num_trees=ML_TREES)
+        points = labeled_wide(spark, sf_dir) if wide else labeled(spark, sf_dir, feature_set)
+        per_fold, _ = ml.cross_validate(points, models, num_trees=ML_TREES)
         return _rounded_fracs(per_fold)
     return run
 
@@ -263,6 +273,7 @@ QUERIES: dict[str, Query] = {
     "position_cluster_map": q_position_cluster_map,
     "unpivot_long": q_unpivot_long,
     "cohort_stats_wide": q_cohort_stats_wide,
+    "cohort_sizes_wide": q_cohort_sizes_wide,
     "top_k_clusters_wide": q_top_k_clusters_wide,
     "sample_features_wide": q_sample_features_wide,
     "fold_assignment": q_fold_assignment,
@@ -278,6 +289,7 @@ QUERIES: dict[str, Query] = {
     "tree_entropy_cv": _cv_query(("tree_entropy",)),
     "forest_cv": _cv_query(("forest_entropy",)),
     "forest_cv_life_stats": _cv_query(("forest_entropy",), "life_stats"),
+    "tree_gini_cv_wide": _cv_query(("tree_gini",), wide=True),
     "model_comparison": q_model_comparison,
     "model_roundtrip": q_model_roundtrip,
 }

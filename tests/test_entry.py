@@ -13,7 +13,7 @@ SMOKE = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SMOKE), reason="test tables not present")
 
 ML_QUERIES = {"tree_gini_cv", "tree_entropy_cv", "forest_cv", "forest_cv_life_stats",
-              "model_comparison", "model_roundtrip"}
+              "tree_gini_cv_wide", "model_comparison", "model_roundtrip"}
 
 
 def test_entry_runs(spark):
