@@ -7,6 +7,6 @@ feature vectors and cross-validates tree classifiers; plus thresholded
 token and character counts.
 """
 
-from cohortlens.plans.cohort import CohortAnalysis, from_long, from_wide
+from cohortlens.plans.cohort import CohortAnalysis, from_landed, from_long, from_wide, land_wide
 
-__all__ = ["CohortAnalysis", "from_long", "from_wide"]
+__all__ = ["CohortAnalysis", "from_landed", "from_long", "from_wide", "land_wide"]

@@ -1,5 +1,5 @@
 """Composite analyses and the registered queries with their SQL oracles."""
 
-from cohortlens.plans.cohort import CohortAnalysis, from_long, from_wide
+from cohortlens.plans.cohort import CohortAnalysis, from_landed, from_long, from_wide, land_wide
 
-__all__ = ["CohortAnalysis", "from_long", "from_wide"]
+__all__ = ["CohortAnalysis", "from_landed", "from_long", "from_wide", "land_wide"]

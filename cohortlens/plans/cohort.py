@@ -19,8 +19,11 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from cohortlens.functions import cell, cohort_label, to_double
 from cohortlens.functions.columns import CASE_CODES, CONTROL_CODES
 from cohortlens.operators import features as feat
 from cohortlens.operators import rank, reshape, stats
@@ -100,11 +103,63 @@ def from_wide(spark: SparkSession, matrix: str | DataFrame, annotation: str | Da
     )
 
 
+def land_wide(spark: SparkSession, matrix: str | DataFrame, path: str) -> str:
+    """Parse a wide text matrix once and write it as long parquet under ``path``.
+
+    ``samples/`` (sample_id, code): one row per data row; ``cells/``
+    (sample_id, code, position, value): numeric cells only, each carrying its
+    row's code; ``header/`` (feature_id, position). Every later analysis
+    (:func:`from_landed`) reads columnar data with pruning instead of
+    re-parsing the text. The parsed rows are persisted (memory, spilling to
+    disk) for the three writes, so the text is read once. Returns ``path``.
+    """
+    rows = text.wide_rows(spark, matrix).persist(StorageLevel.MEMORY_AND_DISK)
+    data = rows.filter(~F.coalesce(cell("cells", 0) == F.lit(text.HEADER_MARKER), F.lit(False)))
+    (data.select(cell("cells", 0).alias("sample_id"), cell("cells", 1).alias("code"))
+     .write.mode("overwrite").parquet(f"{path}/samples"))
+    (data.select(cell("cells", 0).alias("sample_id"), cell("cells", 1).alias("code"),
+                 F.posexplode("cells").alias("position", "raw"))
+     .filter(F.col("position") >= 2)
+     .select("sample_id", "code", "position", to_double("raw").alias("value"))
+     .filter(F.col("value").isNotNull())
+     .write.mode("overwrite").parquet(f"{path}/cells"))
+    reshape.header_positions(rows).write.mode("overwrite").parquet(f"{path}/header")
+    rows.unpersist()
+    return path
+
+
+def from_landed(spark: SparkSession, path: str, annotation: str | DataFrame,
+                species: str | None = text.SPECIES_KEPT,
+                control: Iterable[str] = CONTROL_CODES, case: Iterable[str] = CASE_CODES,
+                k: int = rank.TOP_K) -> CohortAnalysis:
+    """Analysis over a matrix written by :func:`land_wide` (same results)."""
+    def with_grp(df):
+        return (df.withColumn("grp", cohort_label("code", control, case))
+                .filter(F.col("grp").isNotNull()))
+
+    members = reshape.membership(text.annotation(spark, annotation, species))
+    pos_map = reshape.position_clusters(members, spark.read.parquet(f"{path}/header"))
+    return CohortAnalysis(
+        cohort=with_grp(spark.read.parquet(f"{path}/samples")).select("sample_id", "grp"),
+        cells=with_grp(spark.read.parquet(f"{path}/cells"))
+        .select("sample_id", "grp", "position", "value"),
+        feature_clusters=pos_map,
+        key="position",
+        k=k,
+    )
+
+
 def from_long(samples: DataFrame, cells: DataFrame, feature_clusters: DataFrame,
               code: str = "code", control: Iterable[str] = CONTROL_CODES,
               case: Iterable[str] = CASE_CODES, key: str = "feature_id",
               k: int = rank.TOP_K) -> CohortAnalysis:
-    """Sample table ``(sample_id, code)`` + long cells ``(sample_id, key, value)``."""
+    """Sample table ``(sample_id, code)`` + long cells ``(sample_id, key, value)``.
+
+    Cells get their cohort through a join on ``sample_id``, so ``sample_id``
+    must identify one sample row (as an order key does); for matrices with
+    repeated sample rows use :func:`from_wide` or :func:`from_landed`, whose
+    cells carry their own row's code.
+    """
     cohort = stats.assign_cohorts(samples, code, control, case)
     return CohortAnalysis(
         cohort=cohort.select("sample_id", "grp"),

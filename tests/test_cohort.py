@@ -141,3 +141,18 @@ def test_duplicate_header_counts_once_and_conflicting_header_fails(spark, lines)
     conflicting = MATRIX + ["PATIENT_ID,DIAGNOSIS,30,20,10"]
     with pytest.raises(Exception, match="conflicting header rows"):
         from_wide(spark, lines(conflicting), lines(ANNOTATION)).t_scores.collect()
+
+
+def test_landed_matrix_gives_the_same_analysis(spark, lines, tmp_path):
+    from cohortlens import from_landed, land_wide
+    m = MATRIX + ["P1,1,1,1,1", "", "P7,4,x,2,4"]  # repeated sample row, blank, bad cell
+    wide = from_wide(spark, lines(m, 3), lines(ANNOTATION))
+    path = land_wide(spark, lines(m, 3), str(tmp_path / "landed"))
+    landed = from_landed(spark, path, lines(ANNOTATION))
+    assert {r["grp"]: r["n"] for r in landed.sizes.collect()} == \
+        {r["grp"]: r["n"] for r in wide.sizes.collect()}
+    a, b = _by_cluster(wide.t_scores), _by_cluster(landed.t_scores)
+    assert set(a) == set(b)
+    for c in a:
+        assert b[c]["t"] == pytest.approx(a[c]["t"])
+        assert b[c]["mean_control"] == pytest.approx(a[c]["mean_control"])
