@@ -156,3 +156,11 @@ def test_landed_matrix_gives_the_same_analysis(spark, lines, tmp_path):
     for c in a:
         assert b[c]["t"] == pytest.approx(a[c]["t"])
         assert b[c]["mean_control"] == pytest.approx(a[c]["mean_control"])
+
+
+def test_repeated_sample_row_counts_twice_and_scores_merge(spark, lines):
+    m = MATRIX + ["P1,1,1,1,1"]  # K4: P1 appears in two rows
+    a = from_wide(spark, lines(m), lines(ANNOTATION))
+    assert {r["grp"]: r["n"] for r in a.sizes.collect()}["control"] == 3
+    p1 = a.scores.filter((F.col("cluster") == "c1") & (F.col("sample_id") == "P1")).first()
+    assert p1["score"] == (1 + 2) + (1 + 1)

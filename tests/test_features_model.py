@@ -86,3 +86,15 @@ def test_model_save_and_reload(spark, tmp_path):
 def test_unknown_model_rejected():
     with pytest.raises(ValueError):
         ml.estimator("svm")
+
+
+def test_life_stats_drops_samples_without_age(spark, lines):
+    a = from_wide(spark, lines(MATRIX), lines(ANNOTATION), k=2)
+    bg = spark.createDataFrame([("P1", 70, "F", "BS"), ("P3", 80, "M", "MS")],
+                               "sample_id string, age int, sex string, education string")
+    feats = a.sample_features(bg)
+    genes = ml.labeled_points(feats, "genes", k=2)
+    life = ml.labeled_points(feats, "life_stats", k=2)
+    assert genes.count() == 4 and life.count() == 2
+    row = life.filter(F.col("sample_id") == "P1").first()
+    assert list(row["features"].toArray()) == [70.0, 3.0, 3.0]
