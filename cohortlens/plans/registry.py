@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.functions import cell, round6
+from cohortlens.functions import CASE, CONTROL, cell, round6
 from cohortlens.operators import features as feat
 from cohortlens.operators import model as ml
 from cohortlens.operators import reshape, stats, textcount
@@ -93,8 +93,8 @@ def q_sample_features(spark, sf_dir):
 
 def q_tagged_union(spark, sf_dir):
     cohort = long_analysis(spark, sf_dir).cohort
-    return stats.tagged_union({0: cohort.filter(F.col("grp") == "control"),
-                               1: cohort.filter(F.col("grp") == "case")})
+    return stats.tagged_union({0: cohort.filter(F.col("grp") == CONTROL),
+                               1: cohort.filter(F.col("grp") == CASE)})
 
 
 # ---- wide binding (delimited text) --------------------------------------------
