@@ -38,9 +38,18 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None for sessions without one (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder the cluster configured, if any."""
-    configured = spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    configured = sc.getCheckpointDir() if sc is not None else None
     if configured:
         return configured
     return spark.conf.get(CHECKPOINT_CONF, None) or None
@@ -53,14 +62,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     (``spark.checkpoint.dir``), so nothing is invented there.
     """
     existing = checkpoint_dir(spark)
+    sc = _context(spark)
     if existing:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(existing)
+        if sc is not None and not sc.getCheckpointDir():
+            sc.setCheckpointDir(existing)
         return existing
-    if not spark.sparkContext.master.startswith("local"):
+    if sc is None or not sc.master.startswith("local"):
         return None
     path = tempfile.mkdtemp(prefix="cohortlens-ckpt-")
-    spark.sparkContext.setCheckpointDir(path)
+    sc.setCheckpointDir(path)
     return path
 
 
