@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# Fixed value: the number of clusters ranked.
 TOP_K = 10
 
 

@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 
 from cohortlens.functions import cell
 
+# Fixed values of the input formats: the cell that marks the matrix header
+# row, and the species the annotation filter keeps.
 HEADER_MARKER = "PATIENT_ID"
 SPECIES_KEPT = "Human"
 CORRUPT = "_corrupt_record"
