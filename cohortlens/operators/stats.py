@@ -11,8 +11,8 @@ Denominators follow the source semantics exactly:
 
 They differ when a sample has no value for a cluster, so neither ``avg``
 nor ``stddev_pop`` is used directly. The deviation is computed in one
-aggregate pass without a second join: with c = m present scores, mean of
-present scores m̄ = S/m and cohort mean μ = S/n,
+aggregate pass without a second join: with m present scores summing to S,
+their mean m̄ = S/m and the cohort mean μ = S/n,
 
     Σ (s − μ)² = Σ (s − m̄)² + m (m̄ − μ)²  =  m · var_pop(s) + m (m̄ − μ)²
 

@@ -5,10 +5,12 @@ until the caller acts on a returned DataFrame, and each derived DataFrame is
 built once and reused, so a caller asking for statistics, the ranking and
 the feature table gets one consistent plan.
 
-Two ways in:
+Ways in:
 
 * :func:`from_wide` — delimited wide matrix (header row inside the data)
   plus annotation file, as in the original inputs;
+* :func:`land_wide` + :func:`from_landed` — the same matrix parsed once into
+  long parquet, for repeated analyses of a large matrix;
 * :func:`from_long` — already-long cells (sample, feature, value) with a
   separate sample table, which is the layout that scales: no wide rows,
   no header, the feature→cluster map joined by feature id.
