@@ -118,3 +118,21 @@ def test_hot_sample_and_hot_feature(spark):
     assert set(got) == set(expect)
     for c, t in expect.items():
         assert got[c] == pytest.approx(t, rel=1e-9)
+
+
+def _plan(spark, name):
+    with conf(spark, SHUFFLE_ONLY):
+        return se.queries()[name](spark, SMOKE)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scans_read_only_needed_columns(spark):
+    plan = _plan(spark, "top_k_clusters")
+    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double>" in plan
+    assert "ReadSchema: struct<o_orderkey:bigint,o_orderpriority:string>" in plan
+    assert "ReadSchema: struct<p_partkey:bigint,p_brand:string,p_type:string>" in plan
+
+
+def test_only_bounded_sides_are_broadcast_at_scale(spark):
+    # cohort sizes (one row per cohort); plus the top-k table (<= k rows)
+    assert _plan(spark, "top_k_clusters").count("BroadcastExchange") == 1
+    assert _plan(spark, "sample_features").count("BroadcastExchange") == 2
