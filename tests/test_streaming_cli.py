@@ -40,3 +40,25 @@ def test_cli_rank_and_wordcount(spark, tmp_path):
     words = {r["token"]: r["n"] for r in spark.read.parquet(str(tmp_path / "wc/words")).collect()}
     assert words == {"a": 2}
     assert os.path.isdir(tmp_path / "wc/chars")
+
+
+def test_cli_features_and_classify(spark, tmp_path):
+    rows = ["PATIENT_ID,DIAGNOSIS,10,20,30"]
+    bg = ["1 Age:50 Sex:M Ed:PhD"]  # a malformed line is quarantined
+    for i in range(60):
+        code = "1" if i % 2 else "4"
+        hi = 9 if code == "4" else 1
+        rows.append(f"S{i},{code},{hi + i % 3},{i % 4},{(i * 7) % 5}")
+        bg.append(f"S{i},{50 + i % 30},{'F' if i % 3 else 'M'},BS")
+    m, a, b = tmp_path / "m.csv", tmp_path / "a.csv", tmp_path / "b.csv"
+    m.write_text("\n".join(rows) + "\n")
+    a.write_text("\n".join(ANNOTATION) + "\n")
+    b.write_text("\n".join(bg) + "\n")
+    common = ["--matrix", str(m), "--annotation", str(a), "--background", str(b), "--k", "2"]
+    main(["features", *common, "--out", str(tmp_path / "f")])
+    feats = spark.read.parquet(str(tmp_path / "f"))
+    assert feats.count() == 60 and feats.filter("age IS NULL").count() == 0
+    main(["classify", *common, "--feature-set", "life_stats", "--trees", "3",
+          "--out", str(tmp_path / "cv")])
+    cv = spark.read.parquet(str(tmp_path / "cv")).collect()
+    assert len(cv) == 9 and all(r["n"] > 0 for r in cv)
