@@ -49,8 +49,8 @@ ranked AS (
   FROM tscores WHERE t IS NOT NULL AND NOT isnan(t)
   ORDER BY t DESC, cluster ASC LIMIT {k})"""
 
-_ROUND_T = """round(t, 6) AS t, round(mean_case, 6) AS mean_case, round(sd_case, 6) AS sd_case,
-       round(mean_control, 6) AS mean_control, round(sd_control, 6) AS sd_control"""
+_ROUND_T = """(round(t, 6) + 0.0) AS t, (round(mean_case, 6) + 0.0) AS mean_case, (round(sd_case, 6) + 0.0) AS sd_case,
+       (round(mean_control, 6) + 0.0) AS mean_control, (round(sd_control, 6) + 0.0) AS sd_control"""
 
 
 def _features(k: int = 10) -> str:
@@ -67,10 +67,10 @@ def _with(*parts: str) -> str:
 COHORT_SIZES = _with(_LONG_COHORT) + "\nSELECT grp, n FROM sizes"
 
 CLUSTER_SCORES = _with(_LONG_COHORT) + """
-SELECT grp, cluster, sample_id, round(score, 6) AS score FROM scores"""
+SELECT grp, cluster, sample_id, (round(score, 6) + 0.0) AS score FROM scores"""
 
 COHORT_STATS = _with(_LONG_COHORT, _STATS.format(k=10)) + """
-SELECT grp, cluster, n, n_scored, round(mean, 6) AS mean, round(sd, 6) AS sd FROM stats"""
+SELECT grp, cluster, n, n_scored, (round(mean, 6) + 0.0) AS mean, (round(sd, 6) + 0.0) AS sd FROM stats"""
 
 T_SCORES_ALL = _with(_LONG_COHORT, _STATS.format(k=10)) + f"""
 SELECT cluster, {_ROUND_T}, n_case, n_control FROM tscores"""
@@ -169,7 +169,7 @@ POSITION_CLUSTER_MAP = _with(_WIDE) + "\nSELECT position, cluster FROM pos_map"
 UNPIVOT_LONG = _with(_WIDE) + "\nSELECT sample_id, grp, position, value FROM cells"
 
 COHORT_STATS_WIDE = _with(_WIDE, _STATS.format(k=10)) + """
-SELECT grp, cluster, n, n_scored, round(mean, 6) AS mean, round(sd, 6) AS sd FROM stats"""
+SELECT grp, cluster, n, n_scored, (round(mean, 6) + 0.0) AS mean, (round(sd, 6) + 0.0) AS sd FROM stats"""
 
 COHORT_SIZES_WIDE = _with(_WIDE) + "\nSELECT grp, n FROM sizes"
 
@@ -252,15 +252,15 @@ c AS (
          count(*) FILTER (WHERE label <> prediction) AS errors
   FROM pairs)
 SELECT n, tn, tp, fp, fn, errors,
-       round(tn / n, 6) AS tn_frac, round(tp / n, 6) AS tp_frac, round(fp / n, 6) AS fp_frac,
-       round(fn / n, 6) AS fn_frac, round(errors / n, 6) AS error
+       (round(tn / n, 6) + 0.0) AS tn_frac, (round(tp / n, 6) + 0.0) AS tp_frac, (round(fp / n, 6) + 0.0) AS fp_frac,
+       (round(fn / n, 6) + 0.0) AS fn_frac, (round(errors / n, 6) + 0.0) AS error
 FROM c"""
 
 FOLD_ERROR_MEAN = _with(_PAIRS) + f""",
 folded AS (SELECT *, {_FOLD.format(b=_BUCKET.format(id="doc_id"))} AS fold FROM pairs),
 f AS (SELECT fold, count(*) AS n, count(*) FILTER (WHERE label <> prediction) AS errors
       FROM folded GROUP BY fold)
-SELECT count(errors / n) AS n_folds, round(avg(errors / n), 6) AS mean_error FROM f"""
+SELECT count(errors / n) AS n_folds, (round(avg(errors / n), 6) + 0.0) AS mean_error FROM f"""
 
 # ---- text counts ----------------------------------------------------------------
 
