@@ -219,8 +219,8 @@ def q_line_count_threshold(spark, sf_dir):
 def labeled(spark: SparkSession, sf_dir: str, feature_set: str = "genes") -> DataFrame:
     """Binding L + B: labelled points from the per-sample top-k features."""
     a = long_analysis(spark, sf_dir)
-    feats = a.sample_features(tables.long_background(spark, sf_dir))
-    return ml.labeled_points(feats, feature_set, a.k)
+    background = tables.long_background(spark, sf_dir) if feature_set == "life_stats" else None
+    return ml.labeled_points(a.sample_features(background), feature_set, a.k)
 
 
 def labeled_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
