@@ -53,6 +53,12 @@ def holdout_of(sample_id) -> F.Column:
                   F.lit("train")).otherwise(F.lit("test"))
 
 
+def holdout_split(df: DataFrame, id_col: str = "sample_id") -> tuple[DataFrame, DataFrame]:
+    """M3: (train, test) by the 70/30 hash hold-out of the sample id."""
+    part = holdout_of(F.col(id_col))
+    return df.filter(part == F.lit("train")), df.filter(part == F.lit("test"))
+
+
 def with_folds(df: DataFrame, id_col: str = "sample_id") -> DataFrame:
     return df.withColumn("fold", fold_of(F.col(id_col)))
 

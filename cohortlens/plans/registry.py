@@ -244,9 +244,10 @@ def q_model_comparison(spark, sf_dir):
 
 
 def q_model_roundtrip(spark, sf_dir):
-    """S10 + M7 + M9: fit, save, reload; both predictions side by side."""
+    """M3 + S10 + M7 + M9: fit on the 70/30 hold-out, save, reload; both
+    predictions side by side for the held-out samples."""
     points = durable(labeled(spark, sf_dir))
-    train, test = ml.training_split(points, 0)
+    train, test = ml.holdout_split(points)
     fitted = ml.estimator("tree_gini").fit(train)
     path = f"{model_dir(spark)}/tree_gini-{uuid.uuid4().hex}"
     ml.save(fitted, path)

@@ -83,6 +83,14 @@ def test_model_save_and_reload(spark, tmp_path):
     assert a == b
 
 
+def test_holdout_split_is_about_70_30_and_disjoint(spark):
+    ids = spark.range(0, 4000).withColumnRenamed("id", "sample_id")
+    train, test = ml.holdout_split(ids)
+    n_train, n_test = train.count(), test.count()
+    assert n_train + n_test == 4000 and 0.65 < n_train / 4000 < 0.75
+    assert train.join(test, "sample_id").count() == 0
+
+
 def test_unknown_model_rejected():
     with pytest.raises(ValueError):
         ml.estimator("svm")
