@@ -49,8 +49,10 @@ ranked AS (
   FROM tscores WHERE t IS NOT NULL AND NOT isnan(t)
   ORDER BY t DESC, cluster ASC LIMIT {k})"""
 
-_ROUND_T = """(round(t, 6) + 0.0) AS t, (round(mean_case, 6) + 0.0) AS mean_case, (round(sd_case, 6) + 0.0) AS sd_case,
-       (round(mean_control, 6) + 0.0) AS mean_control, (round(sd_control, 6) + 0.0) AS sd_control"""
+_ROUND_T = """(round(t, 6) + 0.0) AS t,
+       (round(mean_case, 6) + 0.0) AS mean_case, (round(sd_case, 6) + 0.0) AS sd_case,
+       (round(mean_control, 6) + 0.0) AS mean_control,
+       (round(sd_control, 6) + 0.0) AS sd_control"""
 
 
 def _features(k: int = 10) -> str:
@@ -252,8 +254,9 @@ c AS (
          count(*) FILTER (WHERE label <> prediction) AS errors
   FROM pairs)
 SELECT n, tn, tp, fp, fn, errors,
-       (round(tn / n, 6) + 0.0) AS tn_frac, (round(tp / n, 6) + 0.0) AS tp_frac, (round(fp / n, 6) + 0.0) AS fp_frac,
-       (round(fn / n, 6) + 0.0) AS fn_frac, (round(errors / n, 6) + 0.0) AS error
+       (round(tn / n, 6) + 0.0) AS tn_frac, (round(tp / n, 6) + 0.0) AS tp_frac,
+       (round(fp / n, 6) + 0.0) AS fp_frac, (round(fn / n, 6) + 0.0) AS fn_frac,
+       (round(errors / n, 6) + 0.0) AS error
 FROM c"""
 
 FOLD_ERROR_MEAN = _with(_PAIRS) + f""",

@@ -203,7 +203,8 @@ def evaluation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Document texts as the ``value`` column of a text source."""
-    return big_table(spark, sf_dir, "documents", "doc_id", "text").select(F.col("text").alias("value"))
+    docs = big_table(spark, sf_dir, "documents", "doc_id", "text")
+    return docs.select(F.col("text").alias("value"))
 
 
 def fixed_width_lines(spark: SparkSession, sf_dir: str, width: int = ID_WIDTH) -> DataFrame:
