@@ -66,7 +66,9 @@ def test_cross_validation_learns_separable_data(spark):
     per_fold, results = ml.cross_validate(_separable(spark), num_trees=5)
     rows = per_fold.collect()
     assert len(rows) == 9 and len(results) == 9
-    assert all(r["error"] == 0.0 for r in rows)
+    # single trees see every feature: exact; forests sample features per node
+    assert all(r["error"] == 0.0 for r in rows if r["model"].startswith("tree"))
+    assert all(r["error"] <= 0.05 for r in rows if r["model"].startswith("forest"))
     means = {r["model"]: r["mean_error"] for r in ml.mean_error(per_fold).collect()}
     assert set(means) == set(ml.MODELS)
     assert "If (feature" in ml.describe(results[0].fitted)
