@@ -35,6 +35,7 @@ FOLD_EDGES = (67, 134)
 HOLDOUT_EDGE = 140
 MAX_DEPTH = 5
 FOREST_SEED = 123
+RANDOM_SPLIT_SEED = 1234
 DEFAULT_TREES = 10
 MODELS = ("tree_gini", "tree_entropy", "forest_entropy")
 
@@ -59,8 +60,23 @@ def holdout_split(df: DataFrame, id_col: str = "sample_id") -> tuple[DataFrame,
     return df.filter(part == F.lit("train")), df.filter(part == F.lit("test"))
 
 
-def with_folds(df: DataFrame, id_col: str = "sample_id") -> DataFrame:
-    return df.withColumn("fold", fold_of(F.col(id_col)))
+def with_folds(df: DataFrame, id_col: str = "sample_id", method: str = "hash",
+               seed: int = RANDOM_SPLIT_SEED) -> DataFrame:
+    """Add ``fold`` (0, 1, 2) with weights .335/.335/.33.
+
+    ``method='hash'`` (default) buckets the md5 of the id: the same in every
+    run, layout and engine. ``method='random'`` draws a seeded uniform
+    number per row, like a seeded random split; the draw depends on the
+    partition layout, as the original split did.
+    """
+    if method == "hash":
+        return df.withColumn("fold", fold_of(F.col(id_col)))
+    if method == "random":
+        r = F.rand(seed)
+        edges = [e / FOLD_BUCKETS for e in FOLD_EDGES]
+        return df.withColumn("fold", F.when(r < edges[0], F.lit(0))
+                             .when(r < edges[1], F.lit(1)).otherwise(F.lit(2)))
+    raise ValueError(f"method must be 'hash' or 'random', got {method!r}")
 
 
 def training_split(df: DataFrame, fold: int) -> tuple[DataFrame, DataFrame]:

@@ -85,6 +85,16 @@ def test_model_save_and_reload(spark, tmp_path):
     assert a == b
 
 
+def test_random_folds_have_the_split_weights(spark):
+    ids = spark.range(0, 6000).withColumnRenamed("id", "sample_id")
+    counts = {r["fold"]: r["count"] for r in ml.with_folds(ids, method="random")
+              .groupBy("fold").count().collect()}
+    assert set(counts) == {0, 1, 2} and sum(counts.values()) == 6000
+    assert all(1700 < c < 2300 for c in counts.values())
+    with pytest.raises(ValueError):
+        ml.with_folds(ids, method="other")
+
+
 def test_holdout_split_is_about_70_30_and_disjoint(spark):
     ids = spark.range(0, 4000).withColumnRenamed("id", "sample_id")
     train, test = ml.holdout_split(ids)
