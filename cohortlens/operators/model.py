@@ -72,10 +72,13 @@ def with_folds(df: DataFrame, id_col: str = "sample_id", method: str = "hash",
     if method == "hash":
         return df.withColumn("fold", fold_of(F.col(id_col)))
     if method == "random":
-        r = F.rand(seed)
+        # draw once per row: each evaluation of rand() advances the generator
+        r = F.col("_fold_draw")
         edges = [e / FOLD_BUCKETS for e in FOLD_EDGES]
-        return df.withColumn("fold", F.when(r < edges[0], F.lit(0))
-                             .when(r < edges[1], F.lit(1)).otherwise(F.lit(2)))
+        return (df.withColumn("_fold_draw", F.rand(seed))
+                .withColumn("fold", F.when(r < edges[0], F.lit(0))
+                            .when(r < edges[1], F.lit(1)).otherwise(F.lit(2)))
+                .drop("_fold_draw"))
     raise ValueError(f"method must be 'hash' or 'random', got {method!r}")
 
 
