@@ -88,12 +88,13 @@ def training_split(df: DataFrame, fold: int) -> tuple[DataFrame, DataFrame]:
 
 
 def labeled_points(features: DataFrame, feature_set: str = "genes",
-                   k: int = TOP_K) -> DataFrame:
+                   k: int = TOP_K, fold_method: str = "hash") -> DataFrame:
     """M4 + R7 + P13: ``(sample_id, label, fold, features)``.
 
     A sample without a score in a top-k cluster has zero of that cluster
     (matching the mean's treatment of absent samples). ``life_stats``
-    prepends age; samples without background age are left out.
+    prepends age; samples without background age are left out. Folds as in
+    :func:`with_folds`.
     """
     cols = feature_columns(feature_set, k)
     score_cols = [c for c in cols if c != "age"]
@@ -101,7 +102,7 @@ def labeled_points(features: DataFrame, feature_set: str = "genes",
     if "age" in cols:
         df = df.filter(F.col("age").isNotNull()).withColumn("age", F.col("age").cast("double"))
     assembled = VectorAssembler(inputCols=cols, outputCol="features").transform(df)
-    return with_folds(assembled.select("sample_id", "label", "features"))
+    return with_folds(assembled.select("sample_id", "label", "features"), method=fold_method)
 
 
 def estimator(model: str, num_trees: int = DEFAULT_TREES):
