@@ -58,10 +58,15 @@ def _view_name(path: str) -> str:
 def refresh_tables(spark: SparkSession, sf_dir: str) -> None:
     """Forget the registered views of ``sf_dir`` so files are listed again."""
     for name in TABLES:
-        spark.catalog.dropTempView(_view_name(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+        path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+        spark.catalog.dropTempView(_view_name(path))
+        try:
+            _SPLITS.pop((spark.sparkContext.applicationId, path), None)
+        except Exception:
+            pass
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
+def spread(df: DataFrame, key: str, splits: int | None = None) -> DataFrame:
     """Restore scan parallelism when a source has fewer splits than cores.
 
     A file written as one row group is one split, so everything before the
@@ -75,15 +80,30 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     """
     try:
         want = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
+        have = splits if splits is not None else df.rdd.getNumPartitions()
     except Exception:  # no RDD view (e.g. a remote session): leave the scan as is
         return df
     return df.repartition(want, key) if have < want else df
 
 
+# Split counts of registered tables: planning a scan to count them costs about
+# as much as the rest of a query's construction, and they cannot change while
+# the table's view exists.
+_SPLITS: dict[tuple[str, str], int] = {}
+
+
 def big_table(spark: SparkSession, sf_dir: str, name: str, key: str, *cols: str) -> DataFrame:
     """Scan only ``key`` and ``cols`` of a row-heavy table, spread over the cluster."""
-    return spread(table(spark, sf_dir, name).select(key, *cols), key)
+    df = table(spark, sf_dir, name).select(key, *cols)
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    try:
+        memo = (spark.sparkContext.applicationId, path)
+        if memo not in _SPLITS:
+            _SPLITS[memo] = df.rdd.getNumPartitions()
+        splits = _SPLITS[memo]
+    except Exception:  # no RDD view (e.g. a remote session)
+        splits = None
+    return spread(df, key, splits)
 
 
 # ---- L: long binding --------------------------------------------------------
