@@ -21,12 +21,10 @@ def top_k(t_scores: DataFrame, k: int = TOP_K, by: str = "signed") -> DataFrame:
     if by not in ("signed", "abs"):
         raise ValueError(f"by must be 'signed' or 'abs', got {by!r}")
     key = F.col("t") if by == "signed" else F.abs(F.col("t"))
-    ranked = (t_scores.filter(F.col("t").isNotNull() & ~F.isnan("t"))
-              .withColumn("_key", key)
-              .orderBy(F.col("_key").desc(), F.col("cluster").asc())
-              .limit(k))
-    order = Window.orderBy(F.col("_key").desc(), F.col("cluster").asc())
-    return ranked.withColumn("rank", F.row_number().over(order)).drop("_key")
+    order = (key.desc(), F.col("cluster").asc())
+    top = (t_scores.filter(F.col("t").isNotNull() & ~F.isnan("t"))
+           .orderBy(*order).limit(k))
+    return top.select("*", F.row_number().over(Window.orderBy(*order)).alias("rank"))
 
 
 def report(ranked: DataFrame) -> DataFrame:
