@@ -34,9 +34,10 @@ STAT_COLS = ("t", "mean", "sd", "mean_case", "sd_case", "mean_control", "sd_cont
              "score")
 
 
-def _rounded(df: DataFrame) -> DataFrame:
+def _rounded(df: DataFrame, *cols: str) -> DataFrame:
+    """Project ``cols`` (default: all), rounding the statistic columns."""
     return df.select(*[round6(c).alias(c) if c in STAT_COLS else F.col(c)
-                       for c in df.columns])
+                       for c in (cols or df.columns)])
 
 
 def long_analysis(spark: SparkSession, sf_dir: str) -> CohortAnalysis:
@@ -68,20 +69,20 @@ def q_cluster_scores(spark, sf_dir):
 
 def q_cohort_stats(spark, sf_dir):
     st = long_analysis(spark, sf_dir).stats
-    return _rounded(st.select("grp", "cluster", "n", "n_scored", "mean", "sd"))
+    return _rounded(st, "grp", "cluster", "n", "n_scored", "mean", "sd")
 
 
 def q_t_scores_all(spark, sf_dir):
-    return _rounded(long_analysis(spark, sf_dir).t_scores.select(*T_COLS))
+    return _rounded(long_analysis(spark, sf_dir).t_scores, *T_COLS)
 
 
 def q_top_k_clusters(spark, sf_dir):
-    return _rounded(long_analysis(spark, sf_dir).ranked.select(*RANK_COLS))
+    return _rounded(long_analysis(spark, sf_dir).ranked, *RANK_COLS)
 
 
 def q_cluster_lookup(spark, sf_dir):
     a = long_analysis(spark, sf_dir)
-    return _rounded(a.lookup(LOOKUP_CLUSTER).select(*T_COLS))
+    return _rounded(a.lookup(LOOKUP_CLUSTER), *T_COLS)
 
 
 def q_sample_features(spark, sf_dir):
@@ -135,12 +136,12 @@ def q_cohort_sizes_wide(spark, sf_dir):
 
 
 def q_top_k_clusters_wide(spark, sf_dir):
-    return _rounded(wide_analysis(spark, sf_dir).ranked.select(*RANK_COLS))
+    return _rounded(wide_analysis(spark, sf_dir).ranked, *RANK_COLS)
 
 
 def q_cohort_stats_wide(spark, sf_dir):
     st = wide_analysis(spark, sf_dir).stats
-    return _rounded(st.select("grp", "cluster", "n", "n_scored", "mean", "sd"))
+    return _rounded(st, "grp", "cluster", "n", "n_scored", "mean", "sd")
 
 
 def q_sample_features_wide(spark, sf_dir):
