@@ -6,6 +6,7 @@ Commands mirror the original scripts and menu actions:
   features   per-sample top-k feature table with background
   classify   3-fold cross-validation of tree / forest classifiers
   wordcount  thresholded token counts and character counts
+  land       parse a wide text matrix once into long parquet (then --landed)
 
 Results are written with ``--out`` (parquet, overwrite) or a bounded number
 of rows is shown; nothing unbounded is collected to the driver.
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cohortlens.operators import model as ml
 from cohortlens.operators import textcount
-from cohortlens.plans.cohort import from_wide
+from cohortlens.plans.cohort import from_landed, from_wide, land_wide
 from cohortlens.sources import text
 
 
@@ -31,8 +32,11 @@ def _emit(df: DataFrame, out: str | None, show: int) -> None:
 
 
 def _analysis(spark, args):
-    return from_wide(spark, args.matrix, args.annotation, species=args.species,
-                     control=args.control.split(","), case=args.case.split(","), k=args.k)
+    opts = dict(species=args.species, control=args.control.split(","),
+                case=args.case.split(","), k=args.k)
+    if args.landed:
+        return from_landed(spark, args.landed, args.annotation, **opts)
+    return from_wide(spark, args.matrix, args.annotation, **opts)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -40,7 +44,9 @@ def main(argv: list[str] | None = None) -> None:
     sub = p.add_subparsers(dest="command", required=True)
 
     def cohort_args(sp):
-        sp.add_argument("--matrix", required=True, help="wide delimited matrix (header inside)")
+        src = sp.add_mutually_exclusive_group(required=True)
+        src.add_argument("--matrix", help="wide delimited matrix (header inside)")
+        src.add_argument("--landed", help="folder written by the land command")
         sp.add_argument("--annotation", required=True, help="cluster annotation file")
         sp.add_argument("--species", default=text.SPECIES_KEPT)
         sp.add_argument("--control", default="1", help="comma-separated control codes")
@@ -69,9 +75,17 @@ def main(argv: list[str] | None = None) -> None:
     wc.add_argument("--out", help="folder; words/ and chars/ are written below it")
     wc.add_argument("--show", type=int, default=20)
 
+    land = sub.add_parser("land")
+    land.add_argument("--matrix", required=True)
+    land.add_argument("--out", required=True)
+
     args = p.parse_args(argv)
     spark = SparkSession.builder.appName(f"cohortlens-{args.command}").getOrCreate()
 
+    if args.command == "land":
+        land_wide(spark, args.matrix, args.out)
+        return
+
     if args.command == "wordcount":
         counted = textcount.token_counts(textcount.tokens(text.read_lines(spark, args.path)),
                                          args.threshold)

@@ -42,6 +42,17 @@ def test_cli_rank_and_wordcount(spark, tmp_path):
     assert os.path.isdir(tmp_path / "wc/chars")
 
 
+def test_cli_land_then_rank_from_landed(spark, tmp_path):
+    m, a = tmp_path / "matrix.csv", tmp_path / "ann.csv"
+    m.write_text("\n".join(MATRIX) + "\n")
+    a.write_text("\n".join(ANNOTATION) + "\n")
+    main(["land", "--matrix", str(m), "--out", str(tmp_path / "landed")])
+    main(["rank", "--landed", str(tmp_path / "landed"), "--annotation", str(a),
+          "--out", str(tmp_path / "ranked")])
+    rows = spark.read.parquet(str(tmp_path / "ranked")).orderBy("rank").collect()
+    assert [r["cluster"] for r in rows] == ["c1", "c2"]
+
+
 def test_cli_features_and_classify(spark, tmp_path):
     rows = ["PATIENT_ID,DIAGNOSIS,10,20,30"]
     bg = ["1 Age:50 Sex:M Ed:PhD"]  # a malformed line is quarantined
