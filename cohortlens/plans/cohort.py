@@ -116,17 +116,20 @@ def land_wide(spark: SparkSession, matrix: str | DataFrame, path: str) -> str:
     disk) for the three writes, so the text is read once. Returns ``path``.
     """
     rows = text.wide_rows(spark, matrix).persist(StorageLevel.MEMORY_AND_DISK)
-    data = rows.filter(~F.coalesce(cell("cells", 0) == F.lit(text.HEADER_MARKER), F.lit(False)))
-    (data.select(cell("cells", 0).alias("sample_id"), cell("cells", 1).alias("code"))
-     .write.mode("overwrite").parquet(f"{path}/samples"))
-    (data.select(cell("cells", 0).alias("sample_id"), cell("cells", 1).alias("code"),
-                 F.posexplode("cells").alias("position", "raw"))
-     .filter(F.col("position") >= 2)
-     .select("sample_id", "code", "position", to_double("raw").alias("value"))
-     .filter(F.col("value").isNotNull())
-     .write.mode("overwrite").parquet(f"{path}/cells"))
-    reshape.header_positions(rows).write.mode("overwrite").parquet(f"{path}/header")
-    rows.unpersist()
+    try:
+        is_header = F.coalesce(cell("cells", 0) == F.lit(text.HEADER_MARKER), F.lit(False))
+        data = rows.filter(~is_header)
+        (data.select(cell("cells", 0).alias("sample_id"), cell("cells", 1).alias("code"))
+         .write.mode("overwrite").parquet(f"{path}/samples"))
+        (data.select(cell("cells", 0).alias("sample_id"), cell("cells", 1).alias("code"),
+                     F.posexplode("cells").alias("position", "raw"))
+         .filter(F.col("position") >= 2)
+         .select("sample_id", "code", "position", to_double("raw").alias("value"))
+         .filter(F.col("value").isNotNull())
+         .write.mode("overwrite").parquet(f"{path}/cells"))
+        reshape.header_positions(rows).write.mode("overwrite").parquet(f"{path}/header")
+    finally:
+        rows.unpersist()
     return path
 
 
