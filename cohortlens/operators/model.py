@@ -32,6 +32,7 @@ from cohortlens.session import durable
 # hold-out split 0.7/0.3, and the model settings of the classifiers.
 FOLD_BUCKETS = 200
 FOLD_EDGES = (67, 134)
+N_FOLDS = len(FOLD_EDGES) + 1
 HOLDOUT_EDGE = 140
 MAX_DEPTH = 5
 FOREST_SEED = 123
@@ -162,8 +163,9 @@ class FoldResult:
 
 
 def cross_validate(points: DataFrame, models=MODELS, num_trees: int = DEFAULT_TREES,
-                   folds: int = 3, parallelism: int = 4) -> tuple[DataFrame, list[FoldResult]]:
-    """Every model × fold; returns per-fold metrics and fitted models.
+                   parallelism: int = 4) -> tuple[DataFrame, list[FoldResult]]:
+    """Every model × fold (the ``N_FOLDS`` folds of :func:`with_folds`);
+    returns per-fold metrics and fitted models.
 
     The labelled points are materialised once (checkpoint when a shared
     checkpoint folder is configured) and reused by all fits. Fits are
@@ -172,7 +174,7 @@ def cross_validate(points: DataFrame, models=MODELS, num_trees: int = DEFAULT_TR
     distributed over the cluster.
     """
     points = durable(points)
-    tasks = [(name, fold) for name in models for fold in range(folds)]
+    tasks = [(name, fold) for name in models for fold in range(N_FOLDS)]
 
     def fit(task):
         name, fold = task

@@ -7,7 +7,6 @@ output so results compare across engines (float sums depend on order).
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 from collections.abc import Callable
 
@@ -165,9 +164,9 @@ def q_background_parse(spark, sf_dir):
 def q_background_csv_parse(spark, sf_dir):
     """S1 + S6 through files: the rendered background is written as text to
     the shared folder, then read back by Spark's CSV reader (PERMISSIVE)."""
-    key = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
+    # a fresh folder per call: a lazy reader of an earlier call keeps its files
     path = text.write_lines(tables.background_lines(spark, sf_dir),
-                            shared_path(spark, "tables", f"background-{key}"))
+                            shared_path(spark, "tables", f"background-{uuid.uuid4().hex}"))
     return text.background_csv(spark, path)
 
 
