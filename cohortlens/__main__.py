@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortlens.operators import model as ml
@@ -89,13 +90,16 @@ def main(argv: list[str] | None = None) -> None:
     if args.command == "wordcount":
         counted = textcount.token_counts(textcount.tokens(text.read_lines(spark, args.path)),
                                          args.threshold)
-        chars = textcount.char_counts(counted)
         if args.out:
+            # characters come from the written word table: the corpus is read once
             _emit(counted, f"{args.out}/words", args.show)
-            _emit(chars, f"{args.out}/chars", args.show)
+            words = spark.read.parquet(f"{args.out}/words")
+            _emit(textcount.char_counts(words), f"{args.out}/chars", args.show)
         else:
-            _emit(chars, None, args.show)
+            counted = counted.persist(StorageLevel.MEMORY_AND_DISK)
+            _emit(textcount.char_counts(counted), None, args.show)
             _emit(counted, None, args.show)
+            counted.unpersist()
         return
 
     a = _analysis(spark, args)

@@ -21,7 +21,6 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -112,24 +111,22 @@ def land_wide(spark: SparkSession, matrix: str | DataFrame, path: str) -> str:
     (sample_id, code, position, value): numeric cells only, each carrying its
     row's code; ``header/`` (feature_id, position). Every later analysis
     (:func:`from_landed`) reads columnar data with pruning instead of
-    re-parsing the text. The parsed rows are persisted (memory, spilling to
-    disk) for the three writes, so the text is read once. Returns ``path``.
+    re-parsing the text. Landing reads the text once per output; the parsed
+    rows are not cached, since for a large matrix they would not fit in
+    executor memory and would only spill to local disks. Returns ``path``.
     """
-    rows = text.wide_rows(spark, matrix).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        is_header = F.coalesce(cell("cells", 0) == F.lit(text.HEADER_MARKER), F.lit(False))
-        data = rows.filter(~is_header)
-        (data.select(cell("cells", 0).alias("sample_id"), cell("cells", 1).alias("code"))
-         .write.mode("overwrite").parquet(f"{path}/samples"))
-        (data.select(cell("cells", 0).alias("sample_id"), cell("cells", 1).alias("code"),
-                     F.posexplode("cells").alias("position", "raw"))
-         .filter(F.col("position") >= 2)
-         .select("sample_id", "code", "position", to_double("raw").alias("value"))
-         .filter(F.col("value").isNotNull())
-         .write.mode("overwrite").parquet(f"{path}/cells"))
-        reshape.header_positions(rows).write.mode("overwrite").parquet(f"{path}/header")
-    finally:
-        rows.unpersist()
+    rows = text.wide_rows(spark, matrix)
+    is_header = F.coalesce(cell("cells", 0) == F.lit(text.HEADER_MARKER), F.lit(False))
+    data = rows.filter(~is_header)
+    (data.select(cell("cells", 0).alias("sample_id"), cell("cells", 1).alias("code"))
+     .write.mode("overwrite").parquet(f"{path}/samples"))
+    (data.select(cell("cells", 0).alias("sample_id"), cell("cells", 1).alias("code"),
+                 F.posexplode("cells").alias("position", "raw"))
+     .filter(F.col("position") >= 2)
+     .select("sample_id", "code", "position", to_double("raw").alias("value"))
+     .filter(F.col("value").isNotNull())
+     .write.mode("overwrite").parquet(f"{path}/cells"))
+    reshape.header_positions(rows).write.mode("overwrite").parquet(f"{path}/header")
     return path
 
 
@@ -138,9 +135,12 @@ def from_landed(spark: SparkSession, path: str, annotation: str | DataFrame,
                 control: Iterable[str] = CONTROL_CODES, case: Iterable[str] = CASE_CODES,
                 k: int = rank.TOP_K) -> CohortAnalysis:
     """Analysis over a matrix written by :func:`land_wide` (same results)."""
+    codes = [*control, *case]
+
     def with_grp(df):
-        return (df.withColumn("grp", cohort_label("code", control, case))
-                .filter(F.col("grp").isNotNull()))
+        # a plain IN on the stored column reaches the parquet scan
+        return (df.filter(F.col("code").isin(codes))
+                .withColumn("grp", cohort_label("code", control, case)))
 
     members = reshape.membership(text.annotation(spark, annotation, species))
     pos_map = reshape.position_clusters(members, spark.read.parquet(f"{path}/header"))

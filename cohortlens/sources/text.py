@@ -31,9 +31,12 @@ def read_lines(spark: SparkSession, source: str | DataFrame) -> DataFrame:
     return spark.read.text(source)
 
 
-def write_lines(lines: DataFrame, path: str) -> str:
-    """Text sink: write the ``value`` column as text files (overwrite)."""
-    lines.select("value").write.mode("overwrite").text(path)
+def write_lines(lines: DataFrame, path: str, mode: str = "overwrite") -> str:
+    """Text sink: write the ``value`` column as text files.
+
+    ``mode='ignore'`` writes only if ``path`` does not exist yet (write once).
+    """
+    lines.select("value").write.mode(mode).text(path)
     return path
 
 
