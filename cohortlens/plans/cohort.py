@@ -39,6 +39,7 @@ class CohortAnalysis:
     key: str
     k: int = rank.TOP_K
     cohort_sizes: DataFrame | None = None  # (grp, n) when known from elsewhere
+    map_checked_small: bool = False  # feature map counted and found broadcastable
     _memo: dict = field(default_factory=dict, repr=False)
 
     def _get(self, name, build):
@@ -77,22 +78,44 @@ class CohortAnalysis:
 
     def sample_features(self, background: DataFrame | None = None) -> DataFrame:
         return feat.sample_features(self.cells, self.feature_clusters, self.key, self.ranked,
-                                    self.k, background)
+                                    self.k, background, broadcast_map=self.map_checked_small)
+
+
+# Largest position map broadcast (one row per header position and cluster).
+MAP_BROADCAST_ROWS = 1_000_000
+
+
+def checked_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
+    """Broadcast ``df`` only after counting it: at most ``max_rows`` rows.
+
+    Spark's static size estimate of a map derived from other tables can be far
+    off (it does not shrink through aggregates), and a shuffle join on a
+    position key with few distinct values would funnel the cells into that
+    many tasks. Beyond ``max_rows`` the join is left to Spark (sort-merge with
+    AQE skew splitting).
+    """
+    small = df.count() <= max_rows
+    return (F.broadcast(df) if small else df), small
 
 
 def from_wide(spark: SparkSession, matrix: str | DataFrame, annotation: str | DataFrame,
               species: str | None = text.SPECIES_KEPT,
               control: Iterable[str] = CONTROL_CODES, case: Iterable[str] = CASE_CODES,
-              k: int = rank.TOP_K) -> CohortAnalysis:
+              k: int = rank.TOP_K, map_broadcast_rows: int = MAP_BROADCAST_ROWS
+              ) -> CohortAnalysis:
     """Wide delimited matrix + annotation → analysis keyed by column position.
 
     The matrix text is read twice: one global aggregate yields both the
-    header and the cohort sizes, and one pass unpivots the cohort rows.
+    header and the cohort sizes (kept, one row), and one pass unpivots the
+    cohort rows. The position map is counted when the analysis is built and
+    broadcast only if it is small (:func:`checked_broadcast`).
     """
     rows = text.wide_rows(spark, matrix)
-    summary = reshape.matrix_summary(rows, control, case)
+    summary = reshape.matrix_summary(rows, control, case).cache()
     members = reshape.membership(text.annotation(spark, annotation, species))
-    pos_map = reshape.position_clusters(members, reshape.summary_positions(summary))
+    pos_map, small = checked_broadcast(
+        reshape.position_clusters(members, reshape.summary_positions(summary)),
+        map_broadcast_rows)
     cohort_rows = reshape.cohort_rows(rows, control, case)
     return CohortAnalysis(
         cohort=cohort_rows.select("sample_id", "grp"),
@@ -101,6 +124,7 @@ def from_wide(spark: SparkSession, matrix: str | DataFrame, annotation: str | Da
         key="position",
         k=k,
         cohort_sizes=reshape.summary_sizes(summary),
+        map_checked_small=small,
     )
 
 
@@ -133,7 +157,8 @@ def land_wide(spark: SparkSession, matrix: str | DataFrame, path: str) -> str:
 def from_landed(spark: SparkSession, path: str, annotation: str | DataFrame,
                 species: str | None = text.SPECIES_KEPT,
                 control: Iterable[str] = CONTROL_CODES, case: Iterable[str] = CASE_CODES,
-                k: int = rank.TOP_K) -> CohortAnalysis:
+                k: int = rank.TOP_K, map_broadcast_rows: int = MAP_BROADCAST_ROWS
+                ) -> CohortAnalysis:
     """Analysis over a matrix written by :func:`land_wide` (same results)."""
     codes = [*control, *case]
 
@@ -143,7 +168,9 @@ def from_landed(spark: SparkSession, path: str, annotation: str | DataFrame,
                 .withColumn("grp", cohort_label("code", control, case)))
 
     members = reshape.membership(text.annotation(spark, annotation, species))
-    pos_map = reshape.position_clusters(members, spark.read.parquet(f"{path}/header"))
+    pos_map, small = checked_broadcast(
+        reshape.position_clusters(members, spark.read.parquet(f"{path}/header")),
+        map_broadcast_rows)
     return CohortAnalysis(
         cohort=with_grp(spark.read.parquet(f"{path}/samples")).select("sample_id", "grp"),
         cells=with_grp(spark.read.parquet(f"{path}/cells"))
@@ -151,6 +178,7 @@ def from_landed(spark: SparkSession, path: str, annotation: str | DataFrame,
         feature_clusters=pos_map,
         key="position",
         k=k,
+        map_checked_small=small,
     )
 
 
