@@ -48,9 +48,9 @@ def heavy_digests(digests: DataFrame, k: int = COUNTERS) -> DataFrame:
 
     found = digests.select("digest").mapInPandas(summarise, "digest string, n long")
     sums = written(found.groupBy("digest").agg(F.sum("n").alias("n")), "misra-gries")
-    total = sums.filter("digest is null").select(F.col("n").alias("total"))
-    return (sums.filter("digest is not null").join(F.broadcast(total))
-            .filter(F.col("n") * (k + 1) > F.col("total")).select("digest"))
+    total = sums.filter("digest is null").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return (sums.filter("digest is not null").filter(F.col("n") * (k + 1) > total)
+            .select("digest"))
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
