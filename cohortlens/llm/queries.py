@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import chat, decontam, exact_dedup, mixing, token_output, warc
+from cohortlens.llm import chat, decontam, exact_dedup, mixing, token_output, toxicity, warc
 from cohortlens.llm.common import ship_package
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -38,6 +38,10 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(_table(spark, sf_dir, "documents"),
                                  _table(spark, sf_dir, "benchmark"))
@@ -45,7 +49,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op3_chat_formatting, op4_warc, op5_token_output, op6_source_mixing, op8_exact_dedup,
-    op10_decontamination)}
+    op9_toxicity, op10_decontamination)}
 
 ORACLE = {
     "op8_exact_dedup": """
