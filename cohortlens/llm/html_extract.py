@@ -307,7 +307,7 @@ def train(pages: tuple[str, ...] = LABELLED_PAGES, steps: int = STEPS) -> tuple:
         for x, parents, y in data:
             p, both = marginals((x @ weights).tolist(), parents, pair.tolist())
             grad_w = grad_w + x.T @ (y - p)
-            grad_p = grad_p - np.sum(both[1:], axis=0).reshape(2, 2)
+            grad_p = grad_p - np.sum(np.reshape(both[1:], (-1, 2, 2)), axis=0)
         speed_w = 0.9 * speed_w + grad_w / total
         speed_p = 0.9 * speed_p + grad_p / total
         weights, pair = weights + RATE * speed_w, pair + RATE * speed_p
