@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import io
 import uuid
 import zipfile
@@ -37,6 +38,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete shuffle files of plans that nothing refers to any more.
+
+    Its cleaner acts when the driver's garbage is collected, which on a large
+    heap may be long after a multi-step operator has moved on.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     """Filesystem and path of a URI, usable in tasks (``file:/x`` and ``file:///x`` alike)."""
     if uri.startswith("file:/") and not uri.startswith("file:///"):

@@ -67,6 +67,8 @@ _SKELETONS = (
     "<aside><p>@long</p><p>@long</p></aside><footer><p>@long</p></footer></body>",
     # text without structure
     "<body data-content=1>@long @long</body>",
+    "<body data-content=1>@line @line @line</body>",
+    "<body data-content=1>@line</body>",
     "<body data-content=1><p>@long</p><p>@long</p><p>@line</p></body>",
     "<body data-content=1><h1>Lorem</h1><p>@line</p><p>@long</p></body>",
     # notices, adverts and forms around a section

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import chat, decontam, exact_dedup, html_extract, mixing, token_output, toxicity, warc
+from cohortlens.llm import chat, decontam, exact_dedup, html_extract, mixing, substring_dedup, token_output, toxicity, warc
 from cohortlens.llm.common import ship_package
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -38,6 +38,10 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(_table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
@@ -52,7 +56,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_html_extraction, op3_chat_formatting, op4_warc, op5_token_output, op6_source_mixing, op8_exact_dedup,
+    op2_html_extraction, op3_chat_formatting, op4_warc, op5_token_output, op6_source_mixing, op7_substring_dedup, op8_exact_dedup,
     op9_toxicity, op10_decontamination)}
 
 ORACLE = {
