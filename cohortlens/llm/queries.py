@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import chat, decontam, exact_dedup, html_extract, mixing, substring_dedup, token_output, toxicity, warc
+from cohortlens.llm import chat, decontam, exact_dedup, html_extract, minhash, mixing, substring_dedup, token_output, toxicity, warc
 from cohortlens.llm.common import ship_package
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -16,6 +16,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_dedup(_table(spark, sf_dir, "documents")).drop("node")
+
+
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_main_text(_table(spark, sf_dir, "pages"))
 
@@ -56,7 +60,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_html_extraction, op3_chat_formatting, op4_warc, op5_token_output, op6_source_mixing, op7_substring_dedup, op8_exact_dedup,
+    op1_minhash_near_dedup, op2_html_extraction, op3_chat_formatting, op4_warc, op5_token_output, op6_source_mixing, op7_substring_dedup, op8_exact_dedup,
     op9_toxicity, op10_decontamination)}
 
 ORACLE = {
