@@ -288,12 +288,16 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
         index = build_index(block, q, rate)
         if index is None:
             continue
-        shared = docs.sparkSession.sparkContext.broadcast(index)
+        docs = docs.filter(_clean(docs, index)(F.col(text_col)))
+    return docs
 
-        @F.pandas_udf("boolean")
-        def clean(texts: pd.Series, shared=shared) -> pd.Series:
-            dirty = {f[0] for f in match_batch(shared.value, texts.fillna("").tolist())}
-            return pd.Series([i not in dirty for i in range(len(texts))], dtype=bool)
 
-        docs = docs.filter(clean(F.col(text_col)))
-    return docs
+def _clean(docs: DataFrame, index: Index):
+    shared = docs.sparkSession.sparkContext.broadcast(index)
+
+    @F.pandas_udf("boolean")
+    def clean(texts: pd.Series) -> pd.Series:
+        dirty = {f[0] for f in match_batch(shared.value, texts.fillna("").tolist())}
+        return pd.Series([i not in dirty for i in range(len(texts))], dtype=bool)
+
+    return clean

@@ -397,7 +397,9 @@ def drop_near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFram
     no_id = marked.filter("class_id is null").select("class_id", F.col("node").alias("_node"))
     chosen = chosen.filter("class_id is not null").unionAll(no_id.distinct()).select(
         F.col("class_id").alias("_id"), "_node")
-    node = node_of(text_of("text"))
-    kept = docs.join(chosen, (node == chosen["_node"])
-                     & docs["doc_id"].eqNullSafe(chosen["_id"]))
-    return kept.dropDuplicates(["_node", "_id"]).drop("_id", "_node")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+                       F.col("doc_id").alias("_id"), node_of(text_of("text")).alias("_node"))
+    both = rows.alias("r").join(chosen.alias("c"), (F.col("r._node") == F.col("c._node"))
+                                & F.col("r._id").eqNullSafe(F.col("c._id")))
+    return (both.select("r.row", "r._id", "r._node").dropDuplicates(["_node", "_id"])
+            .select("row.*"))

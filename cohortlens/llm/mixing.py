@@ -103,24 +103,19 @@ def selected_before(position: Column, block: Column, blocks: Column, extra: Colu
     return taken(i) * block + (taken(i + 1) - taken(i)) * (position - i * block)
 
 
-def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                source_col: str = "source", weights=WEIGHTS, share: float = SHARE,
-                seed: int = SEED, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """One row per document: ``doc_id, source, size, source_size, target, taken``.
-
-    ``size`` counts the words of the whole text (null: 0); a null source is a
-    source of its own, last in order. ``taken`` is the number of words the mix
-    takes from the document, at most twice its size. Sources without words have
-    target 0 and are taken 0 times. Repeated rows are separate documents; an
-    empty table gives no rows; other columns are ignored. The result depends on
-    ids, sizes, sources and ``seed`` only, never on partitions.
-    """
-    sizes = written(docs.select(
+def measured(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """``doc_id, source, size`` of each row, and the row itself as ``row``."""
+    return docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-        F.regexp_count(text_of(text_col), F.lit(WORD_PATTERN)).cast("long").alias("size")),
-        "sizes")
-    sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = source_targets(sources, weights, share)
+        F.regexp_count(text_of(text_col), F.lit(WORD_PATTERN)).cast("long").alias("size"),
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+
+
+def apportioned_sources(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE,
+                        shard_words: int = SHARD_WORDS) -> DataFrame:
+    """Per source: its number, size, target, quota of blocks, block size and shards."""
+    targets = source_targets(sizes.groupBy("source").agg(F.sum("size").alias("source_size")),
+                             weights, share)
     everything = Window.partitionBy(F.lit(0))
     least = F.min(F.when(F.col("source_size") > 0, F.col("source_size"))).over(everything)
     targets = (targets
@@ -131,19 +126,30 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    F.lit(MOST_SHARDS), F.ceil(F.col("source_size") / shard_words))))
                .withColumn("source_no", F.row_number().over(
                    Window.orderBy(F.col("source").asc_nulls_last()))))
-    apportioned = written(highest_quotients(
+    return highest_quotients(
         targets, [], ["source_no"], "target",
-        F.round(F.sum("target").over(everything) / F.col("block")).cast("long"), "most")
-        .select("source", "source_no", "source_size", "target", "block", "shards",
-                F.col("quota").alias("source_quota")), "targets")
-
-    placed = (sizes.alias("d").join(apportioned.alias("a"),
-                                    F.col("d.source").eqNullSafe(F.col("a.source")))
-              .select("d.doc_id", "d.source", "d.size", "a.source_no", "a.source_size",
-                      "a.target", "a.block", "a.shards", "a.source_quota",
-                      F.xxhash64(F.lit(seed), F.col("d.doc_id")).alias("lot"))
-              .withColumn("shard", F.pmod(F.col("lot"), F.col("shards"))))
-    shards = (placed.groupBy("source_no", "shard", "block", "source_quota")
+        F.round(F.sum("target").over(everything) / F.col("block")).cast("long"), "most"
+    ).withColumnRenamed("quota", "source_quota").drop("weight", "most")
+
+
+def selected(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, seed: int = SEED,
+             shard_words: int = SHARD_WORDS) -> DataFrame:
+    """``rows`` (of :func:`measured`, or without ``row``) with what the mix takes of them.
+
+    ``source_size, target``; ``whole``: times all of the document is taken;
+    ``start, block, blocks, extra, offset``: its place in its shard's stream and
+    the shard's extra selection.
+    """
+    sizes = written(rows.select("doc_id", "source", "size"), "sizes")
+    sources = written(apportioned_sources(sizes, weights, share, shard_words), "targets")
+
+    def placed(docs: DataFrame) -> DataFrame:
+        return (docs.alias("d").join(sources.alias("a"),
+                                     F.col("d.source").eqNullSafe(F.col("a.source")))
+                .drop(F.col("a.source"))
+                .withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.col("shards"))))
+
+    shards = (placed(sizes).groupBy("source_no", "shard", "block", "source_quota")
               .agg(F.sum("size").alias("shard_size"))
               .withColumn("shard_most",
                           MOST_REPEATS * F.ceil(F.col("shard_size") / F.col("block"))))
@@ -152,21 +158,70 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     stream = (Window.partitionBy("source_no", "shard")
               .orderBy(F.xxhash64(F.lit(seed + 1), "doc_id"), "doc_id", "size")
               .rowsBetween(Window.unboundedPreceding, 0))
-    blocks = F.ceil(F.col("shard_size") / F.col("block"))
-    mixed = (placed.join(quotas.select("source_no", "shard", "shard_size", "quota"),
-                         ["source_no", "shard"])
-             .withColumn("end", F.sum("size").over(stream))
-             .withColumn("blocks", F.greatest(F.lit(1), blocks))
-             .withColumn("whole", F.floor(F.col("quota") / F.col("blocks")))
-             .withColumn("extra", F.col("quota") - F.col("whole") * F.col("blocks"))
-             .withColumn("offset", F.pmod(F.xxhash64(F.lit(seed + 2), "source_no", "shard"),
-                                          F.col("blocks"))))
-
-    def prefix(position: Column) -> Column:
+    keep = rows if "row" in rows.columns else sizes
+    return (placed(keep)
+            .join(quotas.select("source_no", "shard", "shard_size", "quota"),
+                  ["source_no", "shard"])
+            .withColumn("start", F.sum("size").over(stream) - F.col("size"))
+            .withColumn("blocks", F.greatest(
+                F.lit(1), F.ceil(F.col("shard_size") / F.col("block"))))
+            .withColumn("whole", F.floor(F.col("quota") / F.col("blocks")))
+            .withColumn("extra", F.col("quota") - F.col("whole") * F.col("blocks"))
+            .withColumn("offset", F.pmod(F.xxhash64(F.lit(seed + 2), "source_no", "shard"),
+                                         F.col("blocks"))))
+
+
+def extra_words() -> Column:
+    """Words of a document of :func:`selected` that its shard's extra selection takes."""
+    def before(position: Column) -> Column:
         return selected_before(position, F.col("block"), F.col("blocks"), F.col("extra"),
                                F.col("offset"))
 
-    taken = (F.col("whole") * F.col("size") + prefix(F.col("end"))
-             - prefix(F.col("end") - F.col("size")))
-    return mixed.select("doc_id", "source", "size", "source_size", "target",
-                        taken.cast("long").alias("taken"))
+    return (before(F.col("start") + F.col("size")) - before(F.col("start"))).cast("long")
+
+
+def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                source_col: str = "source", weights=WEIGHTS, share: float = SHARE,
+                seed: int = SEED, shard_words: int = SHARD_WORDS) -> DataFrame:
+    """One row per document: ``doc_id, source, size, source_size, target, taken``.
+
+    ``size`` counts the words of the whole text (null: 0); a null source is a
+    source of its own, last in order. ``taken`` is the number of words the mix
+    takes from the document, at most twice its size. Sources without words have
+    target 0 and are taken 0 times. Repeated rows are separate documents; an
+    empty table gives no rows; other columns are ignored. The result depends on
+    ids, sizes, sources and ``seed`` only, never on partitions.
+    """
+    rows = measured(docs, id_col, text_col, source_col).drop("row")
+    return selected(rows, weights, share, seed, shard_words).select(
+        "doc_id", "source", "size", "source_size", "target",
+        (F.col("whole") * F.col("size") + extra_words()).alias("taken"))
+
+
+def mix_documents(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, seed: int = SEED
+                  ) -> DataFrame:
+    """The mix itself, with the columns of ``docs``: repeated and partly taken documents.
+
+    A document that is taken whole appears unchanged, once per repeat. Blocks of
+    the extra selection that cut a document give a row with the words taken,
+    joined by spaces, and their ``n_chars``. Documents that are not taken, and
+    documents without words, which count nothing towards any target, are left out.
+    """
+    rows = selected(measured(docs, "doc_id", "text", "source"), weights, share, seed)
+    rows = rows.withColumn("some", extra_words()).withColumn("text", F.col("row.text"))
+
+    def taken(i: Column) -> Column:
+        return F.floor((i * F.col("extra") + F.col("offset")) / F.col("blocks"))
+
+    def block_taken(_, i: Column) -> Column:
+        block = F.floor((F.col("start") + i) / F.col("block"))
+        return taken(block + 1) > taken(block)
+
+    part = F.when(F.col("some") == F.col("size"), F.col("text")).otherwise(F.array_join(
+        F.filter(F.regexp_extract_all("text", F.lit(f"({WORD_PATTERN})"), 1), block_taken), " "))
+    texts = F.concat(F.array_repeat("text", F.col("whole").cast("int")),
+                     F.when(F.col("some") > 0, F.array(part)).otherwise(F.array().cast(
+                         "array<string>")))
+    new = {"text": F.col("new"), "n_chars": F.char_length("new").cast("long")}
+    return (rows.filter("size > 0").select("row", F.explode(texts).alias("new"))
+            .select(*(new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns)))
