@@ -16,12 +16,12 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortlens.operators import model as ml
 from cohortlens.operators import textcount
 from cohortlens.plans.cohort import from_landed, from_wide, land_wide
+from cohortlens.session import durable
 from cohortlens.sources import text
 
 
@@ -40,6 +40,13 @@ def _analysis(spark, args):
     return from_wide(spark, args.matrix, args.annotation, **opts)
 
 
+def _background(spark, args) -> DataFrame:
+    """The usable background lines; how many were set aside is shown."""
+    parsed = text.background(spark, args.background)
+    text.background_quality(parsed).show()
+    return parsed.filter(f"{text.CORRUPT} IS NULL").drop(text.CORRUPT)
+
+
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="cohortlens")
     sub = p.add_subparsers(dest="command", required=True)
@@ -69,6 +76,7 @@ def main(argv: list[str] | None = None) -> None:
     cls.add_argument("--background", required=True)
     cls.add_argument("--feature-set", default="genes", choices=("genes", "life_stats"))
     cls.add_argument("--trees", type=int, default=ml.DEFAULT_TREES)
+    # --out gets folds/, mean_error/, trees/ (the learned trees as text) and holdout/
 
     wc = sub.add_parser("wordcount")
     wc.add_argument("path")
@@ -96,25 +104,26 @@ def main(argv: list[str] | None = None) -> None:
             words = spark.read.parquet(f"{args.out}/words")
             _emit(textcount.char_counts(words), f"{args.out}/chars", args.show)
         else:
-            counted = counted.persist(StorageLevel.MEMORY_AND_DISK)
+            counted = durable(counted)
             _emit(textcount.char_counts(counted), None, args.show)
             _emit(counted, None, args.show)
-            counted.unpersist()
         return
 
     a = _analysis(spark, args)
     if args.command == "rank":
         _emit(a.lookup(args.lookup) if args.lookup else a.report(), args.out, args.show)
     elif args.command == "features":
-        bg = text.background(spark, args.background).filter("_corrupt_record IS NULL")
-        _emit(a.sample_features(bg.drop("_corrupt_record")), args.out, args.show)
+        _emit(a.sample_features(_background(spark, args)), args.out, args.show)
     elif args.command == "classify":
-        bg = text.background(spark, args.background).filter("_corrupt_record IS NULL")
-        points = ml.labeled_points(a.sample_features(bg.drop("_corrupt_record")),
-                                   args.feature_set, args.k)
-        per_fold, _ = ml.cross_validate(points, num_trees=args.trees)
-        _emit(per_fold, args.out, args.show)
-        _emit(ml.mean_error(per_fold), None, args.show)
+        features = durable(a.sample_features(_background(spark, args)))
+        ml.age_quality(features).show()
+        points = ml.labeled_points(features, args.feature_set, args.k)
+        per_fold, results = ml.cross_validate(points, num_trees=args.trees)
+        per_fold = durable(per_fold)
+        for name, table in (("folds", per_fold), ("mean_error", ml.mean_error(per_fold)),
+                            ("trees", ml.tree_texts(spark, results)),
+                            ("holdout", ml.holdout_error(points))):
+            _emit(table, args.out and f"{args.out}/{name}", args.show)
 
 
 if __name__ == "__main__":

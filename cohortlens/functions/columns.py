@@ -23,8 +23,15 @@ def _col(c: Column | str) -> Column:
 
 
 def to_double(c: Column | str) -> Column:
-    """Text cell → double; unparsable cells become NULL instead of failing."""
-    return _col(c).try_cast("double")
+    """Text cell → double; cells that are no decimal number become NULL.
+
+    The cast alone would also take Java's suffixes (``5d``, ``2f``) and hex
+    floats. ``nan`` and infinities are NULL too: one such cell would otherwise
+    make its cluster's statistics undefined and drop it from the ranking.
+    """
+    c = _col(c)
+    value = F.when(~c.rlike("[dDfFxX]"), c.try_cast("double"))
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
 def cell(cells: Column | str, index: int) -> Column:
@@ -75,9 +82,4 @@ def welch_t(mean_a: Column, sd_a: Column, n_a: Column,
 
 def characters(word: Column | str) -> Column:
     """Array of the word's characters (code points); empty word → empty array."""
-    word = _col(word)
-    return F.when(
-        F.char_length(word) > 0,
-        F.transform(F.sequence(F.lit(1), F.char_length(word)),
-                    lambda i: F.substring(word, i, 1)),
-    ).otherwise(F.array().cast("array<string>"))
+    return F.filter(F.split(_col(word), ""), lambda ch: ch != "")

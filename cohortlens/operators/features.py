@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.functions import CASE
 from cohortlens.operators.rank import TOP_K
+from cohortlens.operators.stats import join_map
 
 FEATURE_SETS = ("genes", "life_stats")
 
@@ -18,8 +19,7 @@ def feature_names(k: int = TOP_K) -> list[str]:
 
 def sample_features(cells: DataFrame, feature_clusters: DataFrame, key: str,
                     ranked: DataFrame, k: int = TOP_K,
-                    background: DataFrame | None = None,
-                    broadcast_map: bool = False) -> DataFrame:
+                    background: DataFrame | None = None, salts: int = 1) -> DataFrame:
     """One row per (cohort, sample) with the top-k scores in rank order.
 
     J5: the feature→cluster map is first cut down to the top-k clusters
@@ -31,14 +31,13 @@ def sample_features(cells: DataFrame, feature_clusters: DataFrame, key: str,
     shuffled. A sample without values in a cluster gets NULL there; samples
     with none in any top-k cluster do not appear. J6: left join to the
     background on ``sample_id`` (unmatched → NULL fields). ``label`` is 1.0
-    for case samples and 0.0 for control samples. ``broadcast_map`` says the
-    whole feature map was counted and is small; its top-k part is then
-    broadcast too.
+    for case samples and 0.0 for control samples. ``salts`` as in
+    :func:`cohortlens.operators.stats.join_map`.
     """
     names = feature_names(k)
     top_map = feature_clusters.select(key, "cluster").join(
         F.broadcast(ranked.select("cluster", "rank")), "cluster").select(key, "rank")
-    picked = cells.join(F.broadcast(top_map) if broadcast_map else top_map, key)
+    picked = join_map(cells, top_map, key, salts)
     wide = picked.groupBy("grp", "sample_id").agg(*[
         F.sum(F.when(F.col("rank") == i, F.col("value"))).alias(name)
         for i, name in enumerate(names, start=1)

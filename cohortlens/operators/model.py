@@ -9,6 +9,7 @@ depend on partition layout and every engine reproduces it.
 
 from __future__ import annotations
 
+import re
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -20,13 +21,13 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.functions import hash_bucket
 from cohortlens.operators.features import feature_columns
 from cohortlens.operators.rank import TOP_K
-from cohortlens.session import durable
+from cohortlens.session import durable, run_folder
 
 # Fold boundaries on a 200-bucket hash (weights .335/.335/.33),
 # hold-out split 0.7/0.3, and the model settings of the classifiers.
@@ -94,8 +95,8 @@ def labeled_points(features: DataFrame, feature_set: str = "genes",
 
     A sample without a score in a top-k cluster has zero of that cluster
     (matching the mean's treatment of absent samples). ``life_stats``
-    prepends age; samples without background age are left out. Folds as in
-    :func:`with_folds`.
+    prepends age; samples without background age are left out (and counted by
+    :func:`age_quality`). Folds as in :func:`with_folds`.
     """
     cols = feature_columns(feature_set, k)
     score_cols = [c for c in cols if c != "age"]
@@ -159,7 +160,26 @@ class FoldResult:
     model: str
     fold: int
     fitted: Model
-    metrics: DataFrame
+
+
+def by_fold(points: DataFrame) -> DataFrame:
+    """``points`` written once to the shared folder, one sub-folder per fold.
+
+    Training and test scans then read the folders of their folds only.
+    """
+    path = f"{run_folder(points.sparkSession, 'points')}/points"
+    points.write.partitionBy("fold").parquet(path)
+    return points.sparkSession.read.schema(points.schema).parquet(path)
+
+def predictions(fitted: dict[str, Model], test: DataFrame) -> DataFrame:
+    """M7: ``model, label, prediction`` of several models from one scan of ``test``."""
+    for i, model in enumerate(fitted.values()):
+        test = model.copy().setPredictionCol(f"_p{i}").setRawPredictionCol(
+            f"_r{i}").setProbabilityCol(f"_q{i}").transform(test)
+    each = F.array(*[F.struct(F.lit(name).alias("model"), F.col(f"_p{i}").alias("prediction"))
+                     for i, name in enumerate(fitted)])
+    return test.select("label", F.explode(each).alias("m")).select("m.model", "label",
+                                                                   "m.prediction")
 
 
 def cross_validate(points: DataFrame, models=MODELS, num_trees: int = DEFAULT_TREES,
@@ -167,34 +187,55 @@ def cross_validate(points: DataFrame, models=MODELS, num_trees: int = DEFAULT_TR
     """Every model × fold (the ``N_FOLDS`` folds of :func:`with_folds`);
     returns per-fold metrics and fitted models.
 
-    The labelled points are materialised once (checkpoint when a shared
-    checkpoint folder is configured) and reused by all fits. Fits are
+    The labelled points are written once by fold (:func:`by_fold`). Fits are
     independent Spark jobs, so up to ``parallelism`` of them are submitted
     at once (as Spark ML's own tuning estimators do); each fit is itself
-    distributed over the cluster.
+    distributed over the cluster. Each fold is then evaluated in one scan, all
+    its models side by side.
     """
-    points = durable(points)
+    points = by_fold(points)
     tasks = [(name, fold) for name in models for fold in range(N_FOLDS)]
 
     def fit(task):
         name, fold = task
         train, _ = training_split(points, fold)
-        return estimator(name, num_trees).fit(train)
+        return FoldResult(name, fold, estimator(name, num_trees).fit(train))
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        fitted_models = list(pool.map(fit, tasks))
-    results: list[FoldResult] = []
-    for (name, fold), fitted in zip(tasks, fitted_models):
+        results = list(pool.map(fit, tasks))
+    table = None
+    for fold in range(N_FOLDS):
         _, test = training_split(points, fold)
-        metrics = evaluate(fitted, test).select(
-            F.lit(name).alias("model"), F.lit(fold).alias("fold"), "*")
-        results.append(FoldResult(name, fold, fitted, metrics))
-    table = results[0].metrics
-    for r in results[1:]:
-        table = table.unionByName(r.metrics)
+        # fold and model names come from the left side, so a fold without test rows keeps its row
+        names = test.sparkSession.createDataFrame([(m, fold) for m in models],
+                                                  "model string, fold int")
+        counted = confusion(predictions({r.model: r.fitted for r in results if r.fold == fold},
+                                        test), by=("model",))
+        rows = names.join(counted, "model", "left").fillna(
+            0, ["n", "tn", "tp", "fp", "fn", "errors"])
+        table = rows if table is None else table.unionByName(rows)
     return table, results
 
 
+def tree_texts(spark: SparkSession, results: list[FoldResult]) -> DataFrame:
+    """M9: ``model, fold, line_no, line`` of the learned trees."""
+    rows = [(r.model, r.fold, i, line) for r in results
+            for i, line in enumerate(describe(r.fitted).rstrip("\n").split("\n"))]
+    return spark.createDataFrame(rows, "model string, fold int, line_no int, line string")
+
+
+def holdout_error(points: DataFrame, model: str = "tree_gini") -> DataFrame:
+    """M3 + M8: the confusion matrix and error of a model fitted on the 70 % hold-out."""
+    train, test = holdout_split(durable(points))
+    return evaluate(estimator(model).fit(train), test)
+
+
+def age_quality(features: DataFrame) -> DataFrame:
+    """``n_samples, n_without_age`` of a feature table: what ``life_stats`` leaves out."""
+    return features.agg(F.count(F.lit(1)).alias("n_samples"),
+                        F.count(F.when(F.col("age").isNull(), 1)).alias("n_without_age"))
+
+
 def mean_error(per_fold: DataFrame) -> DataFrame:
     """Mean fold error per model (folds with NULL error are skipped)."""
     return per_fold.groupBy("model").agg(
@@ -204,8 +245,8 @@ def mean_error(per_fold: DataFrame) -> DataFrame:
 
 
 def describe(model: Model) -> str:
-    """M9: the learned trees as text."""
-    return model.toDebugString
+    """M9: the learned trees as text (without the random uid)."""
+    return re.sub(r"uid=[^,]*, ", "", model.toDebugString)
 
 
 def save(model: Model, path: str) -> None:

@@ -51,21 +51,40 @@ def attach_cohort(obs: DataFrame, cohort: DataFrame) -> DataFrame:
     """Observed cells of cohort samples: ``obs ⋈ cohort`` on ``sample_id``.
 
     Used by the long binding, where cells and sample codes live in separate
-    tables; the inner join also applies the cohort filter.
+    tables; the inner join also applies the cohort filter. ``cohort`` must have
+    a sample once per ``grp``.
     """
     return obs.join(cohort.select("sample_id", "grp"), "sample_id")
 
 
-def cluster_scores(cells: DataFrame, feature_clusters: DataFrame, key: str) -> DataFrame:
+def join_map(cells: DataFrame, feature_map: DataFrame, key: str, salts: int = 1) -> DataFrame:
+    """``cells ⋈ feature_map`` on ``key``, each key spread over ``salts`` join keys.
+
+    Column positions of a wide matrix are few and each holds a cell of every
+    sample, so a shuffle on the position alone would make few, huge tasks. A
+    salt from the sample id multiplies the keys; the map's rows are repeated
+    for each salt. Whether the map is broadcast is left to Spark's byte threshold.
+    """
+    if salts == 1:
+        return cells.join(feature_map, key)
+    salted = cells.withColumn("_salt", F.pmod(F.xxhash64("sample_id"), F.lit(salts)))
+    repeated = feature_map.withColumn("_salt", F.explode(
+        F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    return salted.join(repeated, [key, "_salt"]).drop("_salt")
+
+
+def cluster_scores(cells: DataFrame, feature_clusters: DataFrame, key: str,
+                   salts: int = 1) -> DataFrame:
     """J2 + A2: ``(grp, cluster, sample_id, score)``, score = Σ member values.
 
     ``cells`` has ``(sample_id, grp, <key>, value)``; ``feature_clusters``
     maps ``<key>`` to clusters (a bag: a feature listed twice counts twice).
     Spark broadcasts the map when its measured size is under the broadcast
     threshold and otherwise shuffles both sides on ``key`` (AQE splits skewed
-    keys); the sum is partially aggregated before the shuffle either way.
+    keys, ``salts`` as in :func:`join_map`); the sum is partially aggregated
+    before the shuffle either way.
     """
-    return (cells.join(feature_clusters.select(key, "cluster"), key)
+    return (join_map(cells, feature_clusters.select(key, "cluster"), key, salts)
             .groupBy("grp", "cluster", "sample_id")
             .agg(F.sum("value").alias("score")))
 
@@ -115,20 +134,20 @@ def t_scores(stats: DataFrame, case: str = CASE, control: str = CONTROL) -> Data
                        "n_scored_control")
 
 
-def cohort_t_scores(cohort: DataFrame, cells: DataFrame, feature_clusters: DataFrame,
-                    key: str) -> DataFrame:
-    """A6 + A7 composite: cohort rows and their cells → t per cluster."""
-    scores = cluster_scores(cells, feature_clusters, key)
-    return t_scores(cohort_stats(scores, cohort_sizes(cohort)))
-
-
 def tagged_union(parts: dict[int, DataFrame]) -> DataFrame:
-    """U1 + U3: bag union of datasets, each row tagged with its part's number.
-
-    Selecting one part again is a filter on ``tag`` (P12).
-    """
+    """U1 + U3: bag union of separate datasets, each row tagged with its part's number."""
     tagged = [df.withColumn("tag", F.lit(tag)) for tag, df in sorted(parts.items())]
     out = tagged[0]
     for df in tagged[1:]:
         out = out.unionByName(df)
     return out
+
+
+def tag_cohorts(cohort: DataFrame) -> DataFrame:
+    """U3 for cohorts of one table: tag 0 for control and 1 for case rows, in one scan."""
+    return cohort.withColumn("tag", F.when(F.col("grp") == CONTROL, 0).otherwise(1))
+
+
+def select_part(tagged: DataFrame, tag: int) -> DataFrame:
+    """The rows of one part again."""
+    return tagged.filter(F.col("tag") == tag).drop("tag")

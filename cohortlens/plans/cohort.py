@@ -18,6 +18,8 @@ Ways in:
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
@@ -39,7 +41,7 @@ class CohortAnalysis:
     key: str
     k: int = rank.TOP_K
     cohort_sizes: DataFrame | None = None  # (grp, n) when known from elsewhere
-    map_checked_small: bool = False  # feature map counted and found broadcastable
+    salts: int = 1  # join keys per feature, for features that are few (join_map)
     _memo: dict = field(default_factory=dict, repr=False)
 
     def _get(self, name, build):
@@ -56,7 +58,7 @@ class CohortAnalysis:
     @property
     def scores(self) -> DataFrame:
         return self._get("scores", lambda: stats.cluster_scores(
-            self.cells, self.feature_clusters, self.key))
+            self.cells, self.feature_clusters, self.key, self.salts))
 
     @property
     def stats(self) -> DataFrame:
@@ -78,89 +80,93 @@ class CohortAnalysis:
 
     def sample_features(self, background: DataFrame | None = None) -> DataFrame:
         return feat.sample_features(self.cells, self.feature_clusters, self.key, self.ranked,
-                                    self.k, background, broadcast_map=self.map_checked_small)
+                                    self.k, background, self.salts)
 
 
-# Largest position map broadcast (one row per header position and cluster).
-MAP_BROADCAST_ROWS = 1_000_000
-
-
-def checked_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    """Broadcast ``df`` only after counting it: at most ``max_rows`` rows.
-
-    Spark's static size estimate of a map derived from other tables can be far
-    off (it does not shrink through aggregates), and a shuffle join on a
-    position key with few distinct values would funnel the cells into that
-    many tasks. Beyond ``max_rows`` the join is left to Spark (sort-merge with
-    AQE skew splitting).
-    """
-    small = df.count() <= max_rows
-    return (F.broadcast(df) if small else df), small
+# Join keys per column position: tasks of a shuffled position join are at least
+# this many times the number of positions, whatever the number of samples.
+POSITION_SALTS = 32
 
 
 def from_wide(spark: SparkSession, matrix: str | DataFrame, annotation: str | DataFrame,
               species: str | None = text.SPECIES_KEPT,
               control: Iterable[str] = CONTROL_CODES, case: Iterable[str] = CASE_CODES,
-              k: int = rank.TOP_K, map_broadcast_rows: int = MAP_BROADCAST_ROWS
-              ) -> CohortAnalysis:
+              k: int = rank.TOP_K, salts: int = POSITION_SALTS) -> CohortAnalysis:
     """Wide delimited matrix + annotation → analysis keyed by column position.
 
-    The matrix text is read twice: one global aggregate yields both the
-    header and the cohort sizes (kept, one row), and one pass unpivots the
-    cohort rows. The position map is counted when the analysis is built and
-    broadcast only if it is small (:func:`checked_broadcast`).
+    One global aggregate yields both the header and the cohort sizes (its
+    exchange is shared), and one pass unpivots the cohort rows; both list the
+    files when the analysis is built. Nothing is kept between analyses.
     """
     rows = text.wide_rows(spark, matrix)
-    summary = reshape.matrix_summary(rows, control, case).cache()
+    summary = reshape.matrix_summary(rows, control, case)
     members = reshape.membership(text.annotation(spark, annotation, species))
-    pos_map, small = checked_broadcast(
-        reshape.position_clusters(members, reshape.summary_positions(summary)),
-        map_broadcast_rows)
     cohort_rows = reshape.cohort_rows(rows, control, case)
     return CohortAnalysis(
         cohort=cohort_rows.select("sample_id", "grp"),
         cells=reshape.unpivot(cohort_rows),
-        feature_clusters=pos_map,
+        feature_clusters=reshape.position_clusters(members, reshape.summary_positions(summary)),
         key="position",
         k=k,
         cohort_sizes=reshape.summary_sizes(summary),
-        map_checked_small=small,
+        salts=salts,
     )
 
 
+_LANDED = "_LANDED"
+_SNAPSHOT = "snapshot-"
+
+
+def _folder(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
 def land_wide(spark: SparkSession, matrix: str | DataFrame, path: str) -> str:
-    """Parse a wide text matrix once and write it as long parquet under ``path``.
+    """Parse a wide text matrix once into a new snapshot of long parquet under ``path``.
 
     ``samples/`` (sample_id, code): one row per data row; ``cells/``
     (sample_id, code, position, value): numeric cells only, each carrying its
-    row's code; ``header/`` (feature_id, position). Every later analysis
-    (:func:`from_landed`) reads columnar data with pruning instead of
-    re-parsing the text. Landing reads the text once per output; the parsed
-    rows are not cached, since for a large matrix they would not fit in
-    executor memory and would only spill to local disks. Returns ``path``.
+    row's code; ``header/`` (feature_id, position). The text is read once, into
+    ``rows/``, from which the others are written. A snapshot counts only when
+    complete (its marker is written last), so a failed landing leaves the
+    earlier one in use. Returns the snapshot's folder.
     """
-    rows = text.wide_rows(spark, matrix)
+    snapshot = f"{path}/{_SNAPSHOT}{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    text.wide_rows(spark, matrix).write.parquet(f"{snapshot}/rows")
+    rows = spark.read.parquet(f"{snapshot}/rows")
     is_header = F.coalesce(cell("cells", 0) == F.lit(text.HEADER_MARKER), F.lit(False))
-    data = rows.filter(~is_header)
-    (data.select(cell("cells", 0).alias("sample_id"), cell("cells", 1).alias("code"))
-     .write.mode("overwrite").parquet(f"{path}/samples"))
-    (data.select(cell("cells", 0).alias("sample_id"), cell("cells", 1).alias("code"),
-                 F.posexplode("cells").alias("position", "raw"))
+    data = rows.filter(~is_header).select(
+        cell("cells", 0).alias("sample_id"), cell("cells", 1).alias("code"), "cells")
+    data.drop("cells").write.parquet(f"{snapshot}/samples")
+    (data.select("sample_id", "code", F.posexplode("cells").alias("position", "raw"))
      .filter(F.col("position") >= 2)
      .select("sample_id", "code", "position", to_double("raw").alias("value"))
      .filter(F.col("value").isNotNull())
-     .write.mode("overwrite").parquet(f"{path}/cells"))
-    reshape.header_positions(rows).write.mode("overwrite").parquet(f"{path}/header")
-    return path
+     .write.parquet(f"{snapshot}/cells"))
+    reshape.header_positions(rows).write.parquet(f"{snapshot}/header")
+    fs, marker = _folder(spark, f"{snapshot}/{_LANDED}")
+    fs.create(marker).close()
+    return snapshot
+
+
+def landed_snapshot(spark: SparkSession, path: str) -> str:
+    """The newest complete snapshot below ``path`` (or ``path``, if it is one)."""
+    fs, where = _folder(spark, path)
+    marked = [str(status.getPath().getParent()) for at in (_LANDED, f"{_SNAPSHOT}*/{_LANDED}")
+              for status in fs.globStatus(where.suffix(f"/{at}")) or []]
+    if not marked:
+        raise FileNotFoundError(f"no complete landed matrix below {path}")
+    return max(marked)
 
 
 def from_landed(spark: SparkSession, path: str, annotation: str | DataFrame,
                 species: str | None = text.SPECIES_KEPT,
                 control: Iterable[str] = CONTROL_CODES, case: Iterable[str] = CASE_CODES,
-                k: int = rank.TOP_K, map_broadcast_rows: int = MAP_BROADCAST_ROWS
-                ) -> CohortAnalysis:
-    """Analysis over a matrix written by :func:`land_wide` (same results)."""
-    codes = [*control, *case]
+                k: int = rank.TOP_K, salts: int = POSITION_SALTS) -> CohortAnalysis:
+    """Analysis over the newest matrix landed below ``path`` (same results as from_wide)."""
+    codes, snapshot = [*control, *case], landed_snapshot(spark, path)
 
     def with_grp(df):
         # a plain IN on the stored column reaches the parquet scan
@@ -168,35 +174,32 @@ def from_landed(spark: SparkSession, path: str, annotation: str | DataFrame,
                 .withColumn("grp", cohort_label("code", control, case)))
 
     members = reshape.membership(text.annotation(spark, annotation, species))
-    pos_map, small = checked_broadcast(
-        reshape.position_clusters(members, spark.read.parquet(f"{path}/header")),
-        map_broadcast_rows)
     return CohortAnalysis(
-        cohort=with_grp(spark.read.parquet(f"{path}/samples")).select("sample_id", "grp"),
-        cells=with_grp(spark.read.parquet(f"{path}/cells"))
+        cohort=with_grp(spark.read.parquet(f"{snapshot}/samples")).select("sample_id", "grp"),
+        cells=with_grp(spark.read.parquet(f"{snapshot}/cells"))
         .select("sample_id", "grp", "position", "value"),
-        feature_clusters=pos_map,
+        feature_clusters=reshape.position_clusters(
+            members, spark.read.parquet(f"{snapshot}/header")),
         key="position",
         k=k,
-        map_checked_small=small,
+        salts=salts,
     )
 
 
 def from_long(samples: DataFrame, cells: DataFrame, feature_clusters: DataFrame,
               code: str = "code", control: Iterable[str] = CONTROL_CODES,
               case: Iterable[str] = CASE_CODES, key: str = "feature_id",
-              k: int = rank.TOP_K) -> CohortAnalysis:
+              k: int = rank.TOP_K, unique_samples: bool = False) -> CohortAnalysis:
     """Sample table ``(sample_id, code)`` + long cells ``(sample_id, key, value)``.
 
-    Cells get their cohort through a join on ``sample_id``, so ``sample_id``
-    must identify one sample row (as an order key does); for matrices with
-    repeated sample rows use :func:`from_wide` or :func:`from_landed`, whose
-    cells carry their own row's code.
+    Cells get their cohort through a join on ``sample_id``. Repeated sample rows
+    count in the cohort size, but their cells count once; ``unique_samples``
+    says that ``sample_id`` is a key of ``samples`` and saves making it one.
     """
-    cohort = stats.assign_cohorts(samples, code, control, case)
+    cohort = stats.assign_cohorts(samples, code, control, case).select("sample_id", "grp")
     return CohortAnalysis(
-        cohort=cohort.select("sample_id", "grp"),
-        cells=stats.attach_cohort(cells, cohort),
+        cohort=cohort,
+        cells=stats.attach_cohort(cells, cohort if unique_samples else cohort.distinct()),
         feature_clusters=feature_clusters,
         key=key,
         k=k,

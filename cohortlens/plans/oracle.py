@@ -123,7 +123,7 @@ ann_lines AS (
                    array_to_string(list_sort(list_distinct(list(member))), ';')) AS value
   FROM (SELECT p_brand, p_type,
                ['Human', 'Mouse', 'Rat', 'Zebrafish', 'Yeast'][(p_size % 5) + 1] AS species,
-               CAST(p_partkey % 64 AS VARCHAR) AS member
+               CAST(p_partkey % (SELECT max(len(embedding)) FROM embeddings) AS VARCHAR) AS member
         FROM part)
   GROUP BY p_brand, p_type, species),
 ann AS (SELECT string_split(value, ',') AS c FROM ann_lines),
@@ -210,19 +210,70 @@ SELECT CASE WHEN ok THEN c[1] END AS sample_id, CASE WHEN ok THEN age END AS age
        CASE WHEN NOT ok THEN value END AS _corrupt_record
 FROM q"""
 
-BACKGROUND_CSV_PARSE = """
-WITH lines AS (
-  SELECT c_mktsegment || ' customers:' || CAST(count(*) AS VARCHAR) AS value
-  FROM customer GROUP BY c_mktsegment
-  UNION ALL
-  SELECT concat_ws(',', CAST(o_orderkey AS VARCHAR),
-                   CAST(CAST(floor(c_acctbal) AS INTEGER) AS VARCHAR), o_orderstatus, c_mktsegment)
+_LABELED = _LONG_COHORT, _STATS.format(k=10), f"""
+wide AS (
+  SELECT s.grp, s.sample_id,
+       {_features(10)}
+  FROM scores s JOIN ranked r ON s.cluster = r.cluster
+  GROUP BY s.grp, s.sample_id),
+background AS (
+  SELECT o_orderkey AS sample_id, CAST(floor(c_acctbal) AS INTEGER) AS age
   FROM orders JOIN customer ON o_custkey = c_custkey),
-p AS (SELECT value, string_split(value, ',') AS c FROM lines)
-SELECT c[1] AS sample_id, TRY_CAST(c[2] AS INTEGER) AS age, c[3] AS sex, c[4] AS education,
-       CASE WHEN len(c) <> 4 OR (c[2] IS NOT NULL AND TRY_CAST(c[2] AS INTEGER) IS NULL)
-            THEN value END AS _corrupt_record
-FROM p"""
+points AS (
+  SELECT w.sample_id, CASE WHEN w.grp = 'case' THEN 1.0 ELSE 0.0 END::DOUBLE AS label,
+         {_FOLD.format(b=_BUCKET.format(id="w.sample_id"))} AS fold,
+         {_BUCKET.format(id="w.sample_id")} AS bucket, b.age,
+         {", ".join(f"(round(coalesce(w.f{i:02d}, 0), 6) + 0.0)::DOUBLE AS f{i:02d}" for i in range(1, 11))}
+  FROM wide w LEFT JOIN background b ON w.sample_id = b.sample_id)"""
+_SCORES = ", ".join(f"f{i:02d}" for i in range(1, 11))
+
+LABELED_POINTS = _with(*_LABELED) + f"\nSELECT sample_id, label, fold, {_SCORES} FROM points"
+
+LABELED_POINTS_LIFE_STATS = _with(*_LABELED) + f"""
+SELECT sample_id, label, fold, age::DOUBLE AS age, {_SCORES} FROM points WHERE age IS NOT NULL"""
+
+FOLD_SPLIT_SIZES = _with(*_LABELED) + """
+SELECT CAST(f.fold AS INTEGER) AS fold, p.part, count(*) AS n, sum(label) AS n_case
+FROM points JOIN (VALUES (0), (1), (2)) f(fold) ON true
+JOIN (VALUES ('train'), ('test')) p(part) ON (points.fold = f.fold) = (p.part = 'test')
+GROUP BY f.fold, p.part"""
+
+MODEL_ROUNDTRIP = _with(*_LABELED) + """
+SELECT label, count(*) AS n_test, count(*) AS n_alike FROM points WHERE bucket >= 140
+GROUP BY label"""
+
+_ITEMS = f"""
+items AS (SELECT l_linenumber >= 4 AS positive,
+                 {_BUCKET.format(id="l_orderkey * 16 + l_linenumber")} AS bucket FROM lineitem)"""
+
+THRESHOLD_TREES = _with(_ITEMS) + f""",
+folded AS (SELECT positive, {_FOLD.format(b="bucket")} AS fold FROM items)
+SELECT m.model, CAST(fold AS INTEGER) AS fold, count(*) AS n,
+       count(*) FILTER (WHERE NOT positive) AS tn, count(*) FILTER (WHERE positive) AS tp,
+       0::BIGINT AS fp, 0::BIGINT AS fn, 0::BIGINT AS errors
+FROM folded JOIN (VALUES ('tree_gini'), ('tree_entropy')) m(model) ON true
+GROUP BY m.model, fold"""
+
+THRESHOLD_HOLDOUT = _with(_ITEMS) + """
+SELECT count(*) AS n, count(*) FILTER (WHERE NOT positive) AS tn,
+       count(*) FILTER (WHERE positive) AS tp, 0::BIGINT AS fp, 0::BIGINT AS fn,
+       0::BIGINT AS errors, 0.0::DOUBLE AS error
+FROM items WHERE bucket >= 140"""
+
+BACKGROUND_QUALITY = _with(_LONG_COHORT, _STATS.format(k=10)) + """,
+q AS (SELECT (SELECT count(*) FROM orders JOIN customer ON o_custkey = c_custkey) AS used,
+             (SELECT count(DISTINCT c_mktsegment) FROM customer) AS aside),
+s AS (SELECT DISTINCT sample_id FROM scores JOIN ranked USING (cluster)),
+a AS (SELECT count(*) AS n, count(*) FILTER (WHERE c_custkey IS NULL OR floor(c_acctbal) < 0) AS bad
+      FROM s JOIN orders ON o_orderkey = sample_id LEFT JOIN customer ON o_custkey = c_custkey)
+SELECT 'lines' AS what, used + aside AS n FROM q
+UNION ALL SELECT 'lines used', used FROM q
+UNION ALL SELECT 'lines set aside', aside FROM q
+UNION ALL SELECT 'samples', n FROM a
+UNION ALL SELECT 'samples without age', bad FROM a"""
+
+TAGGED_PART = _with(_LONG_COHORT) + """
+SELECT sample_id, grp FROM cohort WHERE grp = 'case'"""
 
 FIXED_WIDTH_GROUPS = """
 WITH lines AS (
@@ -305,7 +356,16 @@ ORACLE: dict[str, str] = {
     "sample_features_wide": SAMPLE_FEATURES_WIDE,
     "fold_assignment": FOLD_ASSIGNMENT,
     "background_parse": BACKGROUND_PARSE,
-    "background_csv_parse": BACKGROUND_CSV_PARSE,
+    "background_csv_parse": BACKGROUND_PARSE,
+    "background_quality": BACKGROUND_QUALITY,
+    "tagged_part": TAGGED_PART,
+    "top_k_clusters_landed": TOP_K_CLUSTERS_WIDE,
+    "labeled_points": LABELED_POINTS,
+    "labeled_points_life_stats": LABELED_POINTS_LIFE_STATS,
+    "fold_split_sizes": FOLD_SPLIT_SIZES,
+    "threshold_trees": THRESHOLD_TREES,
+    "threshold_holdout": THRESHOLD_HOLDOUT,
+    "model_roundtrip": MODEL_ROUNDTRIP,
     "fixed_width_groups": FIXED_WIDTH_GROUPS,
     "confusion_matrix": CONFUSION_MATRIX,
     "fold_error_mean": FOLD_ERROR_MEAN,

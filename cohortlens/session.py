@@ -6,14 +6,11 @@ Library functions never build a session themselves; callers pass one in.
 
 from __future__ import annotations
 
-import logging
 import tempfile
+import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-log = logging.getLogger(__name__)
-
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
@@ -75,17 +72,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` so that repeated use and executor loss are cheap.
-
-    With a checkpoint folder the lineage is cut by a reliable checkpoint;
-    without one the data is persisted (memory, spilling to disk) and Spark
-    recomputes lost blocks from lineage.
-    """
-    spark = df.sparkSession
-    if ensure_checkpoint_dir(spark):
-        return df.checkpoint(eager=True)
-    log.warning("no %s configured; persisting instead of checkpointing", CHECKPOINT_CONF)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    """Materialise ``df`` by a reliable checkpoint in the shared folder."""
+    shared_path(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def shared_path(spark: SparkSession, *parts: str) -> str:
@@ -96,6 +85,12 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([base.rstrip("/"), *parts])
 
 
-def model_dir(spark: SparkSession) -> str:
-    """Folder for saved models: under the shared checkpoint folder."""
-    return shared_path(spark, "models")
+def run_folder(spark: SparkSession, name: str) -> str:
+    """A new folder of this call under the shared folder, removed when the application ends."""
+    path = shared_path(spark, f"{name}-{uuid.uuid4().hex}")
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(where)
+    fs.deleteOnExit(where)
+    return path

@@ -1,24 +1,24 @@
 """Sources: delimited text readers and bindings onto the parquet tables."""
 
 from cohortlens.sources.text import (
-    BACKGROUND_SCHEMA,
     CORRUPT,
     HEADER_MARKER,
     annotation,
     background,
     background_csv,
+    background_quality,
     read_lines,
     split_cells,
     wide_rows,
 )
 
 __all__ = [
-    "BACKGROUND_SCHEMA",
     "CORRUPT",
     "HEADER_MARKER",
     "annotation",
     "background",
     "background_csv",
+    "background_quality",
     "read_lines",
     "split_cells",
     "wide_rows",

@@ -18,7 +18,7 @@ registered query does work proportional to its inputs.
 
 from __future__ import annotations
 
-import hashlib
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,86 +31,20 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 # Fixed values of the W annotation rendering: species chosen by p_size mod 5.
 SPECIES = ("Human", "Mouse", "Rat", "Zebrafish", "Yeast")
-# Width of the rendered sample id in fixed-width lines, and the
-# dimension of the embedding vectors the W annotation members refer to.
+# Fixed value: width of the rendered sample id in fixed-width lines.
 ID_WIDTH = 12
-WIDE_DIMS = 64
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A parquet table, registered once per session as a temporary view.
-
-    The first use lists the files and infers the schema; later uses resolve
-    the view, as queries over a catalog table would. Call
-    :func:`refresh_tables` after the files change.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    view = _view_name(path)
-    if not spark.catalog.tableExists(view):
-        spark.read.parquet(path).createOrReplaceTempView(view)
-    return spark.table(view)
-
-
-def _view_name(path: str) -> str:
-    return "cohortlens_" + hashlib.sha1(path.encode()).hexdigest()[:16]
-
-
-def refresh_tables(spark: SparkSession, sf_dir: str) -> None:
-    """Forget the registered views of ``sf_dir`` so files are listed again."""
-    for name in TABLES:
-        path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-        spark.catalog.dropTempView(_view_name(path))
-        try:
-            _SPLITS.pop((spark.sparkContext.applicationId, path), None)
-        except Exception:
-            pass
-
-
-def spread(df: DataFrame, key: str, splits: int | None = None) -> DataFrame:
-    """Restore scan parallelism when a source has fewer splits than cores.
-
-    A file written as one row group is one split, so everything before the
-    first shuffle (parsing, exploding, partial aggregation) would run in a
-    single task. Large inputs already have at least as many splits as the
-    cluster has cores, and then this is a no-op (no extra shuffle); only
-    under-split inputs are hash-partitioned on ``key`` to the default
-    parallelism. Hashing on the key the next join or aggregate uses lets
-    Spark reuse the partitioning there, and needs no per-partition sort
-    (a round-robin repartition sorts rows to stay deterministic).
-    """
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism
-        have = splits if splits is not None else df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a remote session): leave the scan as is
-        return df
-    return df.repartition(want, key) if have < want else df
-
-
-# Split counts of registered tables: planning a scan to count them costs about
-# as much as the rest of a query's construction, and they cannot change while
-# the table's view exists.
-_SPLITS: dict[tuple[str, str], int] = {}
-
-
-def big_table(spark: SparkSession, sf_dir: str, name: str, key: str, *cols: str) -> DataFrame:
-    """Scan only ``key`` and ``cols`` of a row-heavy table, spread over the cluster."""
-    df = table(spark, sf_dir, name).select(key, *cols)
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    try:
-        memo = (spark.sparkContext.applicationId, path)
-        if memo not in _SPLITS:
-            _SPLITS[memo] = df.rdd.getNumPartitions()
-        splits = _SPLITS[memo]
-    except Exception:  # no RDD view (e.g. a remote session)
-        splits = None
-    return spread(df, key, splits)
+    """A parquet table; its files are listed anew by every query."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # ---- L: long binding --------------------------------------------------------
 
 def long_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Matrix rows: ``(sample_id, code)``, one per order."""
-    return big_table(spark, sf_dir, "orders", "o_orderkey", "o_orderpriority").select(
+    return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("sample_id"),
         F.substring("o_orderpriority", 1, 1).alias("code"),
     )
@@ -118,7 +52,7 @@ def long_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def long_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Observed cells: ``(sample_id, feature_id, value)``, one per line item."""
-    return big_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_quantity").select(
+    return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("sample_id"),
         F.col("l_partkey").alias("feature_id"),
         F.col("l_quantity").cast("double").alias("value"),
@@ -135,9 +69,15 @@ def long_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- B: background ----------------------------------------------------------
 
-def long_background(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed background ``(sample_id, age, sex, education)`` per order."""
+def long_background(spark: SparkSession, sf_dir: str,
+                    codes: Iterable[str] | None = None) -> DataFrame:
+    """Typed background ``(sample_id, age, sex, education)`` per order.
+
+    ``codes`` keeps only orders of these diagnosis codes, before the join.
+    """
     orders = table(spark, sf_dir, "orders")
+    if codes is not None:
+        orders = orders.filter(F.substring("o_orderpriority", 1, 1).isin(list(codes)))
     customer = table(spark, sf_dir, "customer")
     return orders.join(customer, orders.o_custkey == customer.c_custkey).select(
         F.col("o_orderkey").alias("sample_id"),
@@ -173,7 +113,7 @@ def wide_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     Header ``PATIENT_ID,DIAGNOSIS,0,1,…`` (feature id = vector index) is
     derived from the vector length present in the data.
     """
-    emb = big_table(spark, sf_dir, "embeddings", "vec_id", "label", "embedding")
+    emb = table(spark, sf_dir, "embeddings")
     header = (emb.select(F.size("embedding").alias("dims")).distinct()
               .select(F.concat(
                   F.lit("PATIENT_ID,DIAGNOSIS,"),
@@ -189,18 +129,20 @@ def wide_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return header.unionByName(rows)
 
 
-def annotation_lines(spark: SparkSession, sf_dir: str, dims: int = WIDE_DIMS) -> DataFrame:
+def annotation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``part`` rendered as the annotation file for the wide matrix.
 
     One line per (brand, type, species): ``brand,type,species,count,m1;m2;…``
-    where members are the vector indexes ``p_partkey mod dims`` of its parts
-    (a bounded set: at most ``dims`` distinct ids per line).
+    where members are the vector indexes ``p_partkey mod dims`` of its parts,
+    dims being the length of the vectors (a bounded set: at most ``dims``
+    distinct ids per line).
     """
     species = F.element_at(F.array(*[F.lit(s) for s in SPECIES]),
                            (F.pmod("p_size", F.lit(len(SPECIES))) + 1).cast("int"))
+    dims = table(spark, sf_dir, "embeddings").agg(F.max(F.size("embedding")).alias("dims"))
     return (table(spark, sf_dir, "part")
             .select("p_brand", "p_type", species.alias("species"),
-                    F.pmod("p_partkey", F.lit(dims)).cast("string").alias("member"))
+                    F.pmod("p_partkey", dims.scalar()).cast("string").alias("member"))
             .groupBy("p_brand", "p_type", "species")
             .agg(F.count(F.lit(1)).alias("n"),
                  F.array_sort(F.collect_set("member")).alias("members"))
@@ -223,7 +165,7 @@ def evaluation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Document texts as the ``value`` column of a text source."""
-    docs = big_table(spark, sf_dir, "documents", "doc_id", "text")
+    docs = table(spark, sf_dir, "documents")
     return docs.select(F.col("text").alias("value"))
 
 
@@ -231,12 +173,15 @@ def fixed_width_lines(spark: SparkSession, sf_dir: str, width: int = ID_WIDTH) -
     """Orders as matrix lines with fixed-width ids: ``000000000042,4,O``.
 
     The diagnosis code sits at character ``width + 1`` (0-based); the
-    header line puts a letter there.
+    header line puts a letter there. An id longer than ``width`` fails.
     """
+    order = F.col("o_orderkey").cast("string")
+    padded = F.when(F.length(order) <= width, F.lpad(order, width, "0")).otherwise(
+        F.raise_error(F.concat(F.lit("id too long for fixed-width lines: "), order)))
     header = spark.createDataFrame([("PATIENT_ID,DIAGNOSIS,STATUS",)], "value string")
     rows = table(spark, sf_dir, "orders").select(F.concat_ws(
         ",",
-        F.lpad(F.col("o_orderkey").cast("string"), width, "0"),
+        padded,
         F.substring("o_orderpriority", 1, 1),
         F.col("o_orderstatus"),
     ).alias("value"))

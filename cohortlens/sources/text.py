@@ -13,7 +13,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cohortlens.functions import cell
 
@@ -31,12 +30,9 @@ def read_lines(spark: SparkSession, source: str | DataFrame) -> DataFrame:
     return spark.read.text(source)
 
 
-def write_lines(lines: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """Text sink: write the ``value`` column as text files.
-
-    ``mode='ignore'`` writes only if ``path`` does not exist yet (write once).
-    """
-    lines.select("value").write.mode(mode).text(path)
+def write_lines(lines: DataFrame, path: str) -> str:
+    """Text sink: write the ``value`` column as text files; fails if ``path`` exists."""
+    lines.select("value").write.text(path)
     return path
 
 
@@ -79,40 +75,50 @@ def annotation(spark: SparkSession, source: str | DataFrame,
     return parsed
 
 
-BACKGROUND_SCHEMA = T.StructType([
-    T.StructField("sample_id", T.StringType()),
-    T.StructField("age", T.IntegerType()),
-    T.StructField("sex", T.StringType()),
-    T.StructField("education", T.StringType()),
-])
+BACKGROUND_COLUMNS = ("sample_id", "age", "sex", "education")
+
+
+def _checked_background(line: Column, cells: list[Column], complete: Column) -> list[Column]:
+    """The typed fields of complete lines with an integer age; else the raw line, set aside."""
+    age = F.trim(cells[1]).try_cast("int")
+    ok = F.coalesce(complete & age.isNotNull(), F.lit(False))
+    typed = (cells[0], age, cells[2], cells[3])
+    return [*(F.when(ok, c).alias(name)
+              for c, name in zip(typed, BACKGROUND_COLUMNS, strict=True)),
+            F.when(~ok, line).alias(CORRUPT)]
 
 
 def background(spark: SparkSession, source: str | DataFrame) -> DataFrame:
     """``(sample_id, age, sex, education, _corrupt_record)``.
 
     A line is well-formed when it has exactly four cells and an integer
-    age. Malformed lines are not dropped: their fields are NULL and the raw
-    text is kept in ``_corrupt_record`` (PERMISSIVE-mode semantics), so the
-    caller can quarantine and count them.
+    age. Malformed and blank lines are not dropped: their fields are NULL and
+    the raw text is kept in ``_corrupt_record`` (PERMISSIVE-mode semantics), so
+    the caller can quarantine and count them (:func:`background_quality`).
     """
     cells = split_cells("value")
-    age = F.trim(cell(cells, 1)).try_cast("int")
-    ok = (F.size(cells) == 4) & age.isNotNull()
-    return read_lines(spark, source).select(
-        F.when(ok, cell(cells, 0)).alias("sample_id"),
-        F.when(ok, age).alias("age"),
-        F.when(ok, cell(cells, 2)).alias("sex"),
-        F.when(ok, cell(cells, 3)).alias("education"),
-        F.when(~ok, F.col("value")).alias(CORRUPT),
-    )
+    return read_lines(spark, source).select(*_checked_background(
+        F.col("value"), [cell(cells, i) for i in range(4)], F.size(cells) == 4))
+
 
+def background_csv(spark: SparkSession, source: str | DataFrame) -> DataFrame:
+    """S6 through Spark's CSV parser: the same rows as :func:`background`.
 
-def background_csv(spark: SparkSession, path: str) -> DataFrame:
-    """S6 through Spark's CSV reader (PERMISSIVE, corrupt-record column)."""
-    schema = T.StructType(BACKGROUND_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType())])
-    return (spark.read.schema(schema)
-            .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT)
-            .option("ignoreLeadingWhiteSpace", "false")
-            .option("ignoreTrailingWhiteSpace", "false")
-            .csv(path))
+    The parser runs per line (a CSV file scan would drop blank lines), without
+    quoting; it gives empty cells as NULL, which are made empty again.
+    """
+    parsed = F.from_csv("value", ", ".join(f"{c} string" for c in BACKGROUND_COLUMNS)
+                        + f", {CORRUPT} string",
+                        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
+                         "quote": "", "escape": "", "comment": "", "maxCharsPerColumn": "-1"})
+    rows = read_lines(spark, source).select("value", parsed.alias("p"))
+    return rows.select(*_checked_background(
+        F.col("value"), [F.coalesce(F.col(f"p.{c}"), F.lit("")) for c in BACKGROUND_COLUMNS],
+        F.col(f"p.{CORRUPT}").isNull()))
+
+
+def background_quality(parsed: DataFrame) -> DataFrame:
+    """``n_lines, n_used, n_set_aside`` of a parsed background."""
+    return parsed.agg(F.count(F.lit(1)).alias("n_lines"),
+                      F.count(F.when(F.col(CORRUPT).isNull(), 1)).alias("n_used"),
+                      F.count(CORRUPT).alias("n_set_aside"))

@@ -164,16 +164,3 @@ def test_repeated_sample_row_counts_twice_and_scores_merge(spark, lines):
     assert {r["grp"]: r["n"] for r in a.sizes.collect()}["control"] == 3
     p1 = a.scores.filter((F.col("cluster") == "c1") & (F.col("sample_id") == "P1")).first()
     assert p1["score"] == (1 + 2) + (1 + 1)
-
-
-def test_checked_broadcast_both_branches(spark, lines):
-    from cohortlens.plans.cohort import checked_broadcast
-    df = spark.range(0, 50)
-    hinted, small = checked_broadcast(df, 50)
-    assert small and "broadcast" in hinted._jdf.queryExecution().analyzed().toString().lower()
-    plain, small = checked_broadcast(df, 49)
-    assert not small and plain is df
-    # an analysis over a map above the limit still gives the same statistics
-    big = _by_cluster(from_wide(spark, lines(MATRIX), lines(ANNOTATION),
-                                map_broadcast_rows=0).t_scores)
-    assert big["c1"]["t"] == pytest.approx(6 / math.sqrt(5))

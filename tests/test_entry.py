@@ -7,13 +7,15 @@ import duckdb
 import pytest
 
 import __spark_entry__ as se
+from cohortlens.plans.oracle import ORACLE
+from cohortlens.plans.registry import QUERIES
 from cohortlens.sources.tables import TABLES
 
 SMOKE = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SMOKE), reason="test tables not present")
 
 ML_QUERIES = {"tree_gini_cv", "tree_entropy_cv", "forest_cv", "forest_cv_life_stats",
-              "tree_gini_cv_wide", "model_comparison", "model_roundtrip"}
+              "tree_gini_cv_wide", "model_comparison", "tree_text"}
 
 
 def test_entry_runs(spark):
@@ -27,9 +29,9 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle_or_is_a_model():
-    q, o = se.queries(), se.oracle_sql()
-    assert set(o) <= set(q)
-    assert set(q) - set(o) == ML_QUERIES
+    assert set(se.oracle_sql()) <= set(se.queries())
+    assert set(ORACLE) <= set(QUERIES)
+    assert set(QUERIES) - set(ORACLE) == ML_QUERIES
 
 
 def _norm(v):
@@ -46,7 +48,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(se.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, name):
     df = se.queries()[name](spark, SMOKE)
     res = duck.execute(se.oracle_sql()[name])

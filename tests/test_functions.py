@@ -58,3 +58,11 @@ def test_characters(spark):
     got = spark.createDataFrame([("aé",), ("",)], "w string").select(
         characters("w").alias("c")).collect()
     assert [r["c"] for r in got] == [["a", "é"], []]
+
+
+def test_to_double_takes_decimal_numbers_only(spark):
+    cells = ["1.5", " 2 ", "-3e2", ".5", "5d", "2f", "0x1p3", "nan", "Infinity", "-inf", "", "NA",
+             None]
+    got = [r[0] for r in spark.createDataFrame([(c,) for c in cells], "x string").coalesce(1)
+           .select(to_double("x")).collect()]
+    assert got == [1.5, 2.0, -300.0, 0.5] + [None] * 9

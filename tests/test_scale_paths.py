@@ -11,10 +11,14 @@ import random
 from collections import defaultdict
 from contextlib import contextmanager
 
+import duckdb
 import pytest
 
 import __spark_entry__ as se
-from cohortlens import from_long
+from cohortlens import from_landed, from_long, from_wide, land_wide
+from cohortlens.plans.cohort import landed_snapshot
+from cohortlens.plans.registry import QUERIES
+from tests.conftest import ANNOTATION, MATRIX
 from tests.test_entry import SMOKE, _norm
 
 SHUFFLE_ONLY = {"spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -45,7 +49,6 @@ def conf(spark, settings):
 @pytest.mark.parametrize("name", ["top_k_clusters", "cohort_stats", "sample_features",
                                   "top_k_clusters_wide", "position_cluster_map"])
 def test_shuffle_join_plans_give_same_results(spark, name):
-    import duckdb
     con = duckdb.connect()
     for t in ("orders", "lineitem", "part", "customer", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMOKE}/{t}.parquet')")
@@ -136,3 +139,99 @@ def test_only_bounded_sides_are_broadcast_at_scale(spark):
     # cohort sizes (one row per cohort); plus the top-k table (<= k rows)
     assert _plan(spark, "top_k_clusters").count("BroadcastExchange") == 1
     assert _plan(spark, "sample_features").count("BroadcastExchange") == 2
+
+
+def _skewed_tables(spark, folder):
+    """Orders, line items and parts; one order holds a third of the line items."""
+    rnd = random.Random(3)
+    spark.createDataFrame([(i, rnd.choice(["1-URGENT", "4-NOT", "5-LOW", "2-HIGH"]))
+                           for i in range(3000)], "o_orderkey long, o_orderpriority string"
+                          ).repartition(3).write.parquet(f"{folder}/orders.parquet")
+    spark.createDataFrame([(0 if i % 3 else rnd.randrange(3000), rnd.randrange(200), 1.0)
+                           for i in range(60_000)],
+                          "l_orderkey long, l_partkey long, l_quantity double"
+                          ).repartition(6).write.parquet(f"{folder}/lineitem.parquet")
+    spark.createDataFrame([(i, f"b{i % 5}", f"t{i % 7}") for i in range(200)],
+                          "p_partkey long, p_brand string, p_type string"
+                          ).write.parquet(f"{folder}/part.parquet")
+
+
+def test_registered_long_query_splits_a_hot_order(spark, tmp_path):
+    _skewed_tables(spark, tmp_path)
+    settings = {**SHUFFLE_ONLY, "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k"}
+    with conf(spark, settings):
+        df = QUERIES["cluster_scores"](spark, str(tmp_path))
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin(skew=true)" in plan
+
+
+def test_files_added_between_calls_are_read(spark, tmp_path):
+    _skewed_tables(spark, tmp_path)
+    before = {r["grp"]: r["n"] for r in QUERIES["cohort_sizes"](spark, str(tmp_path)).collect()}
+    spark.createDataFrame([(10_000 + i, "1-URGENT") for i in range(7)],
+                          "o_orderkey long, o_orderpriority string"
+                          ).write.mode("append").parquet(f"{tmp_path}/orders.parquet")
+    after = {r["grp"]: r["n"] for r in QUERIES["cohort_sizes"](spark, str(tmp_path)).collect()}
+    assert after == {**before, "control": before["control"] + 7}
+
+
+def test_wide_analysis_of_a_grown_file_is_fresh(spark, tmp_path):
+    m, a = tmp_path / "m.csv", tmp_path / "a.csv"
+    a.write_text("c1,x,Human,1,10\n")
+    m.write_text("PATIENT_ID,DIAGNOSIS,10\nP1,1,1\nP2,1,2\nP3,4,5\nP4,5,7\n")
+    first = from_wide(spark, str(m), str(a)).t_scores.first()
+    with m.open("a") as f:
+        f.write("P5,1,4\nP6,4,9\nP7,5,8\n")
+    again = from_wide(spark, str(m), str(a)).t_scores.first()
+    assert (first["n_control"], first["n_case"]) == (2, 2)
+    assert (again["n_control"], again["n_case"]) == (3, 4)
+    control, case = [1, 2, 4], [5, 7, 9, 8]
+    mean = [sum(v) / len(v) for v in (case, control)]
+    spread = [sum((x - mu) ** 2 for x in v) / len(v) ** 2
+              for v, mu in zip((case, control), mean, strict=True)]
+    assert again["t"] == pytest.approx((mean[0] - mean[1]) / math.sqrt(sum(spread)))
+
+
+def test_salted_position_join_gives_more_tasks_and_the_same_result(spark, lines):
+    plain = from_wide(spark, lines(MATRIX), lines(ANNOTATION), salts=1)
+    salted = from_wide(spark, lines(MATRIX), lines(ANNOTATION), salts=8)
+    with conf(spark, SHUFFLE_ONLY):
+        assert sorted(plain.t_scores.collect()) == sorted(salted.t_scores.collect())
+        assert "_salt" in salted.scores._jdf.queryExecution().executedPlan().toString()
+
+
+def test_repeated_sample_rows_count_but_do_not_repeat_their_cells(spark):
+    samples = [("a", "1"), ("a", "1"), ("b", "4"), ("c", "2")]
+    cells = [("a", "f", 2.0), ("b", "f", 3.0), ("c", "f", 9.0)]
+    a = from_long(spark.createDataFrame(samples, "sample_id string, code string"),
+                  spark.createDataFrame(cells, "sample_id string, feature_id string, value double"),
+                  spark.createDataFrame([("f", "k")], "feature_id string, cluster string"))
+    stats = {r["grp"]: (r["n"], r["score_sum"], r["mean"]) for r in a.stats.collect()}
+    assert stats == {"control": (2, 2.0, 1.0), "case": (1, 3.0, 3.0)}
+
+
+def test_failed_background_write_does_not_shorten_later_results(spark, monkeypatch):
+    def fail(lines, path):
+        raise OSError("disk full")
+
+    with monkeypatch.context() as m:
+        m.setattr("cohortlens.sources.text.write_lines", fail)
+        with pytest.raises(OSError):
+            QUERIES["background_csv_parse"](spark, SMOKE)
+    assert QUERIES["background_csv_parse"](spark, SMOKE).count() == \
+        QUERIES["background_parse"](spark, SMOKE).count()
+
+
+def test_incomplete_landing_is_not_read(spark, lines, tmp_path):
+    path = str(tmp_path / "landed")
+    snapshot = land_wide(spark, lines(MATRIX), path)
+    (tmp_path / "landed" / "snapshot-99999999999999999999-x" / "samples").mkdir(parents=True)
+    assert landed_snapshot(spark, path).endswith(snapshot.rsplit("/", 1)[-1])
+    newer = land_wide(spark, lines(MATRIX[:3]), path)
+    assert landed_snapshot(spark, path).endswith(newer.rsplit("/", 1)[-1])
+    assert from_landed(spark, snapshot, lines(ANNOTATION)).cohort.count() == 4
+    with pytest.raises(FileNotFoundError):
+        landed_snapshot(spark, str(tmp_path / "none"))

@@ -4,6 +4,7 @@ import os
 import tempfile
 
 from cohortlens.__main__ import main
+from cohortlens.operators.model import MODELS
 from cohortlens.streaming import token_counts_stream
 from tests.conftest import ANNOTATION, MATRIX
 
@@ -71,5 +72,11 @@ def test_cli_features_and_classify(spark, tmp_path):
     assert feats.count() == 60 and feats.filter("age IS NULL").count() == 0
     main(["classify", *common, "--feature-set", "life_stats", "--trees", "3",
           "--out", str(tmp_path / "cv")])
-    cv = spark.read.parquet(str(tmp_path / "cv")).collect()
+    cv = spark.read.parquet(str(tmp_path / "cv/folds")).collect()
     assert len(cv) == 9 and all(r["n"] > 0 for r in cv)
+    mean = spark.read.parquet(str(tmp_path / "cv/mean_error"))
+    assert {r["model"] for r in mean.collect()} == set(MODELS)
+    trees = spark.read.parquet(str(tmp_path / "cv/trees"))
+    assert trees.select("model", "fold").distinct().count() == 9
+    assert trees.filter("line like '%If (feature%'").count() > 0
+    assert spark.read.parquet(str(tmp_path / "cv/holdout")).first()["n"] > 0

@@ -55,8 +55,24 @@ def test_background_quarantines_malformed_lines(spark, lines, tmp_path):
     good = [r for r in got if r["_corrupt_record"] is None]
     assert [(r["sample_id"], r["age"]) for r in good] == [("X700_120605", 71)]
     assert len(got) - len(good) == 3
+    quality = text.background_quality(text.background(spark, lines(src))).first()
+    assert tuple(quality) == (4, 1, 3)
+
+
+def test_both_background_readers_agree(spark, tmp_path):
+    src = ['X1,71,F,"BS"', "", "no commas here", "X2, 60 ,M,", "X3,1,2,3,4", "X4,5x,M,HS",
+           'X5,40,"F,MS', "X6,30,,MS", ",50,M,MS", "#X7,20,M,HS", "X8,,M,HS", "a\\,9,F,HS"]
     p = tmp_path / "patients.csv"
     p.write_text("\n".join(src) + "\n")
-    via_csv = text.background_csv(spark, str(p)).collect()
-    ok = [r for r in via_csv if r["_corrupt_record"] is None]
-    assert [(r["sample_id"], r["age"]) for r in ok] == [("X700_120605", 71)]
+    split = sorted(map(str, text.background(spark, str(p)).collect()))
+    assert sorted(map(str, text.background_csv(spark, str(p)).collect())) == split
+    rows = {r["_corrupt_record"]: r for r in text.background(spark, str(p)).collect()}
+    assert {"", "no commas here", "X3,1,2,3,4", "X4,5x,M,HS", "X8,,M,HS"} < set(rows)
+    assert all(rows[line]["sample_id"] is None for line in rows if line is not None)
+
+
+def test_characters_take_linear_time_and_keep_code_points(spark, lines):
+    long = "aé😀" * 30_000
+    counted = textcount.token_counts(textcount.tokens(lines([long, long])), 2)
+    chars = {r["ch"]: r["n"] for r in textcount.char_counts(counted).collect()}
+    assert chars == {"a": 30_000, "é": 30_000, "😀": 30_000}
