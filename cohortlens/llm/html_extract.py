@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 
 from cohortlens.llm.html_pages import LABELLED_PAGES
 
-STEPS = 400
-RATE = 0.5
-PENALTY = 0.0004
+STEPS = 500
+RATE = 2.0
+PENALTY = 0.00005
 
 # Fixed values of HTML: elements without content, elements whose content is no
 # markup, inline elements, and elements that end an open paragraph.

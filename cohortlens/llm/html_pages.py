@@ -69,6 +69,9 @@ _SKELETONS = (
     "<body data-content=1>@long @long</body>",
     "<body data-content=1>@line @line @line</body>",
     "<body data-content=1>@line</body>",
+    "<body data-content=1><p>@long sit</p><p>@long</p></body>",
+    "<body data-content=1><p>@long sit</p></body>",
+    "<body data-content=1><div>@long</div><div>@long sit</div></body>",
     "<body data-content=1><p>@long</p><p>@long</p><p>@line</p></body>",
     "<body data-content=1><h1>Lorem</h1><p>@line</p><p>@long</p></body>",
     # notices, adverts and forms around a section
@@ -86,5 +89,27 @@ _SKELETONS = (
     "<body data-content=0><header>@links</header><nav>@links</nav><footer>@line</footer></body>",
 )
 
+# Blocks that are no content wherever they stand, inside the article too.
+_OTHER_BLOCKS = (
+    "<div class=ad>@line</div>", "<div class=advert>Sit amet!</div>", "<div class='advert box'><p>@long</p></div>",
+    "<nav class=toc>@links</nav>", "<div class='menu'>@links</div>",
+    "<aside><p>@long</p></aside>", "<div class=sidebar><p>@line</p></div>",
+    "<div class='cookie-notice'><p>@line</p><button>OK</button></div>",
+    "<div id=newsletter>@line</div>", "<form><p>@line</p><input></form>",
+    "<div id=comments><p>@long</p></div>", "<ol class='comment-list'><li>@long</li></ol>",
+    "<footer><p>@line</p></footer>", "<div class='share'>@links</div>",
+    "<div class=related><p>@line</p></div>", "<div hidden><p>@line</p></div>")
+_CONTAINERS = ("<article data-content=1>@text</article>",
+               "<main data-content=1><article>@text</article></main>",
+               "<div class='post-body' data-content=1>@text</div>")
+_PARTLY = tuple(
+    "<body data-content=0><nav>@links</nav>" + container.replace(
+        "@text", "<h1>Lorem ipsum</h1><p>@long</p>"
+        + block.replace(" ", " data-content=0 ", 1).replace("<aside>", "<aside data-content=0>")
+        .replace("<form>", "<form data-content=0>").replace("<footer>", "<footer data-content=0>")
+        + "<p>@line</p><p>@long</p>")
+    + block + "<footer>@line</footer></body>"
+    for container in _CONTAINERS for block in _OTHER_BLOCKS)
+
 LABELLED_PAGES = tuple(page.replace("@long", LONG).replace("@line", LINE).replace("@links", LINKS)
-                       for page in _SKELETONS)
+                       for page in (*_SKELETONS, *_PARTLY))
