@@ -238,6 +238,6 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, with all their columns, that score below ``threshold``."""
-    scored = fit(docs, labels).score(docs)
-    return scored.filter(F.col("score") < threshold).select(
-        *(F.col(f"`{c}`") for c in docs.columns))
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("docs"), "text")
+    scored = fit(docs, labels).score(packed)
+    return scored.filter(F.col("score") < threshold).select("docs.*")
