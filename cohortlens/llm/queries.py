@@ -63,7 +63,48 @@ QUERIES = {f.__name__: f for f in (
     op1_minhash_near_dedup, op2_html_extraction, op3_chat_formatting, op4_warc, op5_token_output, op6_source_mixing, op7_substring_dedup, op8_exact_dedup,
     op9_toxicity, op10_decontamination)}
 
+_SAID = "'</s>[INST] ok [/INST]'"
+# the template: <|im_start|>role\ntext<|im_end|>\n, with \ doubled and \, inside control strings
+_ESCAPED = """regexp_replace(replace({text}, chr(92), chr(92) || chr(92)),
+  '(<|\\[)(\\|im_start\\|>|\\|im_end\\|>|\\|endoftext\\|>|s>|/s>|INST\\]|/INST\\]|<SYS>>|</SYS>>)',
+  '\\1' || chr(92) || chr(92) || ',\\2', 'g')"""
+
 ORACLE = {
+    "op3_chat_formatting": f"""
+        WITH rows AS (
+          SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+          FROM conversations
+          UNION ALL VALUES (-1, 0, 'user', {_SAID}), (-1, 1, 'assistant', {_SAID}))
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY {{order}}))
+                 AS turns_sha256,
+               CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT)
+                 AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY {{order}})
+                 FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(24 + length(replace({_ESCAPED.format(text="role")}, chr(10), '\\n'))
+                        + length({_ESCAPED.format(text="text")})) AS BIGINT) AS formatted_chars
+        FROM rows GROUP BY conv_id""".replace("{order}", "turn NULLS FIRST, role, text"),
+    "op7_substring_dedup": """
+        WITH words AS (
+          SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''),
+                   '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w FROM documents),
+        windows AS (
+          SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h
+          FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM words)),
+        early AS (SELECT h, min(doc_id) AS first FROM windows GROUP BY h
+                  HAVING min(doc_id) < max(doc_id)),
+        gone AS (SELECT doc_id, list(DISTINCT p) AS places
+                 FROM (SELECT doc_id, unnest(range(i, i + 50)) AS p
+                       FROM windows JOIN early USING (h) WHERE first < doc_id)
+                 GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+               CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed,
+               sha256(CASE WHEN places IS NULL THEN array_to_string(w, ' ')
+                      ELSE array_to_string(list_transform(list_filter(range(1, len(w) + 1),
+                        lambda k: NOT list_contains(places, k)), lambda k: w[k]), ' ') END)
+                 AS kept_sha256
+        FROM words LEFT JOIN gone USING (doc_id)""",
     "op8_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept,
