@@ -69,6 +69,12 @@ _ESCAPED = """regexp_replace(replace({text}, chr(92), chr(92) || chr(92)),
   '(<|\\[)(\\|im_start\\|>|\\|im_end\\|>|\\|endoftext\\|>|s>|/s>|INST\\]|/INST\\]|<SYS>>|</SYS>>)',
   '\\1' || chr(92) || chr(92) || ',\\2', 'g')"""
 
+# base32 of a SHA-1 in hex: four letters for every five hex digits
+_BASE32 = "array_to_string(list_transform(range(0, 32), lambda k: substr(" \
+          "'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(((('0x' || substr(sha1(html)," \
+          " CAST(k // 4 AS INTEGER) * 5 + 1, 5))::BIGINT >> (15 - 5 * (k % 4))) & 31) + 1 AS" \
+          " INTEGER), 1)), '')"
+
 ORACLE = {
     "op3_chat_formatting": f"""
         WITH rows AS (
@@ -85,6 +91,15 @@ ORACLE = {
                CAST(sum(24 + length(replace({_ESCAPED.format(text="role")}, chr(10), '\\n'))
                         + length({_ESCAPED.format(text="text")})) AS BIGINT) AS formatted_chars
         FROM rows GROUP BY conv_id""".replace("{order}", "turn NULLS FIRST, role, text"),
+    "op4_warc": f"""
+        WITH rows AS (SELECT page_id, url, coalesce(html, '') AS html FROM pages),
+        firsts AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first FROM rows)
+        SELECT page_id, url, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+               {_BASE32} AS payload_digest,
+               CASE WHEN first <> page_id OR page_id IS NULL AND first IS NOT NULL
+                    THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN first IS DISTINCT FROM page_id THEN first END AS refers_to
+        FROM firsts""",
     "op7_substring_dedup": """
         WITH words AS (
           SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''),
