@@ -35,7 +35,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back (lineage ends there)."""
     path = f"{scratch_path(df.sparkSession, name)}/data"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of :func:`written` that no plan still to run reads, and free their shuffles."""
+    for table in tables:
+        spark = table.sparkSession
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.written_path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        release(spark)
 
 
 def release(spark: SparkSession) -> None:

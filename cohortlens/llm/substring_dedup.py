@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import release, text_of, written
+from cohortlens.llm.common import discard, text_of, written
 from cohortlens.llm.words import (
     gram_hashes, mixed, prefix_sums, range_hash, slabs, sliding_min, word_hashes)
 
@@ -181,75 +181,91 @@ def document_runs(docs: DataFrame) -> DataFrame:
 def repeated_runs(runs: DataFrame) -> DataFrame:
     """Per document, its runs whose minimizer other documents have too.
 
-    Lists of ``first, windows, ref_doc, ref_first, shared``: the first document
-    with the run's content (itself if that is new), and whether others have it.
+    ``runs``: a list of ``first, windows, ref_doc, ref_first, shared``: the first
+    document with the run's content (itself if that is new), and whether others have it.
     """
-    contents = runs.groupBy("minimizer", "content").agg(
+    several = (runs.groupBy("minimizer")
+               .agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
+               .filter("a < b").select("minimizer"))
+    some = written(runs.join(several, "minimizer"), "repeated-runs")
+    contents = some.groupBy("minimizer", "content").agg(
         F.min("doc_id").alias("ref_doc"), F.max("doc_id").alias("last_doc"),
         F.min_by("first", "doc_id").alias("ref_first"))
-    contents = written(contents, "contents")
-    several = (contents.groupBy("minimizer")
-               .agg(F.min("ref_doc").alias("a"), F.max("last_doc").alias("b"))
-               .filter("a < b").select("minimizer"))
-    known = (contents.join(several, "minimizer")
-             .withColumn("shared", F.col("ref_doc") < F.col("last_doc")).drop("last_doc"))
-    return (runs.join(known, ["minimizer", "content"])
-            .groupBy("doc_id", "key")
-            .agg(F.collect_list(F.struct("first", "windows", "ref_doc", "ref_first", "shared"))
-                 .alias("runs")))
+    known = contents.withColumn("shared", F.col("ref_doc") < F.col("last_doc")).drop("last_doc")
+    lists = written(some.join(known, ["minimizer", "content"]).groupBy("doc_id", "key").agg(
+        F.collect_list(F.struct("first", "windows", "ref_doc", "ref_first", "shared"))
+        .alias("runs")), "run-lists")
+    discard(some)
+    return lists
+
+
+RUN_FIELDS = ("first", "windows", "ref_doc", "ref_first", "shared")
+
+
+def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges ``first .. first + size`` in a row."""
+    size = size.astype(np.int64)
+    before = np.cumsum(size) - size
+    return np.repeat(first - before, size) + np.arange(size.sum())
 
 
 def segments(docs: DataFrame, plan: DataFrame, window: int = WINDOW) -> DataFrame:
     """Per document of ``plan``, the word hashes under its runs and the hashes of new windows.
 
     ``starts, sizes, words``: segments of words and their hashes in a row;
-    ``places, hashes``: the windows of runs whose content has no earlier document;
-    ``once``: each different one of them, with its first place.
+    ``places, hashes``: the windows of runs whose content has no earlier document,
+    ``fresh`` where a window is the first of its kind in the document. The
+    fields of the plan's runs are kept as lists.
     """
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
-            for doc_id, key, text, runs in zip(batch["doc_id"], batch["key"], batch["text"],
-                                               batch["runs"], strict=True):
-                words, _ = word_hashes([text])
-                first = np.array([r["first"] for r in runs])
-                size = np.array([r["windows"] for r in runs])
-                new = np.array([r["ref_doc"] >= doc_id for r in runs])
-                inside = np.zeros(len(words) + 1, np.int64)
-                np.add.at(inside, first, 1)
-                np.add.at(inside, first + size + window - 1, -1)
-                edge = np.diff((np.cumsum(inside) > 0).astype(np.int8), prepend=0)
-                starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-                places = (np.unique(np.concatenate(
-                    [np.arange(f, f + n) for f, n in zip(first[new], size[new], strict=True)]))
-                    if new.any() else np.zeros(0, np.int64))
-                hashes = range_hash(prefix_sums(words), places, places + window)
-                once, at = np.unique(hashes, return_index=True)
-                out.append((doc_id, key, starts, ends - starts, _signed(np.concatenate(
-                    [words[a:b] for a, b in zip(starts, ends, strict=True)])),
-                    places, _signed(hashes), _signed(once), places[at], runs))
-            yield pd.DataFrame(out, columns=["doc_id", "key", "starts", "sizes", "words", "places",
-                                             "hashes", "once", "once_places", "runs"])
-
-    return (docs.join(plan, ["doc_id", "key"]).mapInPandas(cut, (
-        "doc_id long, key long, starts array<int>, sizes array<int>, words array<long>, "
-        "places array<int>, hashes array<long>, once array<long>, once_places array<int>, "
-        "runs array<struct<first:int,windows:int,"
-        "ref_doc:long,ref_first:int,shared:boolean>>")))
+            rows = batch.drop(columns="text").itertuples(index=False)
+            for _, texts in slabs(batch["text"].tolist()):
+                words, counts = word_hashes(texts)
+                ends = np.cumsum(counts).tolist()
+                out = [one(next(rows), words[end - n:end])
+                       for end, n in zip(ends, counts.tolist(), strict=True)]
+                yield pd.DataFrame(out, columns=["doc_id", "key", *RUN_FIELDS, "starts", "sizes",
+                                                 "words", "places", "hashes", "fresh"])
+
+    def one(row, words: np.ndarray) -> tuple:
+        inside = np.zeros(len(words) + 1, np.int64)
+        np.add.at(inside, row.first, 1)
+        np.add.at(inside, row.first + row.windows + window - 1, -1)
+        under = np.cumsum(inside) > 0
+        edge = np.diff(under.astype(np.int8), prepend=0)
+        starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        new = row.ref_doc >= row.doc_id
+        places = np.unique(_ranges(row.first[new], row.windows[new]))
+        hashes = range_hash(prefix_sums(words), places, places + window)
+        fresh = np.zeros(len(places), bool)
+        fresh[np.unique(hashes, return_index=True)[1]] = True
+        return (*row, starts, ends - starts, _signed(words[under[:-1]]), places,
+                _signed(hashes), fresh)
+
+    lists = plan.select("doc_id", "key", *(F.col(f"runs.{f}").alias(f) for f in RUN_FIELDS))
+    return docs.join(lists, ["doc_id", "key"]).select("doc_id", "key", *RUN_FIELDS, "text"
+        ).mapInPandas(cut, (
+            "doc_id long, key long, first array<int>, windows array<int>, ref_doc array<long>, "
+            "ref_first array<int>, shared array<boolean>, starts array<int>, sizes array<int>, "
+            "words array<long>, places array<int>, hashes array<long>, fresh array<boolean>"))
 
 
 def first_windows(cut: DataFrame) -> DataFrame:
     """Per document, ``found``: the first document and place of its new windows that others have."""
-    windows = cut.select("doc_id", "key", F.explode(F.arrays_zip("once", "once_places"))
-                         .alias("w"))
-    rows = written(windows.select("doc_id", "key", F.col("w.once").alias("hash"),
-                                  F.col("w.once_places").alias("place")), "windows")
+    windows = cut.select("doc_id", "key", F.explode(F.arrays_zip("hashes", "places", "fresh"))
+                         .alias("w")).filter("w.fresh")
+    rows = written(windows.select("doc_id", "key", F.col("w.hashes").alias("hash"),
+                                  F.col("w.places").alias("place")), "windows")
     first = (rows.groupBy("hash")
              .agg(F.min("doc_id").alias("ref_doc"), F.max("doc_id").alias("last_doc"),
                   F.min_by("place", "doc_id").alias("ref_place"))
              .filter("ref_doc < last_doc").drop("last_doc"))
-    return (rows.join(first, "hash").groupBy("doc_id", "key")
-            .agg(F.collect_list(F.struct("hash", "ref_doc", "ref_place")).alias("found")))
+    lists = written(rows.join(first, "hash").groupBy("doc_id", "key")
+                    .agg(F.collect_list(F.struct("hash", "ref_doc", "ref_place")).alias("found")),
+                    "first-windows")
+    discard(rows)
+    return lists
 
 
 def shard_of(doc_ids: np.ndarray, places: np.ndarray, shards: int) -> np.ndarray:
@@ -279,49 +295,53 @@ def shard_rows(cut: DataFrame, found: DataFrame, shards: int, window: int = WIND
     """
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
+            out, held = [], 0
             for row in batch.itertuples(index=False):
-                own, ref_doc, ref_place = [], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-                places = [np.zeros(0, np.int64)]
-                if row.found is not None and len(row.found):
-                    known = sorted((f["hash"], f["ref_doc"], f["ref_place"]) for f in row.found)
-                    hashes, docs_, at_ = (np.array(c, dtype=np.int64)
-                                          for c in zip(*known, strict=True))
-                    near = np.minimum(np.searchsorted(hashes, row.hashes), len(hashes) - 1)
-                    hit = hashes[near] == row.hashes
-                    place, near = row.places[hit].astype(np.int64), near[hit]
-                    earlier = docs_[near] < row.doc_id
-                    own.append(place[~earlier])
-                    places.append(place[earlier])
-                    ref_doc.append(docs_[near][earlier])
-                    ref_place.append(at_[near][earlier])
-                for r in row.runs:
-                    run = np.arange(r["windows"], dtype=np.int64)
-                    if r["ref_doc"] < row.doc_id:
-                        places.append(run + r["first"])
-                        ref_doc.append(np.full(len(run), r["ref_doc"]))
-                        ref_place.append(run + r["ref_first"])
-                    elif r["shared"]:
-                        own.append(run + r["first"])
-                own = np.concatenate(own) if own else np.zeros(0, np.int64)
-                places = np.concatenate(places)
-                offsets = np.concatenate([[0], np.cumsum(row.sizes)])
-                routed = (
-                    (True, shard_of(np.full(len(own), row.doc_id), own, shards), own),
-                    (False, shard_of(np.concatenate(ref_doc), np.concatenate(ref_place), shards),
-                     places))
-                for reference, shard, place in routed:
-                    for number, starts, sizes in _spans(shard, place, window):
-                        segment = np.searchsorted(row.starts, starts, side="right") - 1
-                        begin = offsets[segment] + starts - row.starts[segment]
-                        words = np.concatenate([row.words[b:b + n] for b, n in
-                                                zip(begin, sizes, strict=True)])
-                        out.append((number, reference, row.doc_id, row.key, starts, sizes, words,
-                                    len(words)))
-            yield pd.DataFrame(out, columns=["shard", "reference", "doc_id", "key", "starts",
-                                             "sizes", "words", "n"])
-
-    return cut.join(found, ["doc_id", "key"], "left").mapInPandas(route, (
+                for part in rows_of(row):
+                    out.append(part)
+                    held += part[-1]
+                if held > 2_000_000:
+                    yield frame(out)
+                    out, held = [], 0
+            yield frame(out)
+
+    def rows_of(row) -> Iterator[tuple]:
+        old = row.ref_doc < row.doc_id  # whole runs that an earlier document has
+        own = [_ranges(row.first[~old & row.shared], row.windows[~old & row.shared])]
+        places = [_ranges(row.first[old], row.windows[old])]
+        ref_docs = [np.repeat(row.ref_doc[old], row.windows[old])]
+        ref_places = [_ranges(row.ref_first[old], row.windows[old])]
+        if row.hash is not None and len(row.hash):
+            order = np.argsort(row.hash)
+            known = row.hash[order]
+            near = np.minimum(np.searchsorted(known, row.hashes), len(known) - 1)
+            hit = known[near] == row.hashes
+            place, near = row.places[hit], order[near[hit]]
+            earlier = row.found_doc[near] < row.doc_id
+            own.append(place[~earlier])
+            places.append(place[earlier])
+            ref_docs.append(row.found_doc[near][earlier])
+            ref_places.append(row.found_place[near][earlier])
+        own, places = (np.concatenate(x).astype(np.int64) for x in (own, places))
+        offsets = np.concatenate([[0], np.cumsum(row.sizes)])
+        routed = (
+            (True, shard_of(np.full(len(own), row.doc_id), own, shards), own),
+            (False, shard_of(np.concatenate(ref_docs), np.concatenate(ref_places), shards), places))
+        for reference, shard, place in routed:
+            for number, starts, sizes in _spans(shard, place, window):
+                segment = np.searchsorted(row.starts, starts, side="right") - 1
+                begin = offsets[segment] + starts - row.starts[segment]
+                words = row.words[_ranges(begin, sizes)]
+                yield number, reference, row.doc_id, row.key, starts, sizes, words, len(words)
+
+    def frame(out: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(out, columns=["shard", "reference", "doc_id", "key", "starts",
+                                          "sizes", "words", "n"])
+
+    lists = found.select("doc_id", "key", F.col("found.hash").alias("hash"),
+                         F.col("found.ref_doc").alias("found_doc"),
+                         F.col("found.ref_place").alias("found_place"))
+    return cut.drop("fresh").join(lists, ["doc_id", "key"], "left").mapInPandas(route, (
         "shard long, reference boolean, doc_id long, key long, starts array<int>, "
         "sizes array<int>, words array<long>, n long"))
 
@@ -365,21 +385,19 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW, task_words: int = TASK
 
 def removed_spans(docs: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
     """``doc_id, key, starts, ends`` of the documents ``(doc_id, key, text)`` that lose words."""
-    spark = docs.sparkSession
     known = docs.filter("doc_id is not null")
-    plan = written(repeated_runs(written(document_runs(known), "runs")), "run-lists")
-    release(spark)
+    runs = written(document_runs(known), "runs")
+    plan = repeated_runs(runs)
+    discard(runs)
     cut = written(segments(known, plan), "segments")
-    release(spark)
+    discard(plan)
     total = cut.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))
                     ).first()[0] or 0
-    shards = max(1, -(-total // shard_words))
-    found = written(first_windows(cut), "first-windows")
-    release(spark)
-    rows = written(shard_rows(cut, found, shards), "shards")
-    release(spark)
+    found = first_windows(cut)
+    rows = written(shard_rows(cut, found, max(1, -(-total // shard_words))), "shards")
+    discard(cut, found)
     spans = written(repeated_spans(rows), "spans")
-    release(spark)
+    discard(rows)
     return spans.groupBy("doc_id", "key").agg(F.flatten(F.collect_list("starts")).alias("starts"),
                                               F.flatten(F.collect_list("ends")).alias("ends"))
 
