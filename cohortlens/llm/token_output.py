@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.llm.common import AttemptFile, filesystem, scratch_path, text_of, tokenizer, written
+from cohortlens.llm.words import slabs
 
 MAGIC = b"TOKZDIC1"
 TRAILER = "<QQQ"
@@ -39,11 +40,25 @@ SAMPLE_BYTES = 16_384
 DICTIONARY_BYTES = 65_536
 LEAST_SAMPLES = 16
 LEVEL = 3
-#: Ids of frequent pieces that a Python worker remembers (pieces up to PIECE_CHARS long).
-REMEMBERED = 400_000
+#: Pieces whose ids a Python worker remembers, in each of two generations, and their longest.
+REMEMBERED = 500_000
 PIECE_CHARS = 48
-#: Texts are cut into pieces where one space stands between two other characters.
+#: Texts are cut into pieces where one space stands between two characters that are not white
+#: space; in even texts (no other white space than single spaces and line feeds), at each space.
 _BREAK = re.compile(r"(?<=\S) (?=\S)")
+# White space other than space and line feed, in UTF-8 (and what starts like it).
+_OTHER_SPACE = b"\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
+_WIDE_SPACE = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f",
+               b"\xe3\x80\x80")
+
+
+def pieces_of(text: str) -> list[str]:
+    """``text`` cut at its breaks; joined by spaces again the pieces give the text."""
+    data = text.encode("utf-8", "surrogatepass")
+    even = not (data[:1] in b" \n" or data[-1:] in b" \n" or b"  " in data or b" \n" in data
+                or b"\n " in data or len(data.translate(None, _OTHER_SPACE)) != len(data)
+                or any(space in data for space in _WIDE_SPACE))
+    return text.split(" ") if even else _BREAK.split(text)
 
 
 class Encoder:
@@ -58,27 +73,56 @@ class Encoder:
         self.tokenizer = tokenizer(path)
         wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.dtype = np.dtype("<u4" if wide else "<u2")
+        self.starts = np.zeros(self.tokenizer.get_vocab_size(), bool)  # ids that begin with a space
+        for token, number in self.tokenizer.get_vocab().items():
+            self.starts[number] = token.startswith("\u0120")
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype=self.dtype).tobytes()
                 for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
-    def ids(self, text: str) -> bytes:
-        """The serialized ids of ``text``."""
-        first, *pieces = _BREAK.split(text)
-        head = self._encode([first])[0]
-        try:
-            return head + b"".join(map(self.known.__getitem__, pieces))
-        except KeyError:
-            pass
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = list(set(pieces) - self.known.keys())
-        found = dict(zip(new, self._encode([" " + p for p in new]), strict=True))
-        self.known.update((p, x) for p, x in found.items() if len(p) <= PIECE_CHARS)
-        known = self.known
-        return head + b"".join(known[p] if p in known else found[p] for p in pieces)
+    def _encode_following(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces with a space before them, encoded as one text.
+
+        Without spaces inside the pieces, a piece's first id is the next one that
+        begins with a space.
+        """
+        if any(" " in p for p in pieces) or not pieces:
+            return self._encode([" " + p for p in pieces])
+        ids = np.array(self.tokenizer.encode_batch_fast(
+            ["".join(" " + p for p in pieces)], add_special_tokens=False)[0].ids, dtype=self.dtype)
+        first = np.flatnonzero(self.starts[ids])
+        data, width = ids.tobytes(), self.dtype.itemsize
+        ends = (np.append(first[1:], len(ids)) * width).tolist()
+        return [data[a:b] for a, b in zip((first * width).tolist(), ends, strict=True)]
+
+    def ids(self, texts: list[str]) -> Iterator[bytes]:
+        """The serialized ids of each text."""
+        cut = [pieces_of(t) for t in texts]
+        heads = self._encode([pieces[0] for pieces in cut])
+        known, older, new = self.known, self.older, []
+        for pieces in cut:
+            del pieces[0]
+        for piece in set().union(*cut):
+            if piece not in known:
+                if piece in older:
+                    known[piece] = older[piece]
+                else:
+                    new.append(piece)
+        odd = [p for p in new if " " in p]
+        new = [p for p in new if " " not in p]
+        for some in (odd, new):
+            known.update(zip(some, self._encode_following(some), strict=True))
+        new += odd
+        for head, pieces in zip(heads, cut, strict=True):
+            yield head + b"".join(map(known.__getitem__, pieces))
+        for piece in new:
+            if len(piece) > PIECE_CHARS:
+                del known[piece]
+        if len(known) > REMEMBERED:
+            self.known, self.older = {}, known
 
 
 @lru_cache(maxsize=2)
@@ -100,7 +144,8 @@ def train_dictionary(docs: DataFrame, tokenizer_path: str, seed: int = 0) -> byt
         encode = encoder(tokenizer_path)
         for batch in batches:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "ids": [
-                encode.ids(t[:4 * SAMPLE_BYTES])[:SAMPLE_BYTES] for t in batch["text"]]})
+                ids[:SAMPLE_BYTES]
+                for ids in encode.ids([t[:4 * SAMPLE_BYTES] for t in batch["text"]])]})
 
     chosen = (docs.filter(F.col("doc_id").isin([r.doc_id for r in lots]))
               .mapInPandas(sample, "doc_id long, ids binary")
@@ -139,16 +184,19 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, id_col: str
         packer = zstandard.ZstdCompressor(level=LEVEL, **_dictionary(shared.value))
         out, index, tokens = None, [], 0
         for batch in batches:
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                if out is None:
-                    out = AttemptFile(folder, ".tokens")
-                    out.write(MAGIC + hashlib.sha256(shared.value).digest())
-                ids = encode.ids(text) + end
-                frame, n = packer.compress(ids), len(ids) // encode.dtype.itemsize
-                known = not pd.isna(doc_id)
-                index.append((known, int(doc_id) if known else 0, tokens, n, out.size, len(frame)))
-                out.write(frame)
-                tokens += n
+            doc_ids = iter(batch["doc_id"])
+            for _, texts in slabs(batch["text"].tolist()):
+                for ids in encode.ids(texts):
+                    doc_id, ids = next(doc_ids), ids + end
+                    if out is None:
+                        out = AttemptFile(folder, ".tokens")
+                        out.write(MAGIC + hashlib.sha256(shared.value).digest())
+                    frame, n = packer.compress(ids), len(ids) // encode.dtype.itemsize
+                    known = not pd.isna(doc_id)
+                    index.append((known, int(doc_id) if known else 0, tokens, n, out.size,
+                                  len(frame)))
+                    out.write(frame)
+                    tokens += n
         done = []
         if out:
             position = out.size
