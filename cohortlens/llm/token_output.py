@@ -273,7 +273,8 @@ def read_tokens(manifest: DataFrame, folder: str, ids: bool = True) -> DataFrame
         return pd.DataFrame(rows, columns=["doc_id", "start", "n_tokens", "ids_crc32",
                                            "ids"]).astype({"doc_id": "Int64"})
 
-    return (manifest.repartition("path")
+    # a number of its own keeps Spark from merging these few rows, a shard each, into one task
+    return (manifest.repartition(max(1, min(manifest.count(), 100_000)), "path")
             .mapInPandas(read, "doc_id long, start long, n_tokens long, ids_crc32 long, "
                                "ids array<int>"))
 

@@ -214,9 +214,11 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Model:
                     .select("label", "part", "features"), "toxicity-features")
     trees = GBTClassifier(labelCol="label", featuresCol="features", maxIter=15, maxDepth=3,
                           stepSize=0.3, seed=SEED).fit(known.filter("part = 1"))
+    # one weighted point per different probability: many texts have the same features
     held = (trees.transform(known.filter("part = 2"))
-            .select("label", vector_to_array("probability")[1].alias("features")))
-    calibration = IsotonicRegression(labelCol="label", featuresCol="features",
+            .groupBy(vector_to_array("probability")[1].alias("features"))
+            .agg(F.avg("label").alias("label"), F.count(F.lit(1)).cast("double").alias("weight")))
+    calibration = IsotonicRegression(labelCol="label", featuresCol="features", weightCol="weight",
                                      predictionCol="calibrated").fit(held)
     return Model(lexicon, trees, calibration)
 
