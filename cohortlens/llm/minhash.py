@@ -8,10 +8,11 @@ band are candidates and are verified by the exact similarity. Classes are the
 connected components of the verified links.
 
 Candidates are tested without forming all pairs of a bucket. All members are
-tested against one hub; while a bucket has members outside its largest class,
+tested against one hub, the member that shares most buckets with others; while a bucket has members outside its largest class,
 these become hubs too and are tested against every member of another class. A
 bucket is left when each member is in its largest class or has been a hub, so
-every link between different classes has been tested.
+every link between different classes has been tested. In large buckets, pairs
+whose weights alone exclude a link (:func:`weight_limits`) need no test.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import release, text_of, written
+from cohortlens.llm.common import discard, release, text_of, written
 from cohortlens.llm.words import gram_hashes, mixed, slabs, word_hashes
 
 SHINGLE = 5
@@ -36,6 +37,11 @@ ROWS = 4
 COUNTERS = 131_072
 #: Entries of the table of random numbers of one hash function.
 TABLE_BITS = 14
+#: A bucket of more members is large; also its further hubs in the first round of testing
+#: (four times as many in each next round).
+LARGE = 32
+#: Room for rounding when sums of weights are compared.
+SLACK = 1e-6
 SEED = 29
 
 
@@ -295,15 +301,55 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def weight_limits(buckets: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame:
+    """``node, all, known``: weight of a text, and of its shingles that others have too.
+
+    For the members of large buckets, others being all of these. The overlap of
+    two of them is at most the smaller ``known``, and a similarity of s needs an
+    overlap of s / (1 + s) of both weights together; so edited copies whose
+    edits are their own are told apart without comparing them with each other.
+    """
+    shared = buckets.sparkSession.sparkContext.broadcast(weights)
+
+    def explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            first = 0
+            for _, group in slabs(batch["text"].tolist()):
+                hashes, counts, sizes = shingle_sets(group)
+                names = batch["node"].to_numpy()[first:first + len(group)]
+                first += len(group)
+                yield pd.DataFrame({"node": np.repeat(names, sizes),
+                                    "shingle": hashes.view(np.int64),
+                                    "weight": shared.value.of(hashes, counts)})
+
+    large = buckets.filter(F.col("n") > LARGE).select("node").distinct()
+    rows = written(texts.join(large, "node").mapInPandas(
+        explode, "node binary, shingle long, weight double")
+        .withColumn("id", F.xxhash64("node")), "weights")
+    own = (rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id"),
+                                       F.max("weight").alias("weight"))
+           .filter("n = 1").groupBy("id").agg(F.sum("weight").alias("own")))
+    out = written(rows.groupBy("node", "id").agg(F.sum("weight").alias("all"))
+                  .join(own, "id", "left")
+                  .select("node", "all", (F.col("all") - F.coalesce("own", F.lit(0.0)))
+                          .alias("known")), "limits")
+    discard(rows)
+    return out
+
+
 def linked_classes(nodes: DataFrame, docs: DataFrame, weights: Weights,
                    least: float = SIMILARITY) -> DataFrame:
     """``node, comp`` of the texts that are linked to others; ``nodes``: node, doc_id, bands."""
     spark = nodes.sparkSession
     rows = nodes.select("node", F.posexplode("bands").alias("band", "hash"))
-    hubs = (rows.groupBy("band", "hash")
-            .agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n"))
-            .filter("n > 1").drop("n"))
-    members = written(rows.join(hubs, ["band", "hash"]), "buckets")
+    shared = (rows.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    buckets = written(rows.join(shared, ["band", "hash"]), "buckets")
+    # a text in the middle of a group shares more bands than its edited copies do
+    degrees = buckets.groupBy("node").agg(F.sum("n").alias("degree"))
+    placed = buckets.join(degrees, "node").withColumn(
+        "order", F.struct(-F.col("degree"), "node"))
+    hubs = placed.groupBy("band", "hash").agg(F.min("order")["node"].alias("hub"))
+    members = written(placed.drop("degree").join(hubs, ["band", "hash"]), "members")
     texts = written(
         docs.join(nodes.join(members.select("node").distinct(), "node")
                   .select("node", F.col("doc_id").alias("own")), "node")
@@ -314,27 +360,32 @@ def linked_classes(nodes: DataFrame, docs: DataFrame, weights: Weights,
     release(spark)
     classes = components(links.select(F.col("hub").alias("a"), F.col("node").alias("b")))
     used = members.select("band", "hash", F.col("hub").alias("node")).distinct()
-    hubs_now = 1
+    limits = weight_limits(buckets, texts, weights)
+    hubs_now = LARGE
     while True:
-        placed = (members.select("band", "hash", "node").join(classes, "node", "left")
-                  .withColumn("comp", F.coalesce("comp", "node")))
+        placed = (members.select("band", "hash", "n", "node", "order").join(classes, "node", "left")
+                  .withColumn("comp", F.coalesce("comp", "node")).join(limits, "node", "left"))
         placed = written(placed, "placed")
         largest = (placed.groupBy("band", "hash", "comp").agg(F.count(F.lit(1)).alias("n"))
                    .groupBy("band", "hash")
                    .agg(F.max_by("comp", "n").alias("main"), F.count(F.lit(1)).alias("classes"))
                    .filter("classes > 1").drop("classes"))
         outside = (placed.join(largest, ["band", "hash"]).filter("comp != main").drop("main")
+                   .filter((F.col("n") <= LARGE) | (F.col("known") >= least * F.col("all") - SLACK))
                    .join(used, ["band", "hash", "node"], "left_anti"))
-        order = Window.partitionBy("band", "hash").orderBy("node")
+        order = Window.partitionBy("band", "hash").orderBy("order")
         chosen = written(outside.withColumn("rank", F.row_number().over(order))
                          .filter(F.col("rank") <= hubs_now).drop("rank"), "hubs")
         if chosen.isEmpty():
             return classes
-        pairs = (chosen.select("band", "hash", F.col("node").alias("hub"),
-                               F.col("comp").alias("hub_comp"))
-                 .join(placed, ["band", "hash"]).filter("comp != hub_comp")
-                 .select(F.least("hub", "node").alias("hub"),
-                         F.greatest("hub", "node").alias("node")).distinct())
+        both = (chosen.alias("h").join(placed.alias("m"), (
+            (F.col("h.band") == F.col("m.band")) & (F.col("h.hash") == F.col("m.hash"))
+            & (F.col("h.comp") != F.col("m.comp"))
+            & ((F.col("m.n") <= LARGE) | (
+                F.least("h.known", "m.known") >= least / (1 + least)
+                * (F.col("h.all") + F.col("m.all")) - SLACK)))))
+        pairs = both.select(F.least("h.node", "m.node").alias("hub"),
+                            F.greatest("h.node", "m.node").alias("node")).distinct()
         pairs = written(pairs.join(tested, ["hub", "node"], "left_anti"), "pairs")
         links = written(verified(pairs, texts, weights, least), "links")
         if not links.isEmpty():
@@ -344,16 +395,15 @@ def linked_classes(nodes: DataFrame, docs: DataFrame, weights: Weights,
                        .join(named.select("node", F.col("comp").alias("b")), "node", "left")
                        .select(F.coalesce("a", "hub").alias("a"), F.coalesce("b", "node").alias("b"),
                                "hub", "node"))
-            merged_ = components(between.select("a", "b")).withColumnsRenamed(
-                {"node": "comp", "comp": "to"})
+            merged_ = components(between.select("a", "b")).toDF("comp", "to")
             everyone = classes.unionAll(
                 between.select(F.explode(F.array("hub", "node")).alias("node"))
                 .join(classes, "node", "left_anti").distinct().select("node", F.col("node")))
             classes = written(everyone.toDF("node", "comp").join(merged_, "comp", "left").select(
                 "node", F.coalesce("to", "comp").alias("comp")), "classes")
         tested = tested.unionAll(pairs)
-        used = written(used.unionAll(chosen.select("band", "hash", "node")), "used")
-        hubs_now *= 2
+        used = used.unionAll(chosen.select("band", "hash", "node"))
+        hubs_now *= 4
         release(spark)
 
 
