@@ -18,7 +18,7 @@ whose weights alone exclude a link (:func:`weight_limits`) need no test.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import lru_cache
 
 import numpy as np
@@ -74,15 +74,30 @@ def shingle_sets(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 @dataclass
 class Weights:
-    """Inverse document frequencies: exact for frequent shingles, one ceiling for all others."""
+    """Inverse document frequencies: a table of frequent shingles, the others' by text.
+
+    ``ceiling`` is the weight of shingles in one document only. ``rare`` has a row
+    ``ref, hash, n`` per text and shingle of its in 2 documents or more that is not
+    in the table; None if there is no such shingle.
+    """
 
     hashes: np.ndarray
     idf: np.ndarray
     ceiling: float
+    rows: int = 0
+    rare: DataFrame | None = None
+
+    def table(self) -> Weights:
+        """What tasks need besides the frequencies that come with each text."""
+        return replace(self, rare=None)
 
-    def of(self, hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """tf × idf of shingles."""
+    def of(self, hashes: np.ndarray, counts: np.ndarray, found: np.ndarray | None = None
+           ) -> np.ndarray:
+        """tf × idf of shingles; ``found``: document frequencies of those not in the table."""
         out = np.full(len(hashes), self.ceiling)
+        if found is not None:
+            several = found > 1
+            out[several] = 1 + np.log((self.rows + 1) / (found[several] + 1.0))
         if len(self.hashes):
             at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
             hit = self.hashes[at] == hashes
@@ -105,13 +120,15 @@ def merged(hashes: np.ndarray, counts: np.ndarray, k: int | None = None
 
 
 def shingle_weights(docs: DataFrame, counters: int = COUNTERS) -> Weights:
-    """Weights from the document frequencies of the whole corpus.
+    """Weights from the exact document frequencies of the whole corpus.
 
     With T the number of (document, shingle) pairs, shingles in more than
     t = 2T / (counters + 1) documents are found by Misra–Gries summaries (at most
     ``counters`` candidates, as their estimates exceed T / (counters + 1) and
-    sum to at most T) and counted exactly in a second pass. All rarer shingles
-    share the weight at t: idf = 1 + ln((N + 1) / (max(df, t) + 1)).
+    sum to at most T) and counted exactly in a second pass; their table goes to
+    all tasks. The rarer ones, none of which is in more than t documents, are
+    shuffled by shingle and counted there (:func:`rare_frequencies`).
+    idf = 1 + ln((N + 1) / (df + 1)).
     """
     spark = docs.sparkSession
 
@@ -156,8 +173,82 @@ def shingle_weights(docs: DataFrame, counters: int = COUNTERS) -> Weights:
     hashes = np.array([r.hash for r in frequent], dtype=np.int64).view(np.uint64)
     df = np.array([r.n for r in frequent], dtype=float)
     order = np.argsort(hashes)
-    return Weights(hashes[order], 1 + np.log((rows + 1) / (df[order] + 1)),
-                   1 + float(np.log((rows + 1) / (max(least, 1.0) + 1))) if rows else 1.0)
+    out = Weights(hashes[order], 1 + np.log((rows + 1) / (df[order] + 1)),
+                  1 + float(np.log((rows + 1) / 2)) if rows else 1.0, rows)
+    if least > 1:
+        out.rare = rare_frequencies(docs, out.hashes)
+    return out
+
+
+def ref_of(node: str | Column) -> Column:
+    """64 bits that stand for a node where rows are many."""
+    return F.xxhash64(node)
+
+
+def rare_frequencies(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
+    """``ref, hash, n``: a text's shingles in n > 1 documents that are not ``frequent``."""
+    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+
+    def explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for first, texts in slabs(batch["text"].tolist()):
+                hashes, _, sizes = shingle_sets(texts)
+                refs = np.repeat(batch["ref"].to_numpy()[first:first + len(texts)], sizes)
+                if len(shared.value):
+                    at = np.minimum(np.searchsorted(shared.value, hashes), len(shared.value) - 1)
+                    other = shared.value[at] != hashes
+                    hashes, refs = hashes[other], refs[other]
+                for i in range(0, len(hashes), 1 << 18):
+                    yield pd.DataFrame({"ref": refs[i:i + (1 << 18)],
+                                        "hash": hashes[i:i + (1 << 18)].view(np.int64)})
+
+    rows = docs.select(ref_of(node_of(F.col("text"))).alias("ref"), "text").mapInPandas(
+        explode, "ref long, hash long")
+    counted = rows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("hash")))
+    # equal texts have the same shingles: one row is enough
+    out = written(counted.filter("n > 1").groupBy("hash", "ref")
+                  .agg(F.first("n").cast("int").alias("n")).select("ref", "hash", "n"), "rare")
+    release(docs.sparkSession)
+    return out
+
+
+def with_rare(texts: DataFrame, weights: Weights) -> DataFrame:
+    """``texts (node, text, …)`` plus ``found``: document frequencies of its sorted shingles.
+
+    As 32-bit numbers, 1 for those in the table of ``weights`` also; null where all are 1.
+    """
+    if weights.rare is None:
+        return texts.withColumn("found", F.lit(None).cast("binary"))
+    texts = texts.withColumn("ref", ref_of("node"))
+    lists = (weights.rare.groupBy("ref").agg(F.collect_list(F.struct("hash", "n")).alias("rare"))
+             .select("ref", F.col("rare.hash").alias("rare_hash"), F.col("rare.n").alias("rare_n")))
+    kept = [c for c in texts.columns if c != "ref"]
+
+    def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = []
+            for text, known, n in zip(batch["text"], batch["rare_hash"], batch["rare_n"],
+                                      strict=True):
+                if known is None:
+                    found.append(None)
+                    continue
+                hashes, _, _ = shingle_sets([text])
+                own = np.ones(len(hashes), np.int32)
+                own[np.searchsorted(hashes, np.asarray(known, np.int64).view(np.uint64))] = n
+                found.append(own.tobytes())
+            yield batch[kept].assign(found=found)
+
+    schema = ", ".join(f"{c} {t}" for c, t in texts.select(*kept).dtypes)
+    return texts.join(lists, "ref", "left").select(*kept, "rare_hash", "rare_n").mapInPandas(
+        align, f"{schema}, found binary")
+
+
+def frequencies_of(found: list[bytes | None], sizes: np.ndarray) -> np.ndarray | None:
+    """The ``found`` of several texts in a row."""
+    if all(f is None for f in found):
+        return None
+    return np.concatenate([np.ones(n, np.int32) if f is None else np.frombuffer(f, np.int32)
+                           for f, n in zip(found, sizes.tolist(), strict=True)])
 
 
 # ---- signatures -------------------------------------------------------------
@@ -221,7 +312,7 @@ def node_of(text: Column) -> Column:
 
 def banded(docs: DataFrame, weights: Weights) -> DataFrame:
     """``doc_id, node, bands`` of all rows ``(doc_id, node, text)``."""
-    shared = docs.sparkSession.sparkContext.broadcast(weights)
+    shared = docs.sparkSession.sparkContext.broadcast(weights.table())
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = shared.value
@@ -229,15 +320,17 @@ def banded(docs: DataFrame, weights: Weights) -> DataFrame:
             ids = batch["doc_id"].astype("Int64")
             for first, texts in slabs(batch["text"].tolist()):
                 hashes, counts, sizes = shingle_sets(texts)
-                bands = band_hashes(signatures(hashes, known.of(hashes, counts), sizes,
+                last = first + len(texts)
+                found = frequencies_of(batch["found"].tolist()[first:last], sizes)
+                bands = band_hashes(signatures(hashes, known.of(hashes, counts, found), sizes,
                                                known.ceiling)).view(np.int64)
                 rows = iter(bands)
-                last = first + len(texts)
                 yield pd.DataFrame({
                     "doc_id": ids.array[first:last], "node": batch["node"].array[first:last],
                     "bands": [next(rows) if n else [] for n in sizes.tolist()]})
 
-    return docs.mapInPandas(sign, "doc_id long, node binary, bands array<long>")
+    return with_rare(docs, weights).mapInPandas(
+        sign, "doc_id long, node binary, bands array<long>")
 
 
 # ---- verification -----------------------------------------------------------
@@ -251,27 +344,32 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 
 def verified(pairs: DataFrame, texts: DataFrame, weights: Weights, least: float) -> DataFrame:
-    """The ``pairs`` (hub, node) whose texts are similar; a hot hub's pairs are split by Spark."""
-    shared = pairs.sparkSession.sparkContext.broadcast(weights)
+    """The ``pairs`` (hub, node) whose texts are similar; a hot hub's pairs are split by Spark.
+
+    ``texts``: node, text and found (of :func:`with_rare`).
+    """
+    shared = pairs.sparkSession.sparkContext.broadcast(weights.table())
 
-    def vector(text: str) -> tuple[np.ndarray, np.ndarray]:
-        hashes, counts, _ = shingle_sets([text])
-        return hashes, shared.value.of(hashes, counts)
+    def vector(text: str, found: bytes | None) -> tuple[np.ndarray, np.ndarray]:
+        hashes, counts, sizes = shingle_sets([text])
+        return hashes, shared.value.of(hashes, counts, frequencies_of([found], sizes))
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hub, known = None, None
         for batch in batches:
             keep = []
-            for name, text, hub_text in zip(batch["hub"], batch["text"], batch["hub_text"],
-                                            strict=True):
+            for name, text, found, hub_text, hub_found in zip(
+                    batch["hub"], batch["text"], batch["found"], batch["hub_text"],
+                    batch["hub_found"], strict=True):
                 if name != hub:
-                    hub, known = name, vector(hub_text)
-                keep.append(similarity(known, vector(text)) >= least)
+                    hub, known = name, vector(hub_text, hub_found)
+                keep.append(similarity(known, vector(text, found)) >= least)
             yield batch.loc[keep, ["hub", "node"]]
 
     both = (pairs.join(texts, "node")
-            .join(texts.select(F.col("node").alias("hub"), F.col("text").alias("hub_text")), "hub"))
-    return both.select("hub", "node", "text", "hub_text").mapInPandas(
+            .join(texts.select(F.col("node").alias("hub"), F.col("text").alias("hub_text"),
+                               F.col("found").alias("hub_found")), "hub"))
+    return both.select("hub", "node", "text", "found", "hub_text", "hub_found").mapInPandas(
         check, "hub binary, node binary")
 
 
@@ -309,7 +407,7 @@ def weight_limits(buckets: DataFrame, texts: DataFrame, weights: Weights) -> Dat
     overlap of s / (1 + s) of both weights together; so edited copies whose
     edits are their own are told apart without comparing them with each other.
     """
-    shared = buckets.sparkSession.sparkContext.broadcast(weights)
+    shared = buckets.sparkSession.sparkContext.broadcast(weights.table())
 
     def explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -317,10 +415,11 @@ def weight_limits(buckets: DataFrame, texts: DataFrame, weights: Weights) -> Dat
             for _, group in slabs(batch["text"].tolist()):
                 hashes, counts, sizes = shingle_sets(group)
                 names = batch["node"].to_numpy()[first:first + len(group)]
+                found = frequencies_of(batch["found"].tolist()[first:first + len(group)], sizes)
                 first += len(group)
                 yield pd.DataFrame({"node": np.repeat(names, sizes),
                                     "shingle": hashes.view(np.int64),
-                                    "weight": shared.value.of(hashes, counts)})
+                                    "weight": shared.value.of(hashes, counts, found)})
 
     large = buckets.filter(F.col("n") > LARGE).select("node").distinct()
     rows = written(texts.join(large, "node").mapInPandas(
@@ -350,10 +449,11 @@ def linked_classes(nodes: DataFrame, docs: DataFrame, weights: Weights,
         "order", F.struct(-F.col("degree"), "node"))
     hubs = placed.groupBy("band", "hash").agg(F.min("order")["node"].alias("hub"))
     members = written(placed.drop("degree").join(hubs, ["band", "hash"]), "members")
-    texts = written(
+    texts = written(with_rare(
         docs.join(nodes.join(members.select("node").distinct(), "node")
                   .select("node", F.col("doc_id").alias("own")), "node")
-        .filter(F.col("doc_id").eqNullSafe(F.col("own"))).select("node", "text"), "texts")
+        .filter(F.col("doc_id").eqNullSafe(F.col("own"))).select("node", "text"), weights),
+        "texts")
     release(spark)
     tested = written(members.filter("node != hub").select("hub", "node").distinct(), "pairs")
     links = written(verified(tested, texts, weights, least), "links")

@@ -233,6 +233,33 @@ def test_near_dedup_matches_brute_force(docs):
     assert len(set(by_node.values())) < len(by_node)
 
 
+@pytest.mark.parametrize("counters", [4, 40])
+def test_shingles_outside_the_table_keep_their_own_weight(docs, monkeypatch, counters):
+    """Copies whose shared shingles are in several documents and whose own are in one."""
+    rnd = random.Random(12)
+    phrases = [[f"p{i}x{j}" for j in range(30)] for i in range(12)]
+    texts = []
+    for i in range(30):
+        start = rnd.randrange(9)
+        words = [w for phrase in phrases[start:start + 3] for w in phrase]
+        for k in range(2):
+            copy = list(words)
+            for at in range(rnd.randrange(1, 4)):
+                copy[20 + 25 * at] = f"own{i}x{k}x{at}"
+            texts.append(" ".join(copy))
+    texts = [*enumerate(texts), (200, texts[0]), (201, ""), (None, texts[5])]
+    whole = minhash.shingle_weights
+    monkeypatch.setattr(minhash, "shingle_weights", lambda d: whole(d, counters))
+    flat = len({i for i, _ in _brute_classes(texts, 0.7).values()})
+    expect = _brute_classes(texts)
+    assert len({i for i, _ in expect.values()}) > flat
+    by_node = {hashlib.md5(t.encode()).digest(): expect[t] for _, t in texts}
+    got = minhash.near_dedup(docs(texts)).collect()
+    assert len(got) == len(texts)
+    assert {(bytes(r.node), r.class_id, r.class_size) for r in got} == {
+        (node, *found) for node, found in by_node.items()}
+
+
 @pytest.mark.parametrize("large", [4, 32])
 def test_buckets_of_several_classes_are_tested_to_the_end(docs, monkeypatch, large):
     """With one weak band everything meets in few buckets; no link may be lost."""
