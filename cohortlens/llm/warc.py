@@ -29,7 +29,6 @@ RECORD_ID = "urn:x-page:"
 ROLL_BYTES = 1 << 30
 SPLIT_BYTES = 8 << 20
 CHUNK = 1 << 16
-HEADER_LIMIT = 1 << 20
 RECORD_DATE = "2024-01-01T00:00:00Z"
 
 
@@ -133,7 +132,12 @@ class Member:
     def header(self) -> dict[str, str] | None:
         """The WARC header fields, or None if this is not the start of a record."""
         try:
-            while b"\r\n\r\n" not in self.data and len(self.data) < HEADER_LIMIT and self.more():
+            # a member that begins like a record is bounded by itself, other data by its first bytes
+            seen = 0
+            while self.data.find(b"\r\n\r\n", max(0, seen - 3)) < 0:
+                seen = len(self.data)
+                if not self.more():
+                    break
                 if not self.data.startswith(b"WARC/1."[:len(self.data)]):
                     return None
         except zlib.error:

@@ -109,6 +109,14 @@ def test_records_are_found_from_any_byte_range():
         assert got == payloads
 
 
+def test_a_record_with_a_header_of_over_a_mebibyte_is_read():
+    url = "http://x/" + base64.b16encode(random.Random(2).randbytes(1 << 20)).decode()
+    data = warc.record(1, url, b"long", None) + warc.record(2, "u", b"short", None)
+    found = list(warc.records_in(io.BytesIO(data), 0, len(data)))
+    assert [(f["WARC-Target-URI"], b.partition(b"\r\n\r\n")[2]) for f, b in found] == [
+        (url, b"long"), ("u", b"short")]
+
+
 def test_damaged_or_foreign_members_are_skipped():
     good = warc.record(3, "u", b"payload", None)
     other = zlib.compressobj(6, zlib.DEFLATED, 31)
