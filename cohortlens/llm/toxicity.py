@@ -176,9 +176,32 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLE
                    .join(F.broadcast(chosen), "doc_id").withColumn("part", part), "labelled")
 
 
+def label_counts(sample: DataFrame) -> dict[tuple[int, float], int]:
+    return {(r.part, r.label): r.n for r in
+            sample.groupBy("part", "label").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def stratified(sample: DataFrame, counts: dict[tuple[int, float], int]) -> DataFrame:
+    """``sample`` with a document of each label in each part, where three of a label exist.
+
+    A label that a part lacks gives the documents of its three lowest hashes to
+    one part each; other documents stay where they are.
+    """
+    part = F.col("part")
+    for label in (0.0, 1.0):
+        if all(counts.get((p, label), 0) for p in range(3)):
+            continue
+        ids = (sample.filter(F.col("label") == label).select("doc_id").distinct()
+               .orderBy(F.xxhash64(F.lit(SEED + 2), "doc_id"), "doc_id").limit(3).collect())
+        if len(ids) == 3:
+            for p, r in enumerate(ids):
+                part = F.when(F.col("doc_id") == r.doc_id, p).otherwise(part)
+    return sample.withColumn("part", part)
+
+
 @dataclass
 class Model:
-    """A fitted scorer; without both labels in a part it scores the share of toxic labels."""
+    """A fitted scorer; without three labels of each kind it scores the share of toxic labels."""
 
     lexicon: Lexicon
     trees: object = None
@@ -203,8 +226,10 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Model:
     """Fit lexicon, trees and calibration on at most ``most`` labelled documents."""
     sample = labelled_sample(docs, labels, most)
-    counts = {(r.part, r.label): r.n for r in
-              sample.groupBy("part", "label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = label_counts(sample)
+    if any(counts.get((part, label), 0) == 0 for part in range(3) for label in (0.0, 1.0)):
+        sample = stratified(sample, counts)
+        counts = label_counts(sample)
     total = sum(counts.values())
     if any(counts.get((part, label), 0) == 0 for part in range(3) for label in (0.0, 1.0)):
         toxic = sum(n for (_, label), n in counts.items() if label)
@@ -229,8 +254,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
     The score sees the text only (null: empty); empty texts get the score of
     texts without any sign. A null id is not held out. Labels that are null or
     of unknown documents are ignored. Repeated rows are scored alike; an empty
-    table gives no rows; without labels of both kinds every score is the share
-    of toxic labels (0 without any). Extra columns are ignored.
+    table gives no rows; with fewer than three labelled documents of either kind
+    every score is the share of toxic labels (0 without any). Extra columns are
+    ignored.
     """
     rows = docs.select("doc_id", text_of("text").alias("text"))
     scored = fit(rows, labels).score(rows)
@@ -239,7 +265,13 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that score below ``threshold``."""
+    """The rows of ``docs``, with all their columns, that score below ``threshold``.
+
+    All rows, if there are too few labels to fit a model.
+    """
     packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("docs"), "text")
-    scored = fit(docs, labels).score(packed)
+    model = fit(docs, labels)
+    if model.trees is None:
+        return docs
+    scored = model.score(packed)
     return scored.filter(F.col("score") < threshold).select("docs.*")

@@ -136,6 +136,19 @@ def test_toxicity_on_held_out_documents(spark):
         r.doc_id for r in got if not r.predicted and r.doc_id in truth}
 
 
+def test_toxicity_is_fitted_on_few_labels_of_each_kind(spark):
+    docs, labels = _labelled(spark, 300)
+    free = [(i, t) for i, t in labels if zlib.crc32(str(i).encode()) % 3 != 1]
+    toxic = [x for x in free if x[1]]
+    for n in (3, 4, 6):
+        table = spark.createDataFrame([x for x in free if not x[1]] + toxic[:n],
+                                      "doc_id long, toxic int")
+        assert toxicity.fit(docs, table).trees is not None
+    schema = "doc_id long, toxic int"
+    ones = spark.createDataFrame([(i, 1) for i in range(300)], schema)
+    assert toxicity.drop_toxic(docs, ones).count() == 300  # no model: nothing is dropped
+
+
 def test_toxicity_without_labels_or_documents(spark):
     docs, labels = _labelled(spark, 20)
     schema = "doc_id long, toxic int"
