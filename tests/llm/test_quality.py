@@ -78,6 +78,15 @@ def test_extraction_of_odd_pages():
     assert _text(long_page) == "\n".join([LONG] * 3000)
 
 
+def test_an_apostrophe_in_an_unquoted_attribute_opens_no_value():
+    for page in ("<p title=it's>one</p> don't <p>two</p>", "<p title=it's>one</p><p>two</p>"):
+        runs = [html_extract.block_text(r) for n in html_extract.parse_page(page)
+                for _, r in n.runs]
+        assert [r for r in runs if r not in ("", "don't")] == ["one", "two"]
+    assert [n.words for n in html_extract.parse_page("<p title = 'a>b' class=\"x>y\">t</p>")][1] == {
+        "x", "y"}
+
+
 def test_extraction_keeps_every_row(spark):
     rows = [(1, "u", f"<article><p>{LONG}</p></article>", "z"), (1, "u", None, "z"),
             (None, None, "", "z"), (2, None, f"<article><p>é {LONG}</p></article>", "z")]
