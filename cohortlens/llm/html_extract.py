@@ -31,12 +31,13 @@ PENALTY = 0.00005
 # markup, inline elements, and elements that end an open paragraph.
 VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
                   "param", "source", "track", "wbr"))
-RAW = ("script", "style", "noscript", "template", "textarea", "iframe", "svg", "math", "title",
-       "object", "select", "canvas", "audio", "video")
+RAW = ("script", "style", "template", "textarea", "iframe", "title")
 INLINE = frozenset((
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em",
     "font", "i", "ins", "kbd", "label", "mark", "q", "ruby", "rt", "rp", "s", "samp", "small",
-    "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var"))
+    "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var",
+    "math", "mi", "mn", "mo", "ms", "mtext", "mrow", "mfrac", "msqrt", "mroot", "mstyle", "msub",
+    "msup", "msubsup", "munder", "mover", "munderover", "mtable", "mtr", "mtd", "semantics"))
 ENDS_P = frozenset((
     "address", "article", "aside", "blockquote", "center", "details", "dialog", "dir", "div",
     "dl", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5",
@@ -160,7 +161,10 @@ def parse_page(page: str) -> list[Node]:
         if tag in RAW:
             if not found[3].rstrip().endswith("/"):
                 closing = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-                at = closing.end() if closing else end
+                if closing:
+                    at = closing.end()
+                elif tag != "template":  # whose content is markup
+                    at = end
             continue
         if tag == "head":
             closing = re.compile(r"</head\s*>|<body\b", re.I).search(page, at)

@@ -87,6 +87,20 @@ def test_an_apostrophe_in_an_unquoted_attribute_opens_no_value():
         "x", "y"}
 
 
+def test_text_in_formulas_and_fallbacks_reaches_the_model():
+    def runs(page):
+        return [html_extract.block_text(r) for n in html_extract.parse_page(page)
+                for _, r in n.runs]
+
+    assert runs("<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p>") == [
+        "so x=1 holds"]
+    for tag in ("noscript", "object", "video", "audio", "canvas", "svg", "select"):
+        assert runs(f"<div><{tag}>inner</{tag}><p>after</p></div>") == ["inner", "after"]
+        assert runs(f"<div><{tag}><p>after</p></div>")[-1:] == ["after"]  # never closed
+    assert runs("<template><p>after</p>") == ["after"]
+    assert runs("<script>x<p>y</script><p>after</p>") == ["after"]
+
+
 def test_extraction_keeps_every_row(spark):
     rows = [(1, "u", f"<article><p>{LONG}</p></article>", "z"), (1, "u", None, "z"),
             (None, None, "", "z"), (2, None, f"<article><p>é {LONG}</p></article>", "z")]
