@@ -104,10 +104,11 @@ def selected_before(position: Column, block: Column, blocks: Column, extra: Colu
 
 
 def measured(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """``doc_id, source, size`` of each row, and the row itself as ``row``."""
+    """``doc_id, source, size, digest`` of each row, and the row itself as ``row``."""
     return docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
         F.regexp_count(text_of(text_col), F.lit(WORD_PATTERN)).cast("long").alias("size"),
+        F.sha2(text_of(text_col), 256).alias("digest"),
         F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
 
 
@@ -140,14 +141,15 @@ def selected(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, seed: int =
     ``start, block, blocks, extra, offset``: its place in its shard's stream and
     the shard's extra selection.
     """
-    sizes = written(rows.select("doc_id", "source", "size"), "sizes")
+    sizes = written(rows.select("doc_id", "source", "size", "digest"), "sizes")
     sources = written(apportioned_sources(sizes, weights, share, shard_words), "targets")
 
     def placed(docs: DataFrame) -> DataFrame:
         return (docs.alias("d").join(sources.alias("a"),
                                      F.col("d.source").eqNullSafe(F.col("a.source")))
                 .drop(F.col("a.source"))
-                .withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.col("shards"))))
+                .withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "digest"),
+                                              F.col("shards"))))
 
     shards = (placed(sizes).groupBy("source_no", "shard", "block", "source_quota")
               .agg(F.sum("size").alias("shard_size"))
@@ -156,7 +158,7 @@ def selected(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, seed: int =
     quotas = highest_quotients(shards, ["source_no"], ["shard"], "shard_size",
                                F.col("source_quota"), "shard_most")
     stream = (Window.partitionBy("source_no", "shard")
-              .orderBy(F.xxhash64(F.lit(seed + 1), "doc_id"), "doc_id", "size")
+              .orderBy(F.xxhash64(F.lit(seed + 1), "doc_id", "digest"), "doc_id", "digest")
               .rowsBetween(Window.unboundedPreceding, 0))
     keep = rows if "row" in rows.columns else sizes
     return (placed(keep)
@@ -190,7 +192,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     takes from the document, at most twice its size. Sources without words have
     target 0 and are taken 0 times. Repeated rows are separate documents; an
     empty table gives no rows; other columns are ignored. The result depends on
-    ids, sizes, sources and ``seed`` only, never on partitions.
+    ids, texts, sources and ``seed`` only, never on partitions.
     """
     rows = measured(docs, id_col, text_col, source_col).drop("row")
     return selected(rows, weights, share, seed, shard_words).select(

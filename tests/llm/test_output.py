@@ -301,3 +301,13 @@ def test_mix_of_nothing(spark):
     no_words = docs.withColumn("text", mixing.F.lit(" "))
     assert {(r.size, r.target, r.taken) for r in mixing.mix_sources(no_words).collect()} == {
         (0, 0.0, 0)}
+
+
+def test_rows_without_id_are_spread_over_shards_and_taken_alike(spark):
+    rows = [(None, f"w{i} " * 20, "web") for i in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    picked = mixing.selected(mixing.measured(frame, "doc_id", "text", "source"), shard_words=500)
+    assert picked.select("shard").distinct().count() > 1
+    mixes = [Counter(r.text for r in mixing.mix_documents(f).collect())
+             for f in (frame.repartition(2), frame.orderBy("text").coalesce(1))]
+    assert mixes[0] == mixes[1]
