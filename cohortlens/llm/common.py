@@ -40,13 +40,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of :func:`scratch_path` and all that is in it."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables of :func:`written` that no plan still to run reads, and free their shuffles."""
     for table in tables:
-        spark = table.sparkSession
-        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.written_path)
-        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-        release(spark)
+        delete_path(table.sparkSession, table.written_path)
+        release(table.sparkSession)
 
 
 def release(spark: SparkSession) -> None:

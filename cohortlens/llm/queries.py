@@ -4,8 +4,23 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from cohortlens.llm import chat, decontam, exact_dedup, html_extract, minhash, mixing, substring_dedup, token_output, toxicity, warc
+from pyspark.sql import functions as F
+
+from cohortlens.llm import (
+    chat,
+    decontam,
+    exact_dedup,
+    html_extract,
+    line_dedup,
+    minhash,
+    mixing,
+    negatives,
+    spelling,
+    substring_dedup,
+    token_output,
+    toxicity,
+    warc,
+)
 from cohortlens.llm.common import ship_package
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -59,9 +74,26 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  _table(spark, sf_dir, "benchmark"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings").withColumn("label", F.when(
+        F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return negatives.hard_negatives(rows, F.col("id") % 100 == 0)
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.line_dedup(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped",
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_minhash_near_dedup, op2_html_extraction, op3_chat_formatting, op4_warc, op5_token_output, op6_source_mixing, op7_substring_dedup, op8_exact_dedup,
-    op9_toxicity, op10_decontamination)}
+    op9_toxicity, op10_decontamination, op11_spelling_variants, op12_hard_negatives,
+    op13_line_dedup)}
 
 _SAID = "'</s>[INST] ok [/INST]'"
 # the template: <|im_start|>role\ntext<|im_end|>\n, with \ doubled and \, inside control strings
@@ -125,4 +157,96 @@ ORACLE = {
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept,
                sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    # the crc32 is taken byte by byte from its table, itself made by the eight shifts
+    "op11_spelling_variants": """
+        WITH RECURSIVE crc_table AS (
+          SELECT list(v ORDER BY i) AS t
+          FROM (SELECT i, list_reduce([CAST(i AS BIGINT)] || range(8), lambda c, k:
+                  CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+                FROM range(256) AS r(i))),
+        runs AS (
+          SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                   'abcdefghijklmnopqrstuvwxyz') AS run
+          FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''),
+                                                         '[A-Za-zÀ-ÿ]+')) AS run FROM documents)),
+        counted AS (SELECT doc_id, run, count(*) AS n FROM runs GROUP BY ALL),
+        bytes AS (
+          SELECT run, n, flatten(list_transform(string_split(
+                   coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''), lambda c:
+                   CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)]
+                        ELSE [195, CAST(unicode(c) - 64 AS BIGINT)] END)) AS b
+          FROM counted),
+        summed AS (
+          SELECT run, n, xor(4294967295, list_reduce([4294967295] || b, lambda c, x:
+                   xor(c >> 8, t[(xor(c, x) & 255) + 1]))) AS h
+          FROM bytes, crc_table),
+        read AS (
+          SELECT n, CASE WHEN h % 31 = 0 THEN left(run, CAST(h % length(run) AS BIGINT))
+                             || substr(run, CAST(h % length(run) AS BIGINT) + 2)
+                    ELSE run END AS word
+          FROM summed),
+        words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM read
+                  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+        cut AS (SELECT word, i, left(word, i) || '.' || substr(word, i + 2) AS gap,
+                       left(word, i) || substr(word, i + 2) AS shorter
+                FROM (SELECT word, unnest(range(0, length(word))) AS i FROM words)),
+        near AS (
+          SELECT a.word, b.word AS other FROM cut a JOIN cut b USING (gap) WHERE a.word <> b.word
+          UNION SELECT c.word, w.word FROM cut c JOIN words w ON c.shorter = w.word
+          UNION SELECT w.word, c.word FROM cut c JOIN words w ON c.shorter = w.word),
+        best AS (
+          SELECT near.word, count(*) AS n_near,
+                 first(other ORDER BY o.n DESC, other) AS other, max(o.n) AS other_n
+          FROM near JOIN words o ON o.word = near.other GROUP BY near.word),
+        forms AS (
+          SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+                 CASE WHEN other_n >= 10 * w.n THEN other END AS form,
+                 CASE WHEN other_n >= 10 * w.n THEN other_n END AS form_n
+          FROM words w LEFT JOIN best USING (word)),
+        chain AS (
+          SELECT word, word AS root FROM forms
+          UNION ALL SELECT c.word, f.form FROM chain c JOIN forms f ON f.word = c.root
+          WHERE f.form IS NOT NULL),
+        ends AS (SELECT c.word, c.root FROM chain c JOIN forms f ON f.word = c.root
+                 WHERE f.form IS NULL)
+        SELECT word, n, n_near, form, form_n, root FROM forms JOIN ends USING (word)""",
+    "op12_hard_negatives": """
+        WITH rows AS (
+          SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                 list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS codes
+          FROM embeddings
+          WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding,
+                  lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0),
+        scored AS (
+          SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same,
+                 CAST(list_dot_product(a.codes, r.codes) AS BIGINT) AS score
+          FROM rows a JOIN rows r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+        positives AS (
+          SELECT anchor_id, id, score FROM scored WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+        ranked AS (
+          SELECT p.anchor_id, p.id AS positive_id, s.id AS negative_id,
+                 p.score AS positive_score, s.score AS negative_score,
+                 row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id)
+                   AS rank
+          FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+           AND 100 * s.score BETWEEN 30 * p.score AND 90 * p.score)
+        SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id,
+               positive_score, negative_score
+        FROM ranked WHERE rank <= 10""",
+    "op13_line_dedup": """
+        WITH lines AS (
+          SELECT doc_id, i, l[i] AS line,
+                 translate(trim(l[i], chr(32) || chr(9) || chr(10) || chr(11) || chr(12)
+                                || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                           'abcdefghijklmnopqrstuvwxyz') AS key
+          FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i
+                FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l
+                      FROM documents))),
+        frequent AS (SELECT key FROM lines WHERE key <> ''
+                     GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+        SELECT doc_id, count(*) AS n_lines, count(f.key) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY i)
+                               FILTER (WHERE f.key IS NULL), '')) AS kept_sha256
+        FROM lines l LEFT JOIN frequent f ON f.key = l.key GROUP BY doc_id""",
 }
