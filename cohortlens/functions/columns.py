@@ -64,6 +64,12 @@ def hash_bucket(key: Column | str, buckets: int = 200) -> Column:
     return F.pmod(F.conv(digest_prefix, 16, 10).cast("bigint"), F.lit(buckets))
 
 
+def hash_number(key: Column | str, seed: int, digits: int) -> Column:
+    """Seeded uniform integer in ``[0, 16 ** digits)`` from the md5 of seed and key text."""
+    text = F.concat(F.lit(f"{seed}:"), _col(key).cast("string"))
+    return F.conv(F.substring(F.md5(text), 1, digits), 16, 10).cast("bigint")
+
+
 def micro_units(x: Column | str) -> Column:
     """Float → integer micro-units, so text renderings and sums are exact."""
     return F.round(_col(x).cast("double") * F.lit(1e6)).cast("bigint")

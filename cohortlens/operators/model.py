@@ -9,23 +9,22 @@ depend on partition layout and every engine reproduces it.
 
 from __future__ import annotations
 
+import math
 import re
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Model
-from pyspark.ml.classification import (
-    DecisionTreeClassificationModel,
-    DecisionTreeClassifier,
-    RandomForestClassificationModel,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.functions import hash_bucket
+from cohortlens.functions.columns import hash_number
 from cohortlens.operators.features import feature_columns
+from cohortlens.operators.ordered import DIGITS, order_statistics
 from cohortlens.operators.rank import TOP_K
 from cohortlens.session import durable, run_folder
 
@@ -34,6 +33,7 @@ from cohortlens.session import durable, run_folder
 FOLD_BUCKETS = 200
 FOLD_EDGES = (67, 134)
 N_FOLDS = len(FOLD_EDGES) + 1
+FOLD_WEIGHTS = (0.335, 0.335, 0.33)
 HOLDOUT_EDGE = 140
 MAX_DEPTH = 5
 FOREST_SEED = 123
@@ -84,6 +84,30 @@ def with_folds(df: DataFrame, id_col: str = "sample_id", method: str = "hash",
     raise ValueError(f"method must be 'hash' or 'random', got {method!r}")
 
 
+def exact_folds(df: DataFrame, id_col: str = "sample_id",
+                weights: tuple[float, ...] = FOLD_WEIGHTS, seed: int = RANDOM_SPLIT_SEED
+                ) -> DataFrame:
+    """M1: ``fold`` by a seeded hash, with fold sizes exact to a row.
+
+    Fold i ends at the ⌊n · (w₀ + … + wᵢ)⌋-th id in order of hash and id text. The ids at
+    these places are found by counting (:func:`ordered.order_statistics`), so nothing is
+    sorted and the same ids give the same folds in any layout. Rows with equal ids share a
+    fold (then sizes are exact up to the rows of one id); null ids are in the last one.
+    """
+    ids = df.filter(F.col(id_col).isNotNull()).select(id_col)
+    n = ids.count()
+    shares = [sum(weights[:i + 1]) for i in range(len(weights) - 1)]
+    cuts = order_statistics(ids, [math.floor(n * s + 1e-9) for s in shares], seed, id_col)
+    text = F.col(id_col).cast("string")
+    place = F.struct(hash_number(text, seed, DIGITS), text)
+    fold = F.lit(len(weights) - 1)
+    for i in range(len(cuts) - 1, -1, -1):
+        if cuts[i] is not None:
+            upto = place <= F.struct(F.lit(cuts[i][0]).cast("bigint"), F.lit(cuts[i][1]))
+            fold = F.when(text.isNotNull() & upto, F.lit(i)).otherwise(fold)
+    return df.withColumn("fold", fold)
+
+
 def training_split(df: DataFrame, fold: int) -> tuple[DataFrame, DataFrame]:
     """train = union of the other folds (one filter), test = this fold."""
     return df.filter(F.col("fold") != fold), df.filter(F.col("fold") == fold)
@@ -244,6 +268,14 @@ def mean_error(per_fold: DataFrame) -> DataFrame:
     )
 
 
+def comparison(per_fold: DataFrame) -> DataFrame:
+    """M10 + A13: ``model, error_0, …, n_folds, mean_error``: fold errors and mean side by side."""
+    each = [F.max(F.when(F.col("fold") == i, F.col("error"))).alias(f"error_{i}")
+            for i in range(N_FOLDS)]
+    return per_fold.groupBy("model").agg(*each, F.count("error").alias("n_folds"),
+                                         F.avg("error").alias("mean_error"))
+
+
 def describe(model: Model) -> str:
     """M9: the learned trees as text (without the random uid)."""
     return re.sub(r"uid=[^,]*, ", "", model.toDebugString)
@@ -254,8 +286,6 @@ def save(model: Model, path: str) -> None:
     model.write().overwrite().save(path)
 
 
-def load(path: str, kind: str) -> Model:
-    """Reload a model saved by :func:`save`."""
-    if kind.startswith("forest"):
-        return RandomForestClassificationModel.load(path)
-    return DecisionTreeClassificationModel.load(path)
+def load(path: str) -> Model:
+    """Reload a model saved by :func:`save`, of whatever kind its metadata names."""
+    return DefaultParamsReader.loadParamsInstance(path, SparkSession.getActiveSession())

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Fixed value: the number of clusters ranked.
 TOP_K = 10
+#: Clusters of a landed file that its bloom filter is made for.
+BLOOM_VALUES = 100_000
 
 
 def top_k(t_scores: DataFrame, k: int = TOP_K, by: str = "signed") -> DataFrame:
@@ -42,6 +44,24 @@ def lookup(t_scores: DataFrame, cluster: str) -> DataFrame:
     return t_scores.filter(F.col("cluster") == F.lit(cluster))
 
 
+def land_t_scores(t_scores: DataFrame, path: str, distinct: int | None = None) -> str:
+    """L1: t scores written in order of cluster, with a bloom filter on it in every row group.
+
+    A later lookup then reads only row groups whose range and filter admit the cluster.
+    ``distinct``: about how many clusters a file has (sizes the filter).
+    """
+    (t_scores.repartitionByRange("cluster").sortWithinPartitions("cluster").write
+     .option("parquet.bloom.filter.enabled#cluster", "true")
+     .option("parquet.bloom.filter.expected.ndv#cluster", str(distinct or BLOOM_VALUES))
+     .parquet(path))
+    return path
+
+
+def lookup_landed(spark: SparkSession, path: str, cluster: str) -> DataFrame:
+    """L1: one cluster's landed statistics; the filter reaches the Parquet scan."""
+    return lookup(spark.read.parquet(path), cluster)
+
+
 def take_n(df: DataFrame, n: int, *order_cols: str) -> DataFrame:
     """The first n rows in a stated order (a bare take is unordered)."""
     return df.orderBy(*order_cols).limit(n) if order_cols else df.limit(n)

@@ -8,7 +8,7 @@ R3 ``unpivot``           wide rows → long ``(sample_id, grp, position, value)`
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions import CASE, CONTROL, cell, cohort_label, to_double
@@ -24,6 +24,16 @@ def membership(annotation: DataFrame) -> DataFrame:
     )
 
 
+def summary_columns(control=CONTROL_CODES, case=CASE_CODES) -> list[Column]:
+    """Aggregates over wide rows: cohort row counts, greatest and least header row."""
+    cells = F.col("cells")
+    grp = cohort_label(cell(cells, 1), control, case)
+    header = F.when(cell(cells, 0) == F.lit(HEADER_MARKER), cells)
+    return [F.count(F.when(grp == F.lit(CONTROL), F.lit(1))).alias("n_control"),
+            F.count(F.when(grp == F.lit(CASE), F.lit(1))).alias("n_case"),
+            F.max(header).alias("_header_max"), F.min(header).alias("_header_min")]
+
+
 def matrix_summary(rows: DataFrame, control=CONTROL_CODES, case=CASE_CODES) -> DataFrame:
     """One pass over the wide rows: cohort row counts (A1) and the header.
 
@@ -34,15 +44,7 @@ def matrix_summary(rows: DataFrame, control=CONTROL_CODES, case=CASE_CODES) -> D
     one row of the input, so the aggregate state is bounded by the column
     count, not by the data.
     """
-    cells = F.col("cells")
-    grp = cohort_label(cell(cells, 1), control, case)
-    header = F.when(cell(cells, 0) == F.lit(HEADER_MARKER), cells)
-    agg = rows.agg(
-        F.count(F.when(grp == F.lit(CONTROL), F.lit(1))).alias("n_control"),
-        F.count(F.when(grp == F.lit(CASE), F.lit(1))).alias("n_case"),
-        F.max(header).alias("_header_max"),
-        F.min(header).alias("_header_min"),
-    )
+    agg = rows.agg(*summary_columns(control, case))
     checked = F.when(F.col("_header_max") != F.col("_header_min"),
                      F.raise_error(F.lit("conflicting header rows in the matrix"))
                      ).otherwise(F.col("_header_max"))
@@ -83,6 +85,12 @@ def cohort_rows(rows: DataFrame, control=CONTROL_CODES, case=CASE_CODES) -> Data
             .filter(F.col("grp").isNotNull()))
 
 
+def row_values(cohort: DataFrame) -> DataFrame:
+    """``sample_id, grp, values``: the cells of cohort rows as numbers, by position."""
+    return cohort.select("sample_id", "grp", F.transform("cells", lambda c, i: F.when(
+        i >= 2, to_double(c))).alias("values"))
+
+
 def unpivot(cohort: DataFrame, first_position: int = 2) -> DataFrame:
     """Wide cohort rows → long cells for positions ≥ ``first_position``.
 

@@ -89,6 +89,46 @@ def cluster_scores(cells: DataFrame, feature_clusters: DataFrame, key: str,
             .agg(F.sum("value").alias("score")))
 
 
+#: Entries of a position map (position, cluster) that may go into every task's plan.
+IN_ROW_ENTRIES = 100_000
+
+
+def in_row_scores(rows: DataFrame, position_clusters: DataFrame) -> DataFrame:
+    """J2 + A2 inside the row: cluster sums straight from the array column.
+
+    ``rows``: ``sample_id, grp, values`` (numbers by position, NULL where not numeric). The
+    position map becomes one array of (cluster, positions), a scalar subquery, and each
+    row's sums are computed before any shuffle; only (cluster, score) pairs leave the row.
+    The map must be small (:func:`cluster_scores_wide` checks).
+    """
+    lists = position_clusters.groupBy("cluster").agg(F.collect_list("position").alias("positions"))
+    every = lists.agg(F.collect_list(F.struct("cluster", "positions"))).scalar()
+
+    def add(total, position):
+        value = F.get("values", position)
+        return F.coalesce(total + value, total, value)
+
+    sums = F.transform("clusters", lambda c: F.struct(
+        c.cluster.alias("cluster"),
+        F.aggregate(c.positions, F.lit(None).cast("double"), add).alias("score")))
+    scored = (rows.withColumn("clusters", every)
+              .select("grp", "sample_id", F.inline(sums)).filter("score is not null"))
+    # a sample that has several matrix rows counts by their sum
+    return scored.groupBy("grp", "cluster", "sample_id").agg(F.sum("score").alias("score"))
+
+
+def cluster_scores_wide(rows: DataFrame, cells: DataFrame, position_clusters: DataFrame,
+                        salts: int = 1, most: int = IN_ROW_ENTRIES) -> DataFrame:
+    """``(grp, cluster, sample_id, score)`` of wide rows, whichever way the map allows.
+
+    With at most ``most`` map entries (counted) sums are taken in the row, else cells are
+    unpivoted and joined with the map (:func:`cluster_scores`). Both give the same scores.
+    """
+    if position_clusters.limit(most + 1).count() <= most:
+        return in_row_scores(rows, position_clusters)
+    return cluster_scores(cells, position_clusters, "position", salts)
+
+
 def cohort_stats(scores: DataFrame, sizes: DataFrame) -> DataFrame:
     """A3 + A5 (+J3): ``(grp, cluster, n, n_scored, score_sum, mean, sd)``.
 

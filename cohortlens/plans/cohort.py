@@ -23,7 +23,7 @@ import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.functions import cell, cohort_label, to_double
@@ -123,18 +123,27 @@ def _folder(spark: SparkSession, path: str):
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
 
 
-def land_wide(spark: SparkSession, matrix: str | DataFrame, path: str) -> str:
+def land_wide(spark: SparkSession, matrix: str | DataFrame, path: str,
+              control: Iterable[str] = CONTROL_CODES, case: Iterable[str] = CASE_CODES) -> str:
     """Parse a wide text matrix once into a new snapshot of long parquet under ``path``.
 
     ``samples/`` (sample_id, code): one row per data row; ``cells/``
     (sample_id, code, position, value): numeric cells only, each carrying its
-    row's code; ``header/`` (feature_id, position). The text is read once, into
-    ``rows/``, from which the others are written. A snapshot counts only when
+    row's code; ``header/`` (feature_id, position); ``summary/`` (the cohort codes and
+    the cohorts' row counts). The text is read once, into ``rows/``, and header and
+    counts are observed while that is written. A snapshot counts only when
     complete (its marker is written last), so a failed landing leaves the
     earlier one in use. Returns the snapshot's folder.
     """
+    control, case = list(control), list(case)
     snapshot = f"{path}/{_SNAPSHOT}{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
-    text.wide_rows(spark, matrix).write.parquet(f"{snapshot}/rows")
+    seen = Observation()
+    (text.wide_rows(spark, matrix).observe(seen, *reshape.summary_columns(control, case))
+     .write.parquet(f"{snapshot}/rows"))
+    found = seen.get
+    header = found["_header_max"]
+    if header != found["_header_min"]:
+        raise ValueError("conflicting header rows in the matrix")
     rows = spark.read.parquet(f"{snapshot}/rows")
     is_header = F.coalesce(cell("cells", 0) == F.lit(text.HEADER_MARKER), F.lit(False))
     data = rows.filter(~is_header).select(
@@ -145,7 +154,12 @@ def land_wide(spark: SparkSession, matrix: str | DataFrame, path: str) -> str:
      .select("sample_id", "code", "position", to_double("raw").alias("value"))
      .filter(F.col("value").isNotNull())
      .write.parquet(f"{snapshot}/cells"))
-    reshape.header_positions(rows).write.parquet(f"{snapshot}/header")
+    spark.createDataFrame([(f, i) for i, f in enumerate(header or [])],
+                          "feature_id string, position int").write.parquet(f"{snapshot}/header")
+    spark.createDataFrame(
+        [(control, case, found["n_control"], found["n_case"])],
+        "control array<string>, case array<string>, n_control long, n_case long"
+    ).write.parquet(f"{snapshot}/summary")
     fs, marker = _folder(spark, f"{snapshot}/{_LANDED}")
     fs.create(marker).close()
     return snapshot
@@ -166,7 +180,12 @@ def from_landed(spark: SparkSession, path: str, annotation: str | DataFrame,
                 control: Iterable[str] = CONTROL_CODES, case: Iterable[str] = CASE_CODES,
                 k: int = rank.TOP_K, salts: int = POSITION_SALTS) -> CohortAnalysis:
     """Analysis over the newest matrix landed below ``path`` (same results as from_wide)."""
+    control, case = list(control), list(case)
     codes, snapshot = [*control, *case], landed_snapshot(spark, path)
+    summary = spark.read.parquet(f"{snapshot}/summary")
+    counted = summary.first()
+    # counts of the same cohorts were taken while the matrix was read
+    known = (sorted(counted["control"]), sorted(counted["case"])) == (sorted(control), sorted(case))
 
     def with_grp(df):
         # a plain IN on the stored column reaches the parquet scan
@@ -182,6 +201,7 @@ def from_landed(spark: SparkSession, path: str, annotation: str | DataFrame,
             members, spark.read.parquet(f"{snapshot}/header")),
         key="position",
         k=k,
+        cohort_sizes=reshape.summary_sizes(summary) if known else None,
         salts=salts,
     )
 

@@ -230,6 +230,10 @@ def _rounded_fracs(df):
     return df.select(*[round6(c).alias(c) if c in fracs else F.col(c) for c in df.columns])
 
 
+def _rounded_errors(df):
+    return df.select(*[round6(c).alias(c) if "error" in c else F.col(c) for c in df.columns])
+
+
 # ---- text counts ----------------------------------------------------------------
 
 def _word_counts(spark, sf_dir):
@@ -345,7 +349,7 @@ def q_model_roundtrip(spark, sf_dir):
     fitted = ml.estimator("tree_gini").fit(train)
     path = f"{run_folder(spark, 'model')}/tree_gini"
     ml.save(fitted, path)
-    reloaded = ml.load(path, "tree_gini")
+    reloaded = ml.load(path)
     reloaded.setPredictionCol("prediction_reloaded").setRawPredictionCol("raw_reloaded") \
         .setProbabilityCol("probability_reloaded")
     both = reloaded.transform(fitted.transform(test))

@@ -7,8 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as se
-from cohortlens.plans.oracle import ORACLE
-from cohortlens.plans.registry import QUERIES
+from cohortlens.plans import ORACLE, QUERIES
 from cohortlens.sources.tables import TABLES
 
 SMOKE = "/root/testdata/sf0.001"

@@ -79,7 +79,7 @@ def test_model_save_and_reload(spark, tmp_path):
     train, test = ml.training_split(points, 0)
     fitted = ml.estimator("forest_entropy", 3).fit(train)
     ml.save(fitted, str(tmp_path / "m"))
-    again = ml.load(str(tmp_path / "m"), "forest_entropy")
+    again = ml.load(str(tmp_path / "m"))
     a = [r["prediction"] for r in fitted.transform(test).orderBy("sample_id").collect()]
     b = [r["prediction"] for r in again.transform(test).orderBy("sample_id").collect()]
     assert a == b
