@@ -9,8 +9,8 @@ up, keys that have reached the threshold go to a settled run and the others to o
 of the next level. A last compaction over all levels settles every frequent key,
 in whichever batches its documents came.
 
-All runs have the same buckets, so batches, runs and settled runs meet without a
-shuffle. Everything on the main path is DataFrame functions.
+All runs have the same buckets, so batches and settled runs meet without a shuffle; a
+compaction deals the hashes of its runs once. Everything on the main path is DataFrame functions.
 """
 
 from __future__ import annotations
@@ -78,9 +78,15 @@ class LineRuns:
             counts = counts.join(self.run(name, True).hint("merge"), "hash", "left_anti")
         return counts
 
-    def run(self, name: str, settled: bool = False) -> DataFrame:
-        """The counts of a run, or the settled hashes of a compaction."""
+    def run(self, name: str, settled: bool = False, bucketed: bool = True) -> DataFrame:
+        """The counts of a run, or the settled hashes of a compaction.
+
+        Not ``bucketed`` for unions: Spark 4.1 takes a union of bucketed scans for one that is
+        dealt by bucket, leaves out the exchange and does not bring equal hashes together.
+        """
         table = self.spark.table(name)
+        if not bucketed:
+            table = self.spark.read.schema(table.schema).parquet(f"{self.folder}/{name}")
         if "settled" not in table.columns:
             return table
         table = table.filter(F.col("settled") == settled)
@@ -99,8 +105,8 @@ class LineRuns:
         names = [name for level in levels for name in self.levels.pop(level, [])]
         if not names:
             return
-        merged = (self.unsettled(reduce(DataFrame.unionAll, map(self.run, names)))
-                  .groupBy("hash").agg(F.sum("n").alias("n"))
+        runs = reduce(DataFrame.unionAll, (self.run(n, bucketed=False) for n in names))
+        merged = (self.unsettled(runs).groupBy("hash").agg(F.sum("n").alias("n"))
                   .withColumn("settled", F.col("n") >= self.min_docs))
         name = self.store(merged, "settled")
         self.settled.append(name)
@@ -113,7 +119,8 @@ class LineRuns:
             self.compact(sorted(self.levels), max(self.levels) + 1)
         if not self.settled:
             return self.spark.createDataFrame([], "hash binary")
-        return reduce(DataFrame.unionAll, (self.run(n, True) for n in self.settled))
+        return reduce(DataFrame.unionAll, (self.run(n, True, bucketed=False)
+                                           for n in self.settled))
 
     def drop(self, *names: str) -> None:
         """Forget tables; files stay for the settled part of a compacted run."""

@@ -184,7 +184,7 @@ def best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
     return places[np.lexsort((ids[places], -scores[places]))[:k]]
 
 
-def search_block(block: Pack, bucket: Pack, wants: list[tuple[int, int, float, float]], k: int,
+def search_block(block: Pack, bucket: Pack, wants: list[tuple[int, int, int, int]], k: int,
                  same: bool) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``anchor, window, ids, scores``: the k best of the bucket for each window.
 
@@ -195,7 +195,7 @@ def search_block(block: Pack, bucket: Pack, wants: list[tuple[int, int, float, f
     for anchor, window, low, high in wants:
         by_anchor.setdefault(anchor, []).append((window, low, high))
     anchors = np.array(sorted(by_anchor), np.int64)
-    least = np.array([min(low for _, low, _ in by_anchor[a]) for a in anchors.tolist()])
+    least = np.array([float(min(low for _, low, _ in by_anchor[a])) for a in anchors.tolist()])
     part = Pack.__new__(Pack)
     part.codes, part.lengths, part.unit = (x[anchors] for x in (block.codes, block.lengths,
                                                                block.unit))
@@ -280,7 +280,7 @@ def best_rows(blocks: DataFrame, buckets: DataFrame, wants: DataFrame, k: int, s
                             k), "probe")
     known = probe.filter(F.col("rank") == k).select(*KEY, F.col("score").alias("known"))
     raised = wants.join(known, [*KEY], "left").withColumn(
-        "low", F.greatest("low", F.col("known").cast("double"))).drop("known")
+        "low", F.greatest("low", "known")).drop("known")
     rest = search(with_wants(blocks, raised), buckets.filter("slot > 0"), k, same)
     out = written(first_k(probe.drop("rank").unionByName(rest), k), "best")
     discard(probe)
@@ -316,16 +316,16 @@ def hard_negatives(rows: DataFrame, is_anchor: Column, id_col: str = "vec_id",
     blocks = written(packed(coded.filter(is_anchor), block, lists=False), "blocks")
     everything = blocks.select("part", "seq", F.explode(F.sequence(F.lit(0), F.col("n") - 1))
                                .alias("anchor")).select(
-        "part", "seq", "anchor", F.lit(0).alias("window"), F.lit(float("-inf")).alias("low"),
-        F.lit(float("inf")).alias("high"))
+        "part", "seq", "anchor", F.lit(0).alias("window"),
+        F.lit(-(1 << 63)).cast("long").alias("low"), F.lit((1 << 63) - 1).cast("long").alias("high"))
     first = best_rows(blocks, buckets, everything, positives, same=True)
     near = first.select("part", "seq", "anchor", F.col("rank").alias("window"), "anchor_id",
                         F.col("id").alias("positive_id"), F.col("score").alias("positive_score"))
     # the least and most whole score between the two shares
-    from_, to = F.col("positive_score") * low, F.col("positive_score") * high
-    wants = near.select(
-        *KEY, ((from_ + F.pmod(-from_, F.lit(100))) / 100).cast("double").alias("low"),
-        ((to - F.pmod(to, F.lit(100))) / 100).cast("double").alias("high")).filter("low <= high")
+    score = F.col("positive_score").cast("decimal(20,0)")
+    wants = near.select(*KEY, F.ceil(score * F.lit(low) / F.lit(100)).cast("long").alias("low"),
+                        F.floor(score * F.lit(high) / F.lit(100)).cast("long").alias("high"))
+    wants = wants.filter("low <= high")
     found = best_rows(blocks, buckets, wants, negatives, same=False)
     discard(buckets)
     return found.drop("anchor_id").join(near, [*KEY]).select(

@@ -8,6 +8,10 @@ which ``c`` was deleted). So each rotation is a row under its prefix without the
 character, and also a row under itself; sorted by that prefix, the rows of an edit
 are next to one another and one scan of a group finds all its neighbours.
 
+Rotations of a word take the square of its length, so prefixes of more than ``LONG``
+characters are replaced by two digests, of what comes before and after the place,
+which take one pass over the word in either direction.
+
 A group holds different words that agree but for one character at one place, so its
 size is bounded by the alphabet. Neighbours are counted and the best one
 is kept in the scan; no pairs are formed.
@@ -15,6 +19,10 @@ is kept in the scan; no pairs are formed.
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +38,10 @@ MIN_COUNT = 2
 #: How many times more frequent a word's form is.
 RATIO = 10
 TERMINATOR = "$"
+#: Characters (without the terminator) of a prefix that is written out.
+LONG = 64
+#: Rows of a long word that are handed over at once.
+ROWS = 8192
 
 
 def noisy(run: Column, doc_id: Column) -> Column:
@@ -56,10 +68,12 @@ def vocabulary(words: DataFrame, min_chars: int = MIN_CHARS, min_count: int = MI
 
 
 def rotations(words: DataFrame) -> DataFrame:
-    """``prefix, last, n`` of ``words (word, n)``.
+    """``prefix, last, n, ref, first`` of ``words (word, n)``.
 
     For each place of a word the rotation that ends with its character, split into what
     comes before and that character; and each rotation as it is, with a null ``last``.
+    Where the prefix is a digest, ``ref`` stands for the word and ``first`` says whether the
+    character differs from the one before it; both are null elsewhere.
     Words must not hold the terminator.
     """
     marked = F.concat("word", F.lit(TERMINATOR))
@@ -71,7 +85,49 @@ def rotations(words: DataFrame) -> DataFrame:
     open_ = F.transform(F.sequence(F.lit(1), size), lambda i: F.struct(
         F.concat(F.substring(marked, i + 1, size + 1), F.substring(marked, F.lit(1), i - 1))
         .alias("prefix"), F.substring(marked, i, F.lit(1)).alias("last")))
-    return words.select("n", F.inline(F.concat(whole, open_))).select("prefix", "last", "n")
+    none = F.array().cast("array<struct<prefix:string,last:string>>")
+    written_out = words.filter(size <= LONG + 1).select("n", F.inline(F.concat(
+        F.when(size <= LONG, whole).otherwise(none), open_)))
+    digests = words.filter(size > LONG).mapInPandas(
+        _digests, "prefix string, last string, n long, ref string, first boolean")
+    return written_out.select(
+        "prefix", "last", "n", F.lit(None).cast("string").alias("ref"),
+        F.lit(None).cast("boolean").alias("first")).unionByName(digests)
+
+
+def ref_of(word: Column) -> Column:
+    return F.concat(F.lit("#"), F.md5(word))
+
+
+def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows of :func:`rotations` of long words."""
+    columns = ["prefix", "last", "n", "ref", "first"]
+    for batch in batches:
+        for word, n in zip(batch["word"], batch["n"], strict=True):
+            ref = "#" + hashlib.md5(word.encode()).hexdigest()
+            before = _running(word)
+            after = _running(word[::-1])[::-1]
+            rows: list[tuple] = []
+            for i in range(len(word) + 1):
+                rows.append((f"#{before[i].hex()}{after[i].hex()}", None, n, ref, False))
+                if i < len(word) and len(word) > LONG + 1:
+                    rows.append((f"#{before[i].hex()}{after[i + 1].hex()}", word[i], n, ref,
+                                 i == 0 or word[i - 1] != word[i]))
+                if len(rows) >= ROWS:
+                    yield pd.DataFrame(rows, columns=columns)
+                    rows = []
+            if rows:
+                yield pd.DataFrame(rows, columns=columns)
+
+
+def _running(word: str) -> list[bytes]:
+    """Digests of the first 0, 1, … characters."""
+    state, out = hashlib.blake2b(digest_size=16), []
+    out.append(state.digest())
+    for c in word:
+        state.update(c.encode())
+        out.append(state.copy().digest())
+    return out
 
 
 def word_at(prefix: Column, last: Column) -> Column:
@@ -81,26 +137,27 @@ def word_at(prefix: Column, last: Column) -> Column:
 
 
 def scanned(words: DataFrame) -> DataFrame:
-    """``word, n_near, near``: neighbours of a word by edits of one place, and the best of them.
+    """``word, n_near, minus, near``: neighbours of a word by edits of one place, the best of them.
 
-    A word is here once for each prefix under which it has neighbours. Where equal
-    characters stand side by side, deleting any of them gives the same word; only the
-    first of them counts.
+    A word is here once for each prefix under which it has neighbours; ``minus`` is the
+    best one's count, negated. Where equal characters stand side by side, deleting any of
+    them gives the same word; only the first of them counts.
     """
-    # a group's rows: the word without the character first, then the others by count
-    rank = F.struct((-F.col("n")).alias("minus"), "word")
+    # a group's rows: the word without the character first, then the others by count; the
+    # order of its words is the order of the characters in which they differ
+    rank = F.struct((-F.col("n")).alias("minus"), "last", "word")
     group = Window.partitionBy("prefix")
-    order = group.orderBy(F.col("last").isNotNull(), F.col("n").desc(), "word")
+    order = group.orderBy(F.col("last").isNotNull(), F.col("n").desc(), "last")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     after = order.rowsBetween(1, Window.unboundedFollowing)
     member = F.col("last").isNotNull()
-    first_of_run = member & ~F.col("prefix").endswith(F.col("last"))
-    rows = (rotations(words).withColumn("word", word_at(F.col("prefix"), F.col("last")))
-            .withColumn("rows", F.count(F.lit(1)).over(group)).filter("rows > 1"))
+    first_of_run = member & F.coalesce("first", ~F.col("prefix").endswith(F.col("last")))
+    rows = (rotations(words).withColumn("rows", F.count(F.lit(1)).over(group)).filter("rows > 1")
+            .withColumn("word", F.coalesce("ref", word_at(F.col("prefix"), F.col("last")))))
     # seen from a member: other members, and the shorter word if this is the first of a run;
     # seen from the shorter word: the members that are first of a run
     seen = rows.select(
-        "prefix", "last", "n", "word",
+        "prefix", "last", "first", "word",
         F.count(F.when(member, 1)).over(group).alias("members"),
         F.count(F.when(first_of_run, 1)).over(group).alias("firsts"),
         F.max(~member).over(group).alias("has_shorter"),
@@ -108,13 +165,29 @@ def scanned(words: DataFrame) -> DataFrame:
         F.min(F.when(member, rank)).over(after).alias("best_after"),
         F.min(F.when(first_of_run, rank)).over(group).alias("best_first"),
         F.min(F.when(~member, rank)).over(group).alias("shorter"))
+
+    def plain(best: str) -> Column:
+        return F.when(F.col(best).isNotNull(), F.struct(
+            F.col(f"{best}.minus").alias("minus"), F.col(f"{best}.last").alias("last"),
+            F.col(f"{best}.word").alias("word")))
+
     to_shorter = first_of_run & F.col("has_shorter")
     count = F.when(member, F.col("members") - 1 + to_shorter.cast("int")).otherwise(
         F.col("firsts"))
-    best = F.when(member, F.least("best_before", "best_after",
-                                  F.when(to_shorter, F.col("shorter")))).otherwise(
-        F.col("best_first"))
-    return seen.select("word", count.alias("n_near"), best.alias("near")).filter("n_near > 0")
+    others = F.least(plain("best_before"), plain("best_after"))
+    # another member and the shorter word are compared as words, after the references
+    found = seen.select("word", count.alias("n_near"), F.when(member, F.array_compact(F.array(
+        others, F.when(to_shorter, plain("shorter"))))).otherwise(
+        F.array(plain("best_first"))).alias("best")).filter("n_near > 0")
+    each = found.select("word", "n_near", F.posexplode("best").alias("at", "b")).select(
+        "word", F.when(F.col("at") == 0, F.col("n_near")).otherwise(0).alias("n_near"),
+        F.col("b.minus").alias("minus"), F.col("b.word").alias("near"))
+    names = words.filter(F.length("word") > LONG).select(
+        ref_of(F.col("word")).alias("ref"), F.col("word").alias("name"))
+    for c in ("word", "near"):
+        each = (each.join(names, each[c] == names["ref"], "left")
+                .withColumn(c, F.coalesce("name", c)).drop("ref", "name"))
+    return each
 
 
 def near_words(words: DataFrame) -> DataFrame:
@@ -123,10 +196,10 @@ def near_words(words: DataFrame) -> DataFrame:
     ``words``: ``word, n``, a word once. Best is the largest ``n``, then the first in
     code-point order. Words without neighbours are left out.
     """
-    found = scanned(words).groupBy("word").agg(F.sum("n_near").alias("n_near"),
-                                               F.min("near").alias("near"))
-    return found.select("word", "n_near", F.col("near.word").alias("near_word"),
-                        (-F.col("near.minus")).alias("near_count"))
+    found = scanned(words).groupBy("word").agg(
+        F.sum("n_near").alias("n_near"), F.min(F.struct("minus", "near")).alias("best"))
+    return found.select("word", "n_near", F.col("best.near").alias("near_word"),
+                        (-F.col("best.minus")).alias("near_count"))
 
 
 def roots(forms: DataFrame) -> DataFrame:

@@ -11,7 +11,9 @@ from functools import lru_cache
 
 import numpy as np
 
-PIECE_BYTES = 1 << 21
+#: Bytes, and words, that are hashed at once; the tables of powers are about as long.
+PIECE_BYTES = 1 << 16
+PIECE_WORDS = 1 << 16
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -34,11 +36,10 @@ def _powers(base: int, length: int) -> np.ndarray:
 
 
 def powers(base: int, length: int) -> np.ndarray:
-    """``base ** i`` modulo 2**64 for ``i < length``."""
-    size = max(1 << 16, 1 << (length - 1).bit_length())
-    if size <= 1 << 22:
-        size = 1 << 22
-        return _powers(base, size)[:length]
+    """``base ** i`` modulo 2**64 for ``i < length``; only a short table is kept."""
+    kept = 1 << 17
+    if length <= kept:
+        return _powers(base, kept)[:length]
     return _powers.__wrapped__(base, length)
 
 
@@ -91,7 +92,7 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), np.diff(before, prepend=0)
 
 
-def slabs(texts: list[str], size: int = 4_000_000) -> Iterator[tuple[int, list[str]]]:
+def slabs(texts: list[str], size: int = 500_000) -> Iterator[tuple[int, list[str]]]:
     """Consecutive texts of about ``size`` characters together, with the first one's number."""
     first, held, chars = 0, [], 0
     for i, text in enumerate(texts):
@@ -106,10 +107,15 @@ def slabs(texts: list[str], size: int = 4_000_000) -> Iterator[tuple[int, list[s
 
 def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     """Hashes of the ``len − n + 1`` runs of n words."""
-    if len(words) < n:
+    total = len(words) - n + 1
+    if total < 1:
         return np.zeros(0, np.uint64)
-    starts = np.arange(len(words) - n + 1)
-    return range_hash(prefix_sums(words), starts, starts + n)
+    out = np.empty(total, np.uint64)
+    for first in range(0, total, PIECE_WORDS):
+        starts = np.arange(min(PIECE_WORDS, total - first))
+        out[first:first + len(starts)] = range_hash(
+            prefix_sums(words[first:first + len(starts) + n - 1]), starts, starts + n)
+    return out
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
