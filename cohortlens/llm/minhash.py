@@ -35,6 +35,8 @@ BANDS = 16
 ROWS = 4
 #: Counters of a Misra–Gries summary of shingles.
 COUNTERS = 131_072
+#: (document, shingle) pairs that are counted at once.
+RANGE_PAIRS = 1 << 20
 #: Entries of the table of random numbers of one hash function.
 TABLE_BITS = 14
 #: A bucket of more members is large; also its further hubs in the first round of testing
@@ -176,38 +178,104 @@ def shingle_weights(docs: DataFrame, counters: int = COUNTERS) -> Weights:
     out = Weights(hashes[order], 1 + np.log((rows + 1) / (df[order] + 1)),
                   1 + float(np.log((rows + 1) / 2)) if rows else 1.0, rows)
     if least > 1:
-        out.rare = rare_frequencies(docs, out.hashes)
+        out.rare = rare_frequencies(docs, out.hashes, pairs)
     return out
 
 
 def ref_of(node: str | Column) -> Column:
-    """64 bits that stand for a node where rows are many."""
-    return F.xxhash64(node)
+    """32 bits that stand for a node where rows are many.
+
+    Nodes that share them get each other's frequencies as well, and take those of their own
+    shingles (:func:`with_rare`); a frequency belongs to the shingle alone.
+    """
+    return F.hash(node)
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """The bytes of numbers, the first bytes of all first: sorted numbers then compress."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
+
+
+def _unplaned(data: list[bytes], dtype: type) -> np.ndarray:
+    width = np.dtype(dtype).itemsize
+    parts = [np.frombuffer(d, np.uint8).reshape(width, -1).T for d in data]
+    return np.ascontiguousarray(np.concatenate(parts)).view(dtype).ravel()
 
 
-def rare_frequencies(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """``ref, hash, n``: a text's shingles in n > 1 documents that are not ``frequent``."""
+def rare_frequencies(docs: DataFrame, frequent: np.ndarray, pairs: int) -> DataFrame:
+    """``ref, hash, n``: a text's shingles in n > 1 documents that are not ``frequent``.
+
+    The (document, shingle) pairs are dealt by range of the shingle's hash, as sorted blocks
+    of numbers, and counted there; there are so many ranges that about ``RANGE_PAIRS``
+    pairs meet in one, and none of these shingles is frequent.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
+    bits = max(1, int(pairs // RANGE_PAIRS).bit_length())
+    shift = np.uint64(64 - bits)
+
+    def blocks(hashes: list[np.ndarray], refs: list[np.ndarray]) -> pd.DataFrame:
+        h, r = np.concatenate(hashes), np.concatenate(refs)
+        order = np.argsort(h, kind="stable")
+        h, r = h[order], r[order]
+        of = (h >> shift).astype(np.int64)
+        at = np.flatnonzero(np.append(True, of[1:] != of[:-1])) if len(of) else []
+        parts = list(zip(at, np.append(at[1:], len(h)), strict=True)) if len(of) else []
+        return pd.DataFrame({"range": [int(of[i]) for i, _ in parts],
+                             "hashes": [_planes(h[i:j]) for i, j in parts],
+                             "refs": [_planes(r[i:j]) for i, j in parts]})
 
     def explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: tuple[list, list] = ([], [])
+        count = 0
         for batch in batches:
             for first, texts in slabs(batch["text"].tolist()):
                 hashes, _, sizes = shingle_sets(texts)
-                refs = np.repeat(batch["ref"].to_numpy()[first:first + len(texts)], sizes)
+                refs = np.repeat(batch["ref"].to_numpy(np.int32)[first:first + len(texts)], sizes)
                 if len(shared.value):
                     at = np.minimum(np.searchsorted(shared.value, hashes), len(shared.value) - 1)
                     other = shared.value[at] != hashes
                     hashes, refs = hashes[other], refs[other]
-                for i in range(0, len(hashes), 1 << 18):
-                    yield pd.DataFrame({"ref": refs[i:i + (1 << 18)],
-                                        "hash": hashes[i:i + (1 << 18)].view(np.int64)})
+                held[0].append(hashes)
+                held[1].append(refs)
+                count += len(hashes)
+                if count >= RANGE_PAIRS:
+                    yield blocks(*held)
+                    held, count = ([], []), 0
+        if count:
+            yield blocks(*held)
+
+    def counted(hashes: list[bytes], refs: list[bytes]) -> Iterator[pd.DataFrame]:
+        h, r = _unplaned(hashes, np.uint64), _unplaned(refs, np.int32)
+        order = np.lexsort((r, h))
+        h, r = h[order], r[order]
+        new = np.append(True, h[1:] != h[:-1])
+        starts = np.flatnonzero(new)
+        n = np.diff(np.append(starts, len(h)))[np.cumsum(new) - 1]
+        # equal texts have the same shingles: one row is enough
+        keep = np.flatnonzero((n > 1) & (new | np.append(True, r[1:] != r[:-1])))
+        for i in range(0, len(keep), 1 << 18):
+            k = keep[i:i + (1 << 18)]
+            yield pd.DataFrame({"ref": r[k], "hash": h[k].view(np.int64),
+                                "n": n[k].astype(np.int32)})
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, hashes, refs = None, [], []
+        for batch in batches:
+            for number, some, of in zip(batch["range"], batch["hashes"], batch["refs"],
+                                        strict=True):
+                if number != now and hashes:
+                    yield from counted(hashes, refs)
+                    hashes, refs = [], []
+                now = number
+                hashes.append(some)
+                refs.append(of)
+        if hashes:
+            yield from counted(hashes, refs)
 
     rows = docs.select(ref_of(node_of(F.col("text"))).alias("ref"), "text").mapInPandas(
-        explode, "ref long, hash long")
-    counted = rows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("hash")))
-    # equal texts have the same shingles: one row is enough
-    out = written(counted.filter("n > 1").groupBy("hash", "ref")
-                  .agg(F.first("n").cast("int").alias("n")).select("ref", "hash", "n"), "rare")
+        explode, "range int, hashes binary, refs binary")
+    dealt = rows.repartition("range").sortWithinPartitions("range")
+    out = written(dealt.mapInPandas(count, "ref int, hash long, n int"), "rare")
     release(docs.sparkSession)
     return out
 
@@ -234,7 +302,11 @@ def with_rare(texts: DataFrame, weights: Weights) -> DataFrame:
                     continue
                 hashes, _, _ = shingle_sets([text])
                 own = np.ones(len(hashes), np.int32)
-                own[np.searchsorted(hashes, np.asarray(known, np.int64).view(np.uint64))] = n
+                if len(hashes):  # a node of the same reference may have other shingles
+                    known = np.asarray(known, np.int64).view(np.uint64)
+                    at = np.minimum(np.searchsorted(hashes, known), len(hashes) - 1)
+                    same = hashes[at] == known
+                    own[at[same]] = np.asarray(n, np.int32)[same]
                 found.append(own.tobytes())
             yield batch[kept].assign(found=found)
 

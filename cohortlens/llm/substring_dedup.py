@@ -378,8 +378,10 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW, task_words: int = TASK
                     out.append((row.doc_id, row.key, list(starts), list(ends)))
         return pd.DataFrame(out, columns=["doc_id", "key", "starts", "ends"])
 
+    # dealt by task as well: after a join on the shard, grouping alone would leave all tasks of
+    # a shard in one partition
     return (dealt.select("shard", "task", "reference", "doc_id", "starts", "sizes", "words", "key")
-            .groupBy("shard", "task")
+            .repartition("shard", "task").groupBy("shard", "task")
             .applyInPandas(match, "doc_id long, key long, starts array<int>, ends array<int>"))
 
 
