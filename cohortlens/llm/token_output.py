@@ -21,6 +21,8 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -43,6 +45,9 @@ LEVEL = 3
 #: Pieces whose ids a Python worker remembers, in each of two generations, and their longest.
 REMEMBERED = 500_000
 PIECE_CHARS = 48
+PIECES = pa.large_list(pa.large_string())
+#: Characters of the texts that are cut into pieces together.
+SLAB_CHARS = 2_000_000
 #: Texts are cut into pieces where one space stands between two characters that are not white
 #: space; in even texts (no other white space than single spaces and line feeds), at each space.
 _BREAK = re.compile(r"(?<=\S) (?=\S)")
@@ -52,13 +57,23 @@ _WIDE_SPACE = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x8
                b"\xe3\x80\x80")
 
 
-def pieces_of(text: str) -> list[str]:
-    """``text`` cut at its breaks; joined by spaces again the pieces give the text."""
+def is_even(text: str) -> bool:
     data = text.encode("utf-8", "surrogatepass")
-    even = not (data[:1] in b" \n" or data[-1:] in b" \n" or b"  " in data or b" \n" in data
+    return not (data[:1] in b" \n" or data[-1:] in b" \n" or b"  " in data or b" \n" in data
                 or b"\n " in data or len(data.translate(None, _OTHER_SPACE)) != len(data)
                 or any(space in data for space in _WIDE_SPACE))
-    return text.split(" ") if even else _BREAK.split(text)
+
+
+def pieces_of(texts: list[str]) -> pa.LargeListArray:
+    """The texts cut at their breaks; joined by spaces again the pieces give the texts."""
+    even = np.array([is_even(t) for t in texts], bool)
+    if even.all():
+        return pc.split_pattern(pa.array(texts, pa.large_string()), " ").cast(PIECES)
+    odd = pa.array([_BREAK.split(t) for t, e in zip(texts, even, strict=True) if not e], PIECES)
+    cut = pc.split_pattern(pa.array([t for t, e in zip(texts, even, strict=True) if e],
+                                    pa.large_string()), " ").cast(PIECES)
+    place = np.where(even, np.cumsum(even) - 1, len(cut) + np.cumsum(~even) - 1)
+    return pa.concat_arrays([cut, odd]).take(pa.array(place))
 
 
 class Encoder:
@@ -98,31 +113,52 @@ class Encoder:
         ends = (np.append(first[1:], len(ids)) * width).tolist()
         return [data[a:b] for a, b in zip((first * width).tolist(), ends, strict=True)]
 
-    def ids(self, texts: list[str]) -> Iterator[bytes]:
-        """The serialized ids of each text."""
-        cut = [pieces_of(t) for t in texts]
-        heads = self._encode([pieces[0] for pieces in cut])
+    def _known(self, pieces: list[str]) -> list[bytes]:
+        """Ids of different pieces with a space before them, remembered or encoded now."""
         known, older, new = self.known, self.older, []
-        for pieces in cut:
-            del pieces[0]
-        for piece in set().union(*cut):
-            if piece not in known:
-                if piece in older:
-                    known[piece] = older[piece]
-                else:
-                    new.append(piece)
-        odd = [p for p in new if " " in p]
-        new = [p for p in new if " " not in p]
-        for some in (odd, new):
+        for piece in set(pieces).difference(known):
+            if piece in older:
+                known[piece] = older[piece]
+            else:
+                new.append(piece)
+        for some in ([p for p in new if " " in p], [p for p in new if " " not in p]):
             known.update(zip(some, self._encode_following(some), strict=True))
-        new += odd
-        for head, pieces in zip(heads, cut, strict=True):
-            yield head + b"".join(map(known.__getitem__, pieces))
+        out = [known[p] for p in pieces]
         for piece in new:
             if len(piece) > PIECE_CHARS:
                 del known[piece]
         if len(known) > REMEMBERED:
             self.known, self.older = {}, known
+        return out
+
+    def ids(self, texts: list[str]) -> Iterator[bytes]:
+        """The serialized ids of each text.
+
+        Each different piece is looked up once; a text's ids are put together from the
+        numbers of its pieces. A text's first piece has no space before it.
+        """
+        if not texts:
+            return
+        cut = pieces_of(texts)
+        bounds = cut.offsets.to_numpy() - cut.offsets[0].as_py()
+        coded = cut.flatten().dictionary_encode()
+        number = coded.indices.to_numpy().astype(np.int64)
+        different = coded.dictionary.to_pylist()
+        heads, head = np.unique(number[bounds[:-1]], return_inverse=True)
+        number[bounds[:-1]] = len(different) + head
+        parts = self._known(different) + self._encode([different[h] for h in heads])
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // self.dtype.itemsize
+        flat = np.frombuffer(b"".join(parts), self.dtype)
+        starts = np.cumsum(sizes) - sizes
+        steps = np.arange(1 << 12)
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            own = number[a:b]
+            size = sizes[own]
+            ends = np.cumsum(size)
+            while len(steps) < ends[-1]:
+                steps = np.arange(2 * len(steps))
+            # an id's place: its place in the text less where its piece begins there
+            yield flat[np.repeat(starts[own] - ends + size, size) + steps[:ends[-1]]].tobytes()
 
 
 @lru_cache(maxsize=2)
@@ -185,7 +221,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, id_col: str
         out, index, tokens = None, [], 0
         for batch in batches:
             doc_ids = iter(batch["doc_id"])
-            for _, texts in slabs(batch["text"].tolist()):
+            for _, texts in slabs(batch["text"].tolist(), SLAB_CHARS):
                 for ids in encode.ids(texts):
                     doc_id, ids = next(doc_ids), ids + end
                     if out is None:
