@@ -72,6 +72,19 @@ def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri)
 
 
+#: Rows and bytes that go to a Python worker at once, where the session has Spark's defaults.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+_DEFAULTS = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", BATCH_ROWS),
+             "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", BATCH_BYTES)}
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches: rows are whole texts, and a batch is in memory several times."""
+    for key, (default, value) in _DEFAULTS.items():
+        if spark.conf.get(key, default) == default:
+            spark.conf.set(key, str(value))
+
+
 _SHIPPED: set[str] = set()
 
 
@@ -80,6 +93,7 @@ def ship_package(spark: SparkSession) -> None:
 
     Executors then need no installed copy; the archive goes through the shared folder.
     """
+    bound_batches(spark)
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return

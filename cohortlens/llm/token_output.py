@@ -43,7 +43,7 @@ DICTIONARY_BYTES = 65_536
 LEAST_SAMPLES = 16
 LEVEL = 3
 #: Pieces whose ids a Python worker remembers, in each of two generations, and their longest.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 PIECE_CHARS = 48
 PIECES = pa.large_list(pa.large_string())
 #: Characters of the texts that are cut into pieces together.
