@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import io
+import time
 import uuid
 import zipfile
 from functools import lru_cache
@@ -57,10 +58,13 @@ def release(spark: SparkSession) -> None:
     """Let Spark delete shuffle files of plans that nothing refers to any more.
 
     Its cleaner acts when the driver's garbage is collected, which on a large
-    heap may be long after a multi-step operator has moved on.
+    heap may be long after a multi-step operator has moved on. Plans that Python let go
+    reach the JVM a moment later, hence the second round.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:

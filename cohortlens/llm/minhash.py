@@ -276,6 +276,7 @@ def rare_frequencies(docs: DataFrame, frequent: np.ndarray, pairs: int) -> DataF
         explode, "range int, hashes binary, refs binary")
     dealt = rows.repartition("range").sortWithinPartitions("range")
     out = written(dealt.mapInPandas(count, "ref int, hash long, n int"), "rare")
+    del rows, dealt  # their shuffle goes with them
     release(docs.sparkSession)
     return out
 
