@@ -5,7 +5,11 @@ weigh a node's features, parent–child potentials connect a node with its
 parent. Sum-product messages passed upward and then downward give the exact
 marginal of every node; the text of nodes that are more likely content than not
 is the page's text. The weights are trained from labelled pages by the
-gradient of the exact log-likelihood, which the same messages provide.
+gradient of the exact log-likelihood, which the same messages provide: labels
+are known for nodes with text of their own, the state of mere wrappers is
+summed out. Inline elements named like adverts, comments or buttons are nodes
+of their own on the line of their paragraph; closed form controls and fallbacks
+are never content and no part of the tree.
 """
 
 from __future__ import annotations
@@ -26,6 +30,8 @@ from cohortlens.llm.html_pages import LABELLED_PAGES
 STEPS = 500
 RATE = 2.0
 PENALTY = 0.00005
+#: Log potential that holds a node to its label.
+HELD = 60.0
 
 # Fixed values of HTML: elements without content, elements whose content is no
 # markup, inline elements, and elements that end an open paragraph.
@@ -43,6 +49,9 @@ ENDS_P = frozenset((
     "dl", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5",
     "h6", "header", "hgroup", "hr", "li", "main", "menu", "nav", "ol", "p", "pre", "section",
     "table", "ul", "dt", "dd"))
+# Fixed values of HTML: controls and fallbacks, shown in the line or not at all.
+CONTROLS = frozenset(("button", "select", "datalist", "noscript", "svg", "canvas", "audio",
+                      "video"))
 # Fixed values of HTML: an opening tag closes an open element of its group up to a boundary.
 IMPLIED_END = {"li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)),
                "dd": (("dt", "dd"), ("dl",)), "tr": (("tr",), ("table",)),
@@ -77,7 +86,15 @@ WORDS = {
              "body", "prose")}
 FEATURES = ("bias", "root", *(f"tag {t}" for t in TAGS), "tag other",
             *(f"word {w}" for w in WORDS), "inside article", "no text", "short", "medium", "long",
-            "links some", "links most", "sentence", "children with text")
+            "links some", "links most", "sentence", "children with text", "inside other",
+            "under no text", "under prose", "under much prose", "under links", "under heading",
+            "copyright")
+#: Tags and groups of words that say that what is inside is something else.
+OTHER_TAGS = frozenset(("nav", "aside", "footer"))
+OTHER_WORDS = frozenset(f"word {w}" for w in (
+    "menu", "side", "advert", "notice", "comment", "foot", "social", "hidden"))
+#: Characters from which a run of text that is no link is prose.
+PROSE = 80
 _TAG_OF = {tag: f"tag {group}" for group, tags in TAGS.items() for tag in tags}
 _WORD_OF = {word: f"word {group}" for group, words in WORDS.items() for word in words}
 _NUMBER = {name: i for i, name in enumerate(FEATURES)}
@@ -86,14 +103,16 @@ _MARKUP = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*+)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
+_NAMED = re.compile(r"\b(?:class|id|role|itemprop|style|hidden|aria-hidden)\b", re.I)
 _PARTS = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"([a-z])([A-Z])")
 
 
 class Node:
-    """A block element: its runs of text (with their places on the page) and child blocks."""
+    """A block element, or an inline one of its own: its runs of text by (line, place)."""
 
-    __slots__ = ("tag", "words", "hidden", "label", "parent", "runs", "links", "inside")
+    __slots__ = ("tag", "words", "hidden", "label", "parent", "runs", "links", "inside", "never",
+                 "other")
 
     def __init__(self, tag: str, attributes: dict[str, str], parent: int, inside: bool):
         named = " ".join(attributes.get(k, "") for k in ("class", "id", "role", "itemprop"))
@@ -102,8 +121,12 @@ class Node:
         self.hidden = ("hidden" in attributes or attributes.get("aria-hidden") == "true"
                        or "display:none" in attributes.get("style", "").replace(" ", "").lower())
         self.label = attributes.get("data-content")
-        self.runs: list[tuple[int, list[str]]] = []
+        self.runs: list[tuple[tuple[int, int], list[str]]] = []
         self.links = 0
+        groups = {_WORD_OF[w] for w in self.words if w in _WORD_OF}
+        self.other = (self.hidden or tag in OTHER_TAGS
+                      or bool(groups & OTHER_WORDS) and "word main" not in groups)
+        self.never = tag in ("option", "optgroup")
 
 
 def parse_page(page: str) -> list[Node]:
@@ -111,33 +134,33 @@ def parse_page(page: str) -> list[Node]:
 
     Unclosed and stray tags are repaired as browsers do: a block closes an open
     paragraph, list items and table cells close their kind, an end tag without
-    its start is ignored. Inline elements belong to their block.
+    its start is ignored. Inline elements belong to their block, but for those
+    named like something else, which are nodes on its line.
     """
     nodes = [Node("html", {}, -1, False)]
     open_tags: list[tuple[str, int]] = [("html", 0)]  # open elements and their blocks
-    run: list[str] | None = None  # text of the current block since the last block tag
+    run: list[str] | None = None  # text of the current node since the last tag of a node
+    owner, line, places = 0, 0, 0
     links = 0
     at, end = 0, len(page)
 
     def add(text: str) -> None:
-        nonlocal run
-        if run is None:
-            run = []
-            nodes[open_tags[-1][1]].runs.append((len(order), run))
-            order.append(run)
+        nonlocal run, owner, places
+        if run is None or owner != open_tags[-1][1]:
+            run, owner, places = [], open_tags[-1][1], places + 1
+            nodes[owner].runs.append(((line, places), run))
         run.append(text)
         if links:
             nodes[open_tags[-1][1]].links += len(text)
 
     def close(position: int) -> None:
-        nonlocal run, links
+        nonlocal run, line, links
         for tag, _ in open_tags[position:]:
             links -= tag == "a"
-            if tag not in INLINE:
-                run = None
+            if tag not in INLINE and tag not in CONTROLS:
+                run, line = None, line + 1
         del open_tags[position:]
 
-    order: list[list[str]] = []
     while at < end:
         found = _MARKUP.search(page, at)
         if found is None:
@@ -152,6 +175,9 @@ def parse_page(page: str) -> list[Node]:
         if found[1]:  # an end tag
             for i in range(len(open_tags) - 1, 0, -1):
                 if open_tags[i][0] == tag:
+                    if tag in CONTROLS:
+                        for node in nodes[open_tags[i][1]:]:
+                            node.never = True
                     close(i)
                     break
             else:
@@ -176,7 +202,7 @@ def parse_page(page: str) -> list[Node]:
             continue
         if tag in ("html", "body") or tag in VOID:
             if tag == "hr":
-                run = None
+                run, line = None, line + 1
             label = re.search(r"data-content=(\d)", found[3]) if tag == "body" else None
             nodes[0].label = label[1] if label else nodes[0].label
             continue
@@ -196,15 +222,17 @@ def parse_page(page: str) -> list[Node]:
                 if open_tags[i][0] in boundary:
                     break
         block = open_tags[-1][1]
-        if tag in INLINE:
-            links += tag == "a"
-        else:
+        links += tag == "a"
+        if tag not in INLINE or _NAMED.search(found[3]):
             attributes = {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "")
                           for m in _ATTRIBUTE.finditer(found[3])}
             parent = nodes[block]
-            nodes.append(Node(tag, attributes, block,
-                              parent.inside or parent.tag in ("article", "main")))
-            block, run = len(nodes) - 1, None
+            node = Node(tag, attributes, block, parent.inside or parent.tag in ("article", "main"))
+            if tag not in INLINE or node.other:
+                nodes.append(node)
+                block = len(nodes) - 1
+            if tag not in INLINE and tag not in CONTROLS:
+                run, line = None, line + 1
         if not found[3].rstrip().endswith("/") or tag not in VOID:
             open_tags.append((tag, block))
     return nodes
@@ -215,26 +243,54 @@ def block_text(parts: list[str]) -> str:
     return " ".join(html.unescape("".join(parts)).split())
 
 
-def node_features(nodes: list[Node]) -> tuple[np.ndarray, list[list[tuple[int, str]]]]:
+def node_features(nodes: list[Node]
+                  ) -> tuple[np.ndarray, list[list[tuple[tuple[int, int], str]]]]:
     """A row of 0/1 features per node, and each node's runs as ``(place, text)``."""
     x = np.zeros((len(nodes), len(FEATURES)))
     x[:, 0] = 1.0
     runs = [[(place, block_text(parts)) for place, parts in n.runs] for n in nodes]
+    sizes = [sum(len(t) for _, t in own) for own in runs]
+    # characters, characters of links, runs of prose and headings in a node and below
+    under = [[size, min(node.links, size),
+              sum(len(t) >= PROSE for _, t in own) if node.links <= 0.3 * size else 0,
+              int(node.tag in ("h1", "h2") and size > 0)]
+             for node, own, size in zip(nodes, runs, sizes, strict=True)]
+    for i in range(len(nodes) - 1, 0, -1):
+        if not nodes[i].other and not nodes[i].never:
+            up = under[nodes[i].parent]
+            for k, value in enumerate(under[i]):
+                up[k] += value
+    inside = [False] * len(nodes)
     for i, node in enumerate(nodes):
         text = max((t for _, t in runs[i]), key=len, default="")
-        size = sum(len(t) for _, t in runs[i])
+        size = sizes[i]
         names = ["root"] if i == 0 else [_TAG_OF.get(node.tag, "tag other")]
         names += {_WORD_OF[w] for w in node.words if w in _WORD_OF}
         if node.hidden:
             names.append("word hidden")
         if node.inside:
             names.append("inside article")
+        if i:
+            inside[i] = inside[node.parent] or nodes[node.parent].other
+        if inside[i]:
+            names.append("inside other")
         names.append("no text" if not size else "short" if size < 40
                      else "medium" if size < 160 else "long")
         if size and node.links > 0.2 * size:
             names.append("links most" if node.links > 0.6 * size else "links some")
         if text.endswith((".", "!", "?", ":", "…", "”", '"')):
             names.append("sentence")
+        if "©" in text[:80] or text[:9].lower() == "copyright":
+            names.append("copyright")
+        whole, links, prose, headings = under[i]
+        if not whole:
+            names.append("under no text")
+        if prose:
+            names.append("under prose" if prose == 1 else "under much prose")
+        if whole and links > 0.5 * whole:
+            names.append("under links")
+        if headings:
+            names.append("under heading")
         for name in names:
             x[i, _NUMBER[name]] = 1.0
     for node, own in zip(nodes, runs, strict=True):
@@ -292,28 +348,66 @@ def labels_of(nodes: list[Node]) -> np.ndarray:
     return out
 
 
+def tree_of(nodes: list[Node]) -> tuple[list[int], list[int]]:
+    """The nodes of the model, without controls, and each one's parent among them."""
+    kept = [i for i, n in enumerate(nodes) if not n.never]
+    number = {i: k for k, i in enumerate(kept)}
+    return kept, [number.get(nodes[i].parent, -1 if i == 0 else 0) for i in kept]
+
+
+def _forest_marginals(scores: np.ndarray, parents: np.ndarray, levels: list[np.ndarray],
+                      pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As :func:`marginals` for many trees at once, a depth at a time; ``both`` summed up."""
+    up = np.stack([np.zeros_like(scores), scores])
+    sent = np.zeros_like(up)
+    for at in reversed(levels[1:]):
+        sent[:, at] = np.logaddexp(pair[:, :1] + up[0, at], pair[:, 1:] + up[1, at])
+        for state in (0, 1):
+            np.add.at(up[state], parents[at], sent[state, at])
+    down = np.zeros_like(up)
+    both = np.zeros((2, 2))
+    for at in levels[1:]:
+        out = up[:, parents[at]] - sent[:, at] + down[:, parents[at]]
+        down[:, at] = np.logaddexp(out[:1] + pair[0][:, None], out[1:] + pair[1][:, None])
+        joint = out[:, None, :] + pair[:, :, None] + up[None, :, at]
+        joint = np.exp(joint - joint.max(axis=(0, 1)))
+        both += (joint / joint.sum(axis=(0, 1))).sum(axis=2)
+    odds = up[1] + down[1] - up[0] - down[0]
+    return 1.0 / (1.0 + np.exp(-np.clip(odds, -700, 700))), both
+
+
 @lru_cache(maxsize=1)
 def train(pages: tuple[str, ...] = LABELLED_PAGES, steps: int = STEPS) -> tuple:
-    """``(weights, pair)`` by gradient ascent on the labelled pages' log-likelihood."""
-    data = []
+    """``(weights, pair)`` by gradient ascent on the labelled pages' log-likelihood.
+
+    The likelihood is that of the labels of nodes with text; the others are
+    summed out, by messages in which the known labels are held.
+    """
+    rows, parents, depths, labels, known, size = [], [], [], [], [], 0
     for page in pages:
         nodes = parse_page(page)
-        data.append((node_features(nodes)[0], [n.parent for n in nodes], labels_of(nodes)))
-    weights, pair = np.zeros(len(FEATURES)), np.zeros((2, 2))
-    total = sum(len(y) for _, _, y in data)
-    seen = np.zeros((2, 2))
-    for _, parents, y in data:
-        for i in range(1, len(y)):
-            seen[int(y[parents[i]]), int(y[i])] += 1
+        x, runs = node_features(nodes)
+        kept, above = tree_of(nodes)
+        depth: list[int] = []
+        for p in above:
+            depth.append(depth[p] + 1 if p >= 0 else 0)
+        rows.append(x[kept])
+        parents += [p + size if p >= 0 else -1 for p in above]
+        depths += depth
+        labels += labels_of(nodes)[kept].tolist()
+        known += [any(t for _, t in runs[i]) for i in kept]
+        size += len(kept)
+    x, above, y, held = np.concatenate(rows), np.array(parents), np.array(labels), np.array(known)
+    levels = [np.flatnonzero(np.array(depths) == d) for d in range(max(depths) + 1)]
+    weights, pair = np.zeros(len(FEATURES)), np.array([[0.5, -0.5], [-0.5, 0.5]])
     speed_w, speed_p = np.zeros_like(weights), np.zeros_like(pair)
+    force = np.where(held, np.where(y == 1, HELD, -HELD), 0.0)
     for _ in range(steps):
-        grad_w, grad_p = -PENALTY * weights * total, seen - PENALTY * pair * total
-        for x, parents, y in data:
-            p, both = marginals((x @ weights).tolist(), parents, pair.tolist())
-            grad_w = grad_w + x.T @ (y - p)
-            grad_p = grad_p - np.sum(np.reshape(both[1:], (-1, 2, 2)), axis=0)
-        speed_w = 0.9 * speed_w + grad_w / total
-        speed_p = 0.9 * speed_p + grad_p / total
+        scores = x @ weights
+        p, both = _forest_marginals(scores, above, levels, pair)
+        p_known, both_known = _forest_marginals(np.where(held, force, scores), above, levels, pair)
+        speed_w = 0.9 * speed_w + x.T @ (p_known - p) / size - PENALTY * weights
+        speed_p = 0.9 * speed_p + (both_known - both) / size - PENALTY * pair
         weights, pair = weights + RATE * speed_w, pair + RATE * speed_p
     return weights, pair.tolist()
 
@@ -323,10 +417,14 @@ def main_text(page: str | None, weights: np.ndarray, pair: list[list[float]]) ->
     if not page or not page.strip():
         return ""
     nodes = parse_page(page)
-    x, runs = node_features(nodes)
-    p, _ = marginals((x @ weights).tolist(), [n.parent for n in nodes], pair)
-    kept = sorted(run for i, own in enumerate(runs) if p[i] >= 0.5 for run in own)
-    return "\n".join(text for _, text in kept if text)
+    x, _ = node_features(nodes)
+    kept, parents = tree_of(nodes)
+    p, _ = marginals((x[kept] @ weights).tolist(), parents, pair)
+    lines: dict[int, list[str]] = {}
+    for (line, _), parts in sorted(run for i, odds in zip(kept, p, strict=True) if odds >= 0.5
+                                   for run in nodes[i].runs):
+        lines.setdefault(line, []).extend(parts)
+    return "\n".join(text for parts in lines.values() if (text := block_text(parts)))
 
 
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",

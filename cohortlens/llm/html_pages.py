@@ -2,12 +2,13 @@
 
 Written for this purpose. ``data-content`` labels an element and what is inside
 it (1 content, 0 not) up to elements with a label of their own; the model never
-sees the attribute. LONG and LINE stand for paragraphs, whose words say nothing.
+sees the attribute. LONG, MID and LINE stand for paragraphs, whose words say nothing.
 """
 
 LONG = ("Lorem ipsum dolor sit amet, consetetur sadipscing elitr, sed diam nonumy eirmod tempor "
         "invidunt ut labore et dolore magna aliquyam erat, sed diam voluptua. At vero eos et "
         "accusam et justo duo dolores et ea rebum.")
+MID = LONG[:123] + "."
 LINE = "Stet clita kasd gubergren, no sea takimata."
 LINKS = ("<ul><li><a href=/a>Lorem</a></li><li><a href=/b>Ipsum dolor</a></li>"
          "<li><a href=/c>Amet</a></li></ul>")
@@ -74,6 +75,20 @@ _SKELETONS = (
     "<body data-content=1><div>@long</div><div>@long sit</div></body>",
     "<body data-content=1><p>@long</p><p>@long</p><p>@line</p></body>",
     "<body data-content=1><h1>Lorem</h1><p>@line</p><p>@long</p></body>",
+    "<body data-content=1><table><tr><td>@long</td></tr></table></body>",
+    "<body data-content=1><table><tr><td><h1>Lorem</h1>@long<p>@line</p></td></tr></table></body>",
+    "<body data-content=1><table border=0><tbody><tr><td>@line @long</td></tr></tbody></table></body>",
+    "<body data-content=1><table><tr><td>@mid</td></tr></table></body>",
+    "<body data-content=1><center><p>@mid</p></center></body>",
+    # articles of a few words between menu, advert and footer
+    "<body data-content=0><nav>@links</nav><div class=ad>@long</div><article data-content=1>"
+    "<h1>Lorem | ipsum | dolor | sit | amet |</h1><p><b>Lorem | ipsum | dolor | sit | amet | et</b>"
+    "</p></article><footer>&copy; example.org &middot; @line</footer></body>",
+    "<body data-content=0><nav>@links</nav><div class=ad>@line</div><article data-content=1>"
+    "<h1>Lorem ipsum dolor sit amet</h1><p>Lorem ipsum dolor sit amet, consetetur sadipscing elitr,"
+    " sed diam |</p></article><footer>&copy; example.org &middot; @line</footer></body>",
+    "<body data-content=0><nav>@links</nav><article data-content=1><h1>Lorem | sit</h1><p>Lorem |"
+    "</p><p>Sit</p></article><footer>&copy; example.org &middot; @long</footer></body>",
     # notices, adverts and forms around a section
     "<body data-content=0><div role=banner>@line</div><div role=navigation>@links</div>"
     "<div class='alert notice'>@long</div><section class='entry-content' data-content=1>"
@@ -111,5 +126,76 @@ _PARTLY = tuple(
     + block + "<footer>@line</footer></body>"
     for container in _CONTAINERS for block in _OTHER_BLOCKS)
 
-LABELLED_PAGES = tuple(page.replace("@long", LONG).replace("@line", LINE).replace("@links", LINKS)
-                       for page in (*_SKELETONS, *_PARTLY))
+# Pages without telling names: each holder meets each menu, with bodies and ends in turn.
+_TEXTS = (
+    "<h1>Lorem ipsum</h1><p>@long</p><p>@long</p>", "<h2>Lorem</h2><p>@long</p>",
+    "<p>@long</p><p>@line</p><ul><li>@line</li><li>@line</li></ul><p>@long</p>",
+    "<h1>Lorem</h1>@long<br><br>@long", "<div>@long</div><div>@line</div><div>@long</div>",
+    "<h1>Lorem ipsum</h1><p>@long <span class=ad data-content=0>@line</span></p><p>@long</p>",
+    "<p>@long</p><p>@long <a class=share data-content=0 href=/s>Lorem</a></p><p>Sit.</p>",
+    "<h1>Lorem</h1><h2>Sit</h2><p>@long</p><blockquote><p>@long</p></blockquote><p>@line</p>",
+    "<p>@long</p><span class='comment' data-content=0>@line</span><p>@long</p>",
+    "<p>@long</p><p>@long</p><p>@long</p>", "<h3>Lorem</h3><p>@line</p><p>@long</p><p>@line</p>")
+_HOLDERS = (
+    "@menu<div role=main data-content=1>@text</div>@end",
+    "@menu<div id=main><div class=post data-content=1>@text</div></div>@end",
+    "@menu<section data-content=1>@text</section>@end",
+    "@menu<div data-content=1>@text</div>@end",
+    "@menu<div><div><div data-content=1>@text</div></div></div>@end",
+    "<div>@menu<div data-content=1>@text</div>@end</div>",
+    "<div id=page>@menu<div><div data-content=1>@text</div></div>@end</div>",
+    "@menu<table><tr><td data-content=1>@text</td></tr></table>@end",
+    "<table><tr><td colspan=2>@menu</td></tr><tr><td>@links</td><td data-content=1>@text</td></tr>"
+    "<tr><td>@end</td></tr></table>",
+    "<table><tr><td>@menu</td><td data-content=1>@text</td></tr></table>@end",
+    "<form>@menu<div data-content=1>@text</div>@end</form>",
+    "@menu<main><div data-content=1>@text</div></main>@end",
+    "<center>@menu<div data-content=1>@text</div>@end</center>",
+    "@menu<article data-content=1>@text</article>@end",
+    "@menu<section><header data-content=1><h1>Lorem</h1></header><div data-content=1>@text</div>"
+    "</section>@end",
+    "@menu<div class='row'><div class='col' data-content=1>@text</div><div class='col'>@links</div>"
+    "</div>@end")
+_MENUS = (
+    "<nav>@links</nav>", "@links", "<div>@links</div>", "",
+    "<p><a href=/a>Lorem</a> | <a href=/b>Ipsum</a></p>",
+    "<div><a href=/a>Lorem</a> <a href=/b>Ipsum dolor</a></div>",
+    "<header><div><a href=/>Lorem</a></div>@links</header>",
+    "<div><a href=/>Lorem</a></div><ul><li><a href=/a>Lorem</a></li></ul>",
+    "<header><h1>Lorem</h1><p>@line</p></header><nav><a href=/a>Sit</a></nav>")
+_ENDS = (
+    "<footer>@line</footer>", "<div>&copy; Lorem 2020</div>", "", "<p>Copyright 2020 Lorem</p>",
+    "<div><a href=/a>Lorem</a> <a href=/b>Sit</a></div>", "<footer><p>@long</p></footer>",
+    "<div class=comments><p>@long</p><p>@long</p></div><footer>@line</footer>",
+    "<form><p>@line</p><label>Lorem</label></form><footer>@line</footer>",
+    "<aside><h3>Lorem</h3><p>@long</p></aside>", "<ul><li><a href=/a>Lorem ipsum</a></li></ul>",
+    "<div class='ad-box'>@line</div><footer>@line</footer>",
+    "<section><h3>Lorem</h3>@links</section>", "<hr><p><a href=/a>Lorem</a> &copy; Sit</p>")
+
+
+def _other(part: str) -> str:
+    """The part with its first element labelled as no content."""
+    part = part.replace("@links", LINKS)
+    head, _, rest = part.partition(">")
+    return f"{head} data-content=0>{rest}" if part else ""
+
+
+# Text that stands in the body itself, between parts of one element.
+_BARE = tuple(
+    f"<body data-content=1>{_other(menu)}{_TEXTS[(i + 4 * j) % len(_TEXTS)]}{_other(end)}</body>"
+    for i, menu in enumerate((*_MENUS[:7], "<p><a href=/>Lorem</a></p>"))
+    for j, end in enumerate((*_ENDS[:6], "<div class=comments><p>@long</p></div>", *_ENDS[8:11],
+                             "<p>&copy; Lorem</p>", "<address>Lorem</address>")))
+_PLAIN = tuple(
+    "<body data-content=0>" + holder.replace("@menu", menu)
+    .replace("@text", _TEXTS[(5 * i + j) % len(_TEXTS)])
+    .replace("@end", _ENDS[(3 * i + 2 * j) % len(_ENDS)]) + "</body>"
+    for i, holder in enumerate(_HOLDERS) for j, menu in enumerate(_MENUS))
+
+# Paragraphs of middle length in the one half of these pages, long ones in the other.
+_VARIED = tuple(page.replace("@long", "@mid") if i % 2 else page
+                for i, page in enumerate((*_PLAIN, *_BARE)))
+
+LABELLED_PAGES = tuple(
+    page.replace("@long", LONG).replace("@mid", MID).replace("@line", LINE).replace("@links", LINKS)
+    for page in (*_SKELETONS, *_PARTLY, *_VARIED))
