@@ -2,6 +2,7 @@
 
 import os
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -273,6 +274,58 @@ def test_very_long_text_and_long_item(monkeypatch):
     assert [f[:2] for f in decontam.match_batch(index, [half])] == [(0, 2)]
 
 
+def test_short_items_occur_exactly_as_whole_words(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "SLAB_CHARS", 2000)
+    index = decontam.build_index([(1, "4 + 4"), (2, "Yes"), (3, "été 12"), (4, "yes"), (5, "")])
+    texts = ["It is 4  +\n4.", "yesterday", "eyes", "YES!", "(ÉTÉ 12)", "été 123", "", "14 + 4",
+             "x" * 1999 + "yes " + "y" * 3000, "z " * 999 + "yes " + "y " * 3000]
+    found = {(f[0], f[1]) for f in decontam.match_batch(index, texts)}
+    assert found == {(0, 1), (3, 2), (3, 4), (4, 3), (9, 2), (9, 4)}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "4 + 4"), (2, "Yes"), (3, "été 12")],
+                                  "item_id long, text string")
+    kept = decontam.drop_contaminated(docs, bench)
+    assert {r.doc_id for r in kept.collect()} == {1, 2, 5, 6, 7, 8}
+
+
+@pytest.mark.parametrize("shared", ["start", "middle", "end"])
+def test_items_and_texts_of_one_template(shared, monkeypatch):
+    rnd = random.Random(7)
+
+    def words(n):
+        return "".join(rnd.choice("abcdefghijklmnopqrst ") for _ in range(n)).strip() + "z"
+
+    template = words(72)
+
+    def text():
+        return {"start": template + " " + words(78), "end": words(78) + " " + template,
+                "middle": words(39) + template + words(39)}[shared]
+
+    items, texts = [(i, text()) for i in range(200)], [text() for _ in range(200)]
+    texts[5] = items[7][1].replace("z", "y")
+    index, began = decontam.build_index(items), time.monotonic()
+    found = list(decontam.match_batch(index, texts))
+    assert [f[:2] for f in found] == [(5, 7)]
+    assert time.monotonic() - began < 20
+    monkeypatch.setattr(decontam, "SHARED_GRAMS", 500)  # many windows: the same result
+    assert list(decontam.match_batch(index, texts[:20])) == found
+
+
+def test_alignment_is_exact_within_its_band():
+    rnd = random.Random(8)
+    for _ in range(200):
+        item, part = "".join(rnd.choices("abc", k=rnd.randrange(4, 30))), "#"
+        text = "".join(rnd.choices("abc", k=9)) + _edited(rnd, item, 0.1) + "abc"
+        budget, points = rnd.randrange(0, 4), decontam.code_points(part + text + part)
+        edits, _ = decontam.align_bands(
+            points, [decontam.code_points(item)], np.array([10 - 2 * budget - 1]), np.array([1]),
+            np.array([len(text) + 1]), budget)
+        best = _distance(item, text)
+        assert edits[0] >= min(best, budget + 1)
+        if best == 0 and text.find(item) in range(9 - budget, 10 + budget):
+            assert edits[0] == 0
+
+
 def test_benchmark_blocks_cover_all_items(spark):
     bench = spark.createDataFrame([(i, "x" * 50) for i in range(40)], "item_id long, text string")
     blocks = list(decontam.benchmark_blocks(bench, block_chars=500))
