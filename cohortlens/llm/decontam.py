@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import text_of
+from cohortlens.llm.common import give_back, text_of, tidy
 
 Q = 12
 #: Edits allowed, as a share of an item's length.
@@ -376,7 +376,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                        text_of(text_col).alias("text"))
     out = docs.sparkSession.createDataFrame([], schema)
     for block in benchmark_blocks(benchmark):
-        out = out.unionAll(rows.mapInPandas(_matcher(docs, block, q, rate), schema))
+        out = out.unionAll(rows.mapInPandas(tidy(_matcher(docs, block, q, rate)), schema))
     return out
 
 
@@ -436,6 +436,7 @@ def _clean(docs: DataFrame, rows: list[tuple], q: int, rate: float):
     @F.pandas_udf("boolean")
     def clean(texts: pd.Series) -> pd.Series:
         dirty = {f[0] for f in block.match(texts.fillna("").tolist())}
+        give_back()
         return pd.Series([i not in dirty for i in range(len(texts))], dtype=bool)
 
     return clean

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import discard, release, text_of, written
+from cohortlens.llm.common import discard, release, text_of, tidy, written
 from cohortlens.llm.words import gram_hashes, mixed, slabs, word_hashes
 
 SHINGLE = 5
@@ -148,7 +148,7 @@ def shingle_weights(docs: DataFrame, counters: int = COUNTERS) -> Weights:
                             "kind": [0] * len(known) + [1, 2],
                             "n": [*counts.tolist(), rows, pairs]})
 
-    sums = written(docs.mapInPandas(summarise, "hash long, kind int, n long")
+    sums = written(docs.mapInPandas(tidy(summarise), "hash long, kind int, n long")
                    .groupBy("kind", "hash").agg(F.sum("n").alias("n")), "shingle-summaries")
     totals = {r.kind: r.n for r in sums.filter("kind > 0").collect()}
     rows, pairs = totals.get(1, 0), totals.get(2, 0)
@@ -169,7 +169,7 @@ def shingle_weights(docs: DataFrame, counters: int = COUNTERS) -> Weights:
         yield pd.DataFrame({"hash": wanted[found > 0].view(np.int64), "n": found[found > 0]})
 
     least = 2.0 * pairs / (counters + 1)
-    frequent = (docs.mapInPandas(count, "hash long, n long").groupBy("hash")
+    frequent = (docs.mapInPandas(tidy(count), "hash long, n long").groupBy("hash")
                 .agg(F.sum("n").alias("n")).filter(F.col("n") > least).collect()
                 if candidates else [])
     hashes = np.array([r.hash for r in frequent], dtype=np.int64).view(np.uint64)
@@ -273,9 +273,9 @@ def rare_frequencies(docs: DataFrame, frequent: np.ndarray, pairs: int) -> DataF
             yield from counted(hashes, refs)
 
     rows = docs.select(ref_of(node_of(F.col("text"))).alias("ref"), "text").mapInPandas(
-        explode, "range int, hashes binary, refs binary")
+        tidy(explode), "range int, hashes binary, refs binary")
     dealt = rows.repartition("range").sortWithinPartitions("range")
-    out = written(dealt.mapInPandas(count, "ref int, hash long, n int"), "rare")
+    out = written(dealt.mapInPandas(tidy(count), "ref int, hash long, n int"), "rare")
     del rows, dealt  # their shuffle goes with them
     release(docs.sparkSession)
     return out
@@ -313,7 +313,7 @@ def with_rare(texts: DataFrame, weights: Weights) -> DataFrame:
 
     schema = ", ".join(f"{c} {t}" for c, t in texts.select(*kept).dtypes)
     return texts.join(lists, "ref", "left").select(*kept, "rare_hash", "rare_n").mapInPandas(
-        align, f"{schema}, found binary")
+        tidy(align), f"{schema}, found binary")
 
 
 def frequencies_of(found: list[bytes | None], sizes: np.ndarray) -> np.ndarray | None:
@@ -403,7 +403,7 @@ def banded(docs: DataFrame, weights: Weights) -> DataFrame:
                     "bands": [next(rows) if n else [] for n in sizes.tolist()]})
 
     return with_rare(docs, weights).mapInPandas(
-        sign, "doc_id long, node binary, bands array<long>")
+        tidy(sign), "doc_id long, node binary, bands array<long>")
 
 
 # ---- verification -----------------------------------------------------------
@@ -443,7 +443,7 @@ def verified(pairs: DataFrame, texts: DataFrame, weights: Weights, least: float)
             .join(texts.select(F.col("node").alias("hub"), F.col("text").alias("hub_text"),
                                F.col("found").alias("hub_found")), "hub"))
     return both.select("hub", "node", "text", "found", "hub_text", "hub_found").mapInPandas(
-        check, "hub binary, node binary")
+        tidy(check), "hub binary, node binary")
 
 
 # ---- components -------------------------------------------------------------
@@ -496,7 +496,7 @@ def weight_limits(buckets: DataFrame, texts: DataFrame, weights: Weights) -> Dat
 
     large = buckets.filter(F.col("n") > LARGE).select("node").distinct()
     rows = written(texts.join(large, "node").mapInPandas(
-        explode, "node binary, shingle long, weight double")
+        tidy(explode), "node binary, shingle long, weight double")
         .withColumn("id", F.xxhash64("node")), "weights")
     own = (rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id"),
                                        F.max("weight").alias("weight"))

@@ -28,7 +28,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import AttemptFile, filesystem, scratch_path, text_of, tokenizer, written
+from cohortlens.llm.common import (
+    AttemptFile,
+    filesystem,
+    give_back,
+    scratch_path,
+    text_of,
+    tidy,
+    tokenizer,
+    written,
+)
 from cohortlens.llm.words import slabs
 
 MAGIC = b"TOKZDIC1"
@@ -47,7 +56,7 @@ REMEMBERED = 500_000
 PIECE_CHARS = 48
 PIECES = pa.large_list(pa.large_string())
 #: Characters of the texts that are cut into pieces together.
-SLAB_CHARS = 2_000_000
+SLAB_CHARS = 1_000_000
 #: Texts are cut into pieces where one space stands between two characters that are not white
 #: space; in even texts (no other white space than single spaces and line feeds), at each space.
 _BREAK = re.compile(r"(?<=\S) (?=\S)")
@@ -184,7 +193,7 @@ def train_dictionary(docs: DataFrame, tokenizer_path: str, seed: int = 0) -> byt
                 for ids in encode.ids([t[:4 * SAMPLE_BYTES] for t in batch["text"]])]})
 
     chosen = (docs.filter(F.col("doc_id").isin([r.doc_id for r in lots]))
-              .mapInPandas(sample, "doc_id long, ids binary")
+              .mapInPandas(tidy(sample), "doc_id long, ids binary")
               .dropDuplicates(["doc_id"]).orderBy("doc_id").limit(SAMPLE_DOCS).collect())
     samples = [bytes(r.ids) for r in chosen if len(r.ids) >= 8]
     if len(samples) < LEAST_SAMPLES:
@@ -233,6 +242,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, id_col: str
                                   len(frame)))
                     out.write(frame)
                     tokens += n
+                give_back()
         done = []
         if out:
             position = out.size
@@ -311,7 +321,7 @@ def read_tokens(manifest: DataFrame, folder: str, ids: bool = True) -> DataFrame
 
     # a number of its own keeps Spark from merging these few rows, a shard each, into one task
     return (manifest.repartition(max(1, min(manifest.count(), 100_000)), "path")
-            .mapInPandas(read, "doc_id long, start long, n_tokens long, ids_crc32 long, "
+            .mapInPandas(tidy(read), "doc_id long, start long, n_tokens long, ids_crc32 long, "
                                "ids array<int>"))
 
 

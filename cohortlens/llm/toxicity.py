@@ -22,7 +22,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import text_of, written
+from cohortlens.llm.common import give_back, text_of, written
 
 #: Labelled rows to fit on, at most (the lowest hashes of their ids).
 MOST_LABELLED = 24_000
@@ -152,6 +152,7 @@ def with_features(docs: DataFrame, lexicon: Lexicon, text_col: str = "text") ->
     def dense(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([features(t or "", shared.value) for t in texts], dtype=object)
+        give_back()
 
     return docs.withColumn("features", array_to_vector(dense(F.col(text_col))))
 
