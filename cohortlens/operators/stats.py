@@ -74,18 +74,24 @@ def join_map(cells: DataFrame, feature_map: DataFrame, key: str, salts: int = 1)
 
 
 def cluster_scores(cells: DataFrame, feature_clusters: DataFrame, key: str,
-                   salts: int = 1) -> DataFrame:
+                   salts: int = 1, partitions: int | None = None) -> DataFrame:
     """J2 + A2: ``(grp, cluster, sample_id, score)``, score = Σ member values.
 
     ``cells`` has ``(sample_id, grp, <key>, value)``; ``feature_clusters``
     maps ``<key>`` to clusters (a bag: a feature listed twice counts twice).
     Spark broadcasts the map when its measured size is under the broadcast
     threshold and otherwise shuffles both sides on ``key`` (AQE splits skewed
-    keys, ``salts`` as in :func:`join_map`); the sum is partially aggregated
-    before the shuffle either way.
+    keys, ``salts`` as in :func:`join_map`). There are nearly as many scores as
+    cells, so a task's sums take memory by its share of the cells: with
+    ``partitions`` (a number that grows with the cells) they are summed in so
+    many tasks, however few the session's shuffles have. Without it the sum is
+    partially aggregated before the shuffle.
     """
-    return (join_map(cells, feature_clusters.select(key, "cluster"), key, salts)
-            .groupBy("grp", "cluster", "sample_id")
+    picked = join_map(cells, feature_clusters.select(key, "cluster"), key, salts)
+    if partitions is not None:
+        picked = picked.select("grp", "cluster", "sample_id", "value").repartition(
+            partitions, "sample_id", "cluster")
+    return (picked.groupBy("grp", "cluster", "sample_id")
             .agg(F.sum("value").alias("score")))
 
 

@@ -42,6 +42,7 @@ class CohortAnalysis:
     k: int = rank.TOP_K
     cohort_sizes: DataFrame | None = None  # (grp, n) when known from elsewhere
     salts: int = 1  # join keys per feature, for features that are few (join_map)
+    partitions: int | None = None  # tasks that sum the cells (cluster_scores, sample_features)
     _memo: dict = field(default_factory=dict, repr=False)
 
     def _get(self, name, build):
@@ -58,7 +59,7 @@ class CohortAnalysis:
     @property
     def scores(self) -> DataFrame:
         return self._get("scores", lambda: stats.cluster_scores(
-            self.cells, self.feature_clusters, self.key, self.salts))
+            self.cells, self.feature_clusters, self.key, self.salts, self.partitions))
 
     @property
     def stats(self) -> DataFrame:
@@ -80,7 +81,7 @@ class CohortAnalysis:
 
     def sample_features(self, background: DataFrame | None = None) -> DataFrame:
         return feat.sample_features(self.cells, self.feature_clusters, self.key, self.ranked,
-                                    self.k, background, self.salts)
+                                    self.k, background, self.salts, self.partitions)
 
 
 # Join keys per column position: tasks of a shuffled position join are at least
@@ -209,12 +210,14 @@ def from_landed(spark: SparkSession, path: str, annotation: str | DataFrame,
 def from_long(samples: DataFrame, cells: DataFrame, feature_clusters: DataFrame,
               code: str = "code", control: Iterable[str] = CONTROL_CODES,
               case: Iterable[str] = CASE_CODES, key: str = "feature_id",
-              k: int = rank.TOP_K, unique_samples: bool = False) -> CohortAnalysis:
+              k: int = rank.TOP_K, unique_samples: bool = False,
+              partitions: int | None = None) -> CohortAnalysis:
     """Sample table ``(sample_id, code)`` + long cells ``(sample_id, key, value)``.
 
     Cells get their cohort through a join on ``sample_id``. Repeated sample rows
     count in the cohort size, but their cells count once; ``unique_samples``
     says that ``sample_id`` is a key of ``samples`` and saves making it one.
+    ``partitions``: tasks that sum the cells (default: as the session's shuffles).
     """
     cohort = stats.assign_cohorts(samples, code, control, case).select("sample_id", "grp")
     return CohortAnalysis(
@@ -223,4 +226,5 @@ def from_long(samples: DataFrame, cells: DataFrame, feature_clusters: DataFrame,
         feature_clusters=feature_clusters,
         key=key,
         k=k,
+        partitions=partitions,
     )

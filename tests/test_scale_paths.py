@@ -17,7 +17,8 @@ import pytest
 import __spark_entry__ as se
 from cohortlens import from_landed, from_long, from_wide, land_wide
 from cohortlens.plans.cohort import landed_snapshot
-from cohortlens.plans.registry import QUERIES
+from cohortlens.plans.registry import QUERIES, long_analysis
+from cohortlens.sources import tables
 from tests.conftest import ANNOTATION, MATRIX
 from tests.test_entry import SMOKE, _norm
 
@@ -235,3 +236,21 @@ def test_incomplete_landing_is_not_read(spark, lines, tmp_path):
     assert from_landed(spark, snapshot, lines(ANNOTATION)).cohort.count() == 4
     with pytest.raises(FileNotFoundError):
         landed_snapshot(spark, str(tmp_path / "none"))
+
+
+def test_sums_of_larger_tables_get_more_tasks_and_the_same_results(spark, tmp_path, monkeypatch):
+    _skewed_tables(spark, tmp_path)
+    names = ("cluster_scores", "t_scores_all")
+    before = [sorted(QUERIES[name](spark, str(tmp_path)).collect()) for name in names]
+    plain = long_analysis(spark, str(tmp_path))
+    assert plain.partitions is None
+    monkeypatch.setattr(tables, "SUM_BYTES", 4096)
+    parts = tables.sum_partitions(spark, str(tmp_path))
+    assert parts > 16  # more than the session's 8 shuffle partitions
+    split = long_analysis(spark, str(tmp_path))
+    for a, n in ((plain, 1), (split, parts)):
+        for df in (a.scores, a.sample_features()):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert (f", {parts}), REPARTITION_BY_NUM" in plan) == (n > 1)
+    assert [sorted(QUERIES[name](spark, str(tmp_path)).collect()) for name in names] == before
+    assert sorted(split.sample_features().collect()) == sorted(plain.sample_features().collect())
