@@ -179,3 +179,59 @@ def test_comparison_has_folds_and_mean_side_by_side(spark):
     got = {r.model: tuple(r)[1:] for r in ml.comparison(errors).collect()}
     assert got["a"] == (0.1, 0.2, None, 2, pytest.approx(0.15))
     assert got["b"] == (None, 0.5, None, 1, 0.5)
+
+
+def test_votes_in_the_row_are_those_of_walks_and_counts(spark):
+    points = _points(spark, _random_rows(200, 9))
+    rows = trees.examples(points)
+    nodes = trees.grow(trees.bags(rows, 5), 2, "entropy", trees.feature_subset(spark, 3, 5))
+    want = {r.sample_id: (r.label, r.votes, r.prediction) for r in trees.vote(
+        trees.traverse(rows, nodes, 2)).collect()}
+    voted = trees.forest_votes(rows, nodes, 2)
+    assert "Exchange hashpartitioning(sample_id" not in \
+        voted._jdf.queryExecution().executedPlan().toString()
+    assert {r.sample_id: (r.label, r.votes, r.prediction) for r in voted.collect()} == want
+    some = F.array(F.lit(1), F.lit(3), F.lit(7))  # tree 7 is not there
+    want = {r.sample_id: r.prediction for r in trees.vote(
+        trees.traverse(rows, nodes, 2).filter("tree in (1, 3)")).collect()}
+    assert {r.sample_id: r.prediction
+            for r in trees.forest_votes(rows, nodes, 2, some).collect()} == want
+    fitted = ml.estimator("forest_entropy", 3).fit(points)
+    nodes = trees.model_nodes(fitted)
+    want = {r.sample_id: r.votes for r in trees.vote(
+        trees.traverse(rows, nodes, ml.MAX_DEPTH)).collect()}
+    assert {r.sample_id: r.votes
+            for r in trees.forest_votes(rows, nodes, ml.MAX_DEPTH).collect()} == want
+    assert trees.forest_votes(rows, nodes.filter("tree > 9"), 2).count() == 0
+
+
+def test_stumps_of_bags_are_grown_without_writing_the_bags(spark, monkeypatch):
+    written = []
+    landed = trees.landed
+    monkeypatch.setattr(trees, "landed", lambda df, name: written.append(name) or landed(df, name))
+    rows = trees.examples(_points(spark, _random_rows(200, 10)))
+    trees.grow(trees.bags(rows, 4), 1, "entropy", trees.feature_subset(spark, 3, 4)).collect()
+    assert "tree-rows" not in written
+
+
+def test_children_of_values_without_a_number_between_are_counted_as_placed(spark):
+    low, high = 1.0 + 2 ** -52, 1.0 + 2 ** -51  # half their distance rounds up to the higher
+    rows = [(i, int(i % 4 == 0), [high if i % 2 else low]) for i in range(8)]
+    nodes = {r.node: r for r in trees.grow(trees.examples(_points(spark, rows)), 1).collect()}
+    assert nodes[1].threshold == high
+    assert set(nodes) == {1, 2} and (nodes[2].n_control, nodes[2].n_case) == (6, 2)
+    rows = [(i, int(i >= 4), [None if i == 7 else float(i)]) for i in range(8)]
+    examples = spark.createDataFrame([(0, i, float(y), 1, x) for i, y, x in rows],
+                                     "tree int, sample_id long, label double, weight long, "
+                                     "x array<double>")
+    nodes = {r.node: r for r in trees.grow(examples, 1).collect()}
+    assert (nodes[1].threshold, nodes[2].n_control, nodes[3].n_case) == (3.5, 4, 4)
+
+
+def test_bags_of_some_trees(spark):
+    rows = trees.examples(_points(spark, _random_rows(100, 11)))
+    every = {(r.tree, r.sample_id, r.weight) for r in trees.bags(rows, 4).collect()}
+    some = trees.bags(rows, 4, trees=F.when(F.col("sample_id") < 50, F.array(F.lit(1))).otherwise(
+        F.array(F.lit(0), F.lit(3))))
+    assert {(r.tree, r.sample_id, r.weight) for r in some.collect()} == {
+        (t, i, w) for t, i, w in every if (t == 1 if i < 50 else t in (0, 3))}
