@@ -18,6 +18,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -51,12 +52,15 @@ SAMPLE_BYTES = 16_384
 DICTIONARY_BYTES = 65_536
 LEAST_SAMPLES = 16
 LEVEL = 3
-#: Pieces whose ids a Python worker remembers, in each of two generations, and their longest.
-REMEMBERED = 500_000
+#: Pieces whose ids a Python worker remembers, in each of two generations (about 150 bytes of
+#: memory each), and their longest.
+REMEMBERED = 800_000
 PIECE_CHARS = 48
+#: Stored ids, of remembered pieces and others, above which all but the remembered are dropped.
+STORED = 8_000_000
 PIECES = pa.large_list(pa.large_string())
-#: Characters of the texts that are cut into pieces together.
-SLAB_CHARS = 1_000_000
+#: Characters of the texts that are cut into pieces together, and so looked up once.
+SLAB_CHARS = 4_000_000
 #: Texts are cut into pieces where one space stands between two characters that are not white
 #: space; in even texts (no other white space than single spaces and line feeds), at each space.
 _BREAK = re.compile(r"(?<=\S) (?=\S)")
@@ -93,22 +97,54 @@ class Encoder:
     so the ids of the pieces in a row are the ids of the whole text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
+        self.remembered = remembered
         self.tokenizer = tokenizer(path)
         wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.dtype = np.dtype("<u4" if wide else "<u2")
         self.starts = np.zeros(self.tokenizer.get_vocab_size(), bool)  # ids that begin with a space
         for token, number in self.tokenizer.get_vocab().items():
             self.starts[number] = token.startswith("\u0120")
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def _encode(self, pieces: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype=self.dtype).tobytes()
-                for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-
-    def _encode_following(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces with a space before them, encoded as one text.
+        self.known: dict[str, int] = {}
+        self.older: dict[str, int] = {}
+        self._hold(np.empty(0, self.dtype), np.empty(0, np.int64))
+
+    def _hold(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Start the stored ids anew: ``ids`` of pieces numbered from 0, ``sizes`` of each."""
+        self.flat, self.used = ids, len(ids)
+        self.ends, self.count = np.cumsum(sizes), len(sizes)
+
+    def _store(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Add the ids of pieces to the stored ones; gives the pieces' numbers."""
+        ends = self.used + np.cumsum(sizes)
+        self.flat = _put(self.flat, self.used, ids)
+        self.ends = _put(self.ends, self.count, ends)
+        self.used, self.count = self.used + len(ids), self.count + len(sizes)
+        return np.arange(self.count - len(sizes), self.count)
+
+    def _gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of numbered pieces one after the other, and the pieces' sizes."""
+        ends = self.ends[numbers]
+        sizes = ends - np.where(numbers > 0, self.ends[numbers - 1], 0)
+        upto = np.cumsum(sizes)
+        # an id's place: its place in the result less where its piece ends there
+        places = np.repeat(ends - upto, sizes) + np.arange(upto[-1] if len(upto) else 0)
+        return self.flat[places], sizes
+
+    def _forget(self) -> None:
+        """Make the remembered pieces the older ones and drop those, and ids of no piece."""
+        kept = np.fromiter(self.known.values(), np.int64, len(self.known))
+        self._hold(*self._gather(kept))
+        self.known, self.older = {}, dict(zip(self.known, range(len(kept)), strict=True))
+
+    def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces one after the other, and how many of each."""
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), self.dtype, sizes.sum()), sizes
+
+    def _encode_following(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of pieces with a space before them, encoded as one text.
 
         Without spaces inside the pieces, a piece's first id is the next one that
         begins with a space.
@@ -116,67 +152,72 @@ class Encoder:
         if any(" " in p for p in pieces) or not pieces:
             return self._encode([" " + p for p in pieces])
         ids = np.array(self.tokenizer.encode_batch_fast(
-            ["".join(" " + p for p in pieces)], add_special_tokens=False)[0].ids, dtype=self.dtype)
+            [" " + " ".join(pieces)], add_special_tokens=False)[0].ids, dtype=self.dtype)
         first = np.flatnonzero(self.starts[ids])
-        data, width = ids.tobytes(), self.dtype.itemsize
-        ends = (np.append(first[1:], len(ids)) * width).tolist()
-        return [data[a:b] for a, b in zip((first * width).tolist(), ends, strict=True)]
-
-    def _known(self, pieces: list[str]) -> list[bytes]:
-        """Ids of different pieces with a space before them, remembered or encoded now."""
-        known, older, new = self.known, self.older, []
-        for piece in set(pieces).difference(known):
-            if piece in older:
-                known[piece] = older[piece]
-            else:
-                new.append(piece)
-        for some in ([p for p in new if " " in p], [p for p in new if " " not in p]):
-            known.update(zip(some, self._encode_following(some), strict=True))
-        out = [known[p] for p in pieces]
-        for piece in new:
-            if len(piece) > PIECE_CHARS:
-                del known[piece]
-        if len(known) > REMEMBERED:
-            self.known, self.older = {}, known
-        return out
+        if len(first) != len(pieces):
+            raise ValueError("a piece is not encoded by itself")
+        return ids, np.diff(first, append=len(ids))
+
+    def _known(self, pieces: list[str]) -> np.ndarray:
+        """Numbers of different pieces with a space before them, remembered or encoded now."""
+        known, older = self.known, self.older
+        numbers = np.fromiter(map(known.get, pieces, repeat(-1)), np.int64, len(pieces))
+        missing = np.flatnonzero(numbers < 0)
+        names = list(map(pieces.__getitem__, missing.tolist()))
+        again = np.fromiter(map(older.get, names, repeat(-1)), np.int64, len(names))
+        spaced = np.fromiter((" " in p for p in names), bool, len(names))
+        for some in ((again < 0) & spaced, (again < 0) & ~spaced):
+            places = np.flatnonzero(some)
+            again[places] = self._store(*self._encode_following(
+                list(map(names.__getitem__, places.tolist()))))
+        numbers[missing] = again
+        known.update((p, n) for p, n in zip(names, again.tolist(), strict=True)
+                     if len(p) <= PIECE_CHARS)
+        return numbers
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         """The serialized ids of each text.
 
-        Each different piece is looked up once; a text's ids are put together from the
-        numbers of its pieces. A text's first piece has no space before it.
+        Each different piece is looked up once; the texts' ids are put together from the
+        numbers of their pieces. A text's first piece has no space before it.
         """
         if not texts:
             return
+        if len(self.known) > self.remembered or self.used > STORED:
+            self._forget()
         cut = pieces_of(texts)
         bounds = cut.offsets.to_numpy() - cut.offsets[0].as_py()
         coded = cut.flatten().dictionary_encode()
         number = coded.indices.to_numpy().astype(np.int64)
-        different = coded.dictionary.to_pylist()
+        different = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         heads, head = np.unique(number[bounds[:-1]], return_inverse=True)
         number[bounds[:-1]] = len(different) + head
-        parts = self._known(different) + self._encode([different[h] for h in heads])
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // self.dtype.itemsize
-        flat = np.frombuffer(b"".join(parts), self.dtype)
-        starts = np.cumsum(sizes) - sizes
-        steps = np.arange(1 << 12)
-        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-            own = number[a:b]
-            size = sizes[own]
-            ends = np.cumsum(size)
-            while len(steps) < ends[-1]:
-                steps = np.arange(2 * len(steps))
-            # an id's place: its place in the text less where its piece begins there
-            yield flat[np.repeat(starts[own] - ends + size, size) + steps[:ends[-1]]].tobytes()
+        stored = np.concatenate([self._known(different),
+                                 self._store(*self._encode([different[h] for h in heads]))])
+        flat, sizes = self._gather(stored[number])
+        ends = np.append(0, np.cumsum(sizes))[bounds].tolist()
+        for a, b in zip(ends[:-1], ends[1:], strict=True):
+            yield flat[a:b].tobytes()
+
+
+def _put(array: np.ndarray, at: int, more: np.ndarray) -> np.ndarray:
+    """``array`` with ``more`` from place ``at``, in a larger copy if it has no room."""
+    if at + len(more) > len(array):
+        larger = np.empty(at + len(more) + len(array) // 2, array.dtype)
+        larger[:at] = array[:at]
+        array = larger
+    array[at:at + len(more)] = more
+    return array
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, remembered: int = REMEMBERED) -> Encoder:
     """One encoder per Python worker, so that what it remembers serves later tasks."""
-    return Encoder(path)
+    return Encoder(path, remembered)
 
 
-def train_dictionary(docs: DataFrame, tokenizer_path: str, seed: int = 0) -> bytes:
+def train_dictionary(docs: DataFrame, tokenizer_path: str, seed: int = 0,
+                     remembered: int = REMEMBERED) -> bytes:
     """A dictionary trained on the ids of at most ``SAMPLE_DOCS`` documents.
 
     The sample (documents of the lowest hashes, at most ``SAMPLE_BYTES`` of each)
@@ -186,7 +227,7 @@ def train_dictionary(docs: DataFrame, tokenizer_path: str, seed: int = 0) -> byt
             .orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(SAMPLE_DOCS).collect())
 
     def sample(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(tokenizer_path)
+        encode = encoder(tokenizer_path, remembered)
         for batch in batches:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "ids": [
                 ids[:SAMPLE_BYTES]
@@ -206,17 +247,19 @@ def train_dictionary(docs: DataFrame, tokenizer_path: str, seed: int = 0) -> byt
 
 
 def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, id_col: str = "doc_id",
-                 text_col: str = "text", end_id: int = END_ID) -> DataFrame:
+                 text_col: str = "text", end_id: int = END_ID, remembered: int = REMEMBERED,
+                 slab_chars: int = SLAB_CHARS) -> DataFrame:
     """Write shards under ``folder``; their manifest ``path, size, shard, docs, tokens, base``.
 
     Documents are in ascending id order across shards (null ids first; repeated
     ids by text), each encoded whole (null: empty) and closed by ``end_id``.
     ``base`` is the number of ids in earlier shards. Extra columns are ignored;
-    an empty table writes no shard.
+    an empty table writes no shard. ``remembered`` and ``slab_chars`` trade time for
+    a worker's memory; the ids are the same.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        text_of(text_col).alias("text"))
-    dictionary = train_dictionary(rows, tokenizer_path)
+    dictionary = train_dictionary(rows, tokenizer_path, remembered=remembered)
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(dictionary)
     ordered = (rows.withColumn("lot", F.xxhash64("text"))
@@ -224,13 +267,13 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, id_col: str
                .sortWithinPartitions("doc_id", "lot", "text").select("doc_id", "text"))
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(tokenizer_path)
+        encode = encoder(tokenizer_path, remembered)
         end = np.array([end_id], dtype=encode.dtype).tobytes()
         packer = zstandard.ZstdCompressor(level=LEVEL, **_dictionary(shared.value))
         out, index, tokens = None, [], 0
         for batch in batches:
             doc_ids = iter(batch["doc_id"])
-            for _, texts in slabs(batch["text"].tolist(), SLAB_CHARS):
+            for _, texts in slabs(batch["text"].tolist(), slab_chars):
                 for ids in encode.ids(texts):
                     doc_id, ids = next(doc_ids), ids + end
                     if out is None:
@@ -326,8 +369,11 @@ def read_tokens(manifest: DataFrame, folder: str, ids: bool = True) -> DataFrame
 
 
 def token_round_trip(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
-                     text_col: str = "text") -> DataFrame:
-    """Write ``docs`` as token shards in the shared folder and read the document facts back."""
+                     text_col: str = "text", **memory: int) -> DataFrame:
+    """Write ``docs`` as token shards in the shared folder and read the document facts back.
+
+    ``memory``: ``remembered`` and ``slab_chars`` of :func:`write_tokens`.
+    """
     folder = scratch_path(docs.sparkSession, "tokens")
-    manifest = write_tokens(docs, folder, tokenizer_path, id_col, text_col)
+    manifest = write_tokens(docs, folder, tokenizer_path, id_col, text_col, **memory)
     return read_tokens(manifest, folder, ids=False).drop("ids")

@@ -17,6 +17,11 @@ from cohortlens.llm.common import ship_package, written
 TOKENIZER = "byte_bpe_50k.json"
 
 
+#: Less for a worker of the last stage to remember: the executors' JVMs and workers have grown
+#: by the stages before.
+TOKEN_MEMORY = {"remembered": 150_000, "slab_chars": 1_000_000}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -47,7 +52,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token shards of all documents; one row per document, read back from them."""
     ship_package(spark)
-    return token_output.token_round_trip(docs, public_tokenizers.path(TOKENIZER))
+    return token_output.token_round_trip(docs, public_tokenizers.path(TOKENIZER), **TOKEN_MEMORY)
 
 
 STAGES = [("toxicity", reject_toxic), ("near_dedup", near_dedup),

@@ -311,3 +311,22 @@ def test_rows_without_id_are_spread_over_shards_and_taken_alike(spark):
     mixes = [Counter(r.text for r in mixing.mix_documents(f).collect())
              for f in (frame.repartition(2), frame.orderBy("text").coalesce(1))]
     assert mixes[0] == mixes[1]
+
+
+def test_encoder_that_forgets_gives_the_ids_of_whole_texts(monkeypatch):
+    rnd = random.Random(21)
+    words = ["".join(rnd.choice("abcdeé,.7") for _ in range(rnd.randint(1, 9)))
+             for _ in range(400)] + ["x" * 60, "a\nb", "中文", "\t"]
+    texts = [rnd.choice([" ", "  ", "\n", " "]).join(rnd.choices(words, k=rnd.randint(0, 60)))
+             for _ in range(300)] + ["", " ", "one"]
+    tokens = token_output.tokenizer(TOKENIZER)
+    whole = [tokens.encode(t, add_special_tokens=False).ids for t in texts]
+    for remembered, stored in ((50, 8_000_000), (10_000, 100), (10_000, 8_000_000)):
+        monkeypatch.setattr(token_output, "STORED", stored)
+        encode, got, most = token_output.Encoder(TOKENIZER, remembered), [], 0
+        for i in range(0, len(texts), 20):
+            got += [np.frombuffer(b, encode.dtype).tolist() for b in encode.ids(texts[i:i + 20])]
+            most = max(most, len(encode.known), len(encode.older))
+        assert got == whole
+        assert most <= remembered + 404  # the pieces of one call come on top
+        assert all(len(p) <= token_output.PIECE_CHARS for p in encode.known)
