@@ -248,14 +248,15 @@ def train_dictionary(docs: DataFrame, tokenizer_path: str, seed: int = 0,
 
 def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, id_col: str = "doc_id",
                  text_col: str = "text", end_id: int = END_ID, remembered: int = REMEMBERED,
-                 slab_chars: int = SLAB_CHARS) -> DataFrame:
+                 slab_chars: int = SLAB_CHARS, keep: bool = True) -> DataFrame:
     """Write shards under ``folder``; their manifest ``path, size, shard, docs, tokens, base``.
 
     Documents are in ascending id order across shards (null ids first; repeated
     ids by text), each encoded whole (null: empty) and closed by ``end_id``.
     ``base`` is the number of ids in earlier shards. Extra columns are ignored;
-    an empty table writes no shard. ``remembered`` and ``slab_chars`` trade time for
-    a worker's memory; the ids are the same.
+    an empty table writes no shard. ``remembered``, ``slab_chars`` and ``keep``
+    (workers remember pieces beyond a task) trade time for a worker's memory; the ids are
+    the same.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        text_of(text_col).alias("text"))
@@ -286,6 +287,8 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, id_col: str
                     out.write(frame)
                     tokens += n
                 give_back()
+        if not keep:
+            encoder.cache_clear()
         done = []
         if out:
             position = out.size
@@ -369,10 +372,10 @@ def read_tokens(manifest: DataFrame, folder: str, ids: bool = True) -> DataFrame
 
 
 def token_round_trip(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
-                     text_col: str = "text", **memory: int) -> DataFrame:
+                     text_col: str = "text", **memory: int | bool) -> DataFrame:
     """Write ``docs`` as token shards in the shared folder and read the document facts back.
 
-    ``memory``: ``remembered`` and ``slab_chars`` of :func:`write_tokens`.
+    ``memory``: ``remembered``, ``slab_chars`` and ``keep`` of :func:`write_tokens`.
     """
     folder = scratch_path(docs.sparkSession, "tokens")
     manifest = write_tokens(docs, folder, tokenizer_path, id_col, text_col, **memory)

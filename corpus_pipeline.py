@@ -19,7 +19,7 @@ TOKENIZER = "byte_bpe_50k.json"
 
 #: Less for a worker of the last stage to remember: the executors' JVMs and workers have grown
 #: by the stages before.
-TOKEN_MEMORY = {"remembered": 150_000, "slab_chars": 1_000_000}
+TOKEN_MEMORY = {"remembered": 150_000, "slab_chars": 1_000_000, "keep": False}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

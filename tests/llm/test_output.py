@@ -330,3 +330,12 @@ def test_encoder_that_forgets_gives_the_ids_of_whole_texts(monkeypatch):
         assert got == whole
         assert most <= remembered + 404  # the pieces of one call come on top
         assert all(len(p) <= token_output.PIECE_CHARS for p in encode.known)
+
+
+def test_less_memory_gives_the_same_tokens(spark):
+    rnd = random.Random(22)
+    docs = _docs(spark, [(i, " ".join(rnd.choice(ODD) for _ in range(rnd.randrange(60))))
+                         for i in range(60)])
+    want = sorted(token_output.token_round_trip(docs, TOKENIZER).collect())
+    assert sorted(token_output.token_round_trip(
+        docs, TOKENIZER, remembered=5, slab_chars=100, keep=False).collect()) == want
