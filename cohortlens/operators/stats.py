@@ -47,47 +47,63 @@ def cohort_sizes(cohort: DataFrame) -> DataFrame:
     return cohort.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
 
 
-def attach_cohort(obs: DataFrame, cohort: DataFrame) -> DataFrame:
+def merge_join(left: DataFrame, right: DataFrame, keys: list[str],
+               partitions: int | None = None) -> DataFrame:
+    """``left ⋈ right`` on ``keys``; with ``partitions`` a sort-merge join in so many tasks.
+
+    The sorts of a task take memory by its share of the rows, and with the session's
+    shuffle partitions that share grows with the tables.
+    """
+    if partitions is None:
+        return left.join(right, keys)
+    return left.repartition(partitions, *keys).join(
+        right.repartition(partitions, *keys).hint("merge"), keys)
+
+
+def attach_cohort(obs: DataFrame, cohort: DataFrame, partitions: int | None = None) -> DataFrame:
     """Observed cells of cohort samples: ``obs ⋈ cohort`` on ``sample_id``.
 
     Used by the long binding, where cells and sample codes live in separate
     tables; the inner join also applies the cohort filter. ``cohort`` must have
-    a sample once per ``grp``.
+    a sample once per ``grp``. ``partitions`` as in :func:`merge_join`.
     """
-    return obs.join(cohort.select("sample_id", "grp"), "sample_id")
+    return merge_join(obs, cohort.select("sample_id", "grp"), ["sample_id"], partitions)
 
 
-def join_map(cells: DataFrame, feature_map: DataFrame, key: str, salts: int = 1) -> DataFrame:
+def join_map(cells: DataFrame, feature_map: DataFrame, key: str, salts: int = 1,
+             partitions: int | None = None) -> DataFrame:
     """``cells ⋈ feature_map`` on ``key``, each key spread over ``salts`` join keys.
 
     Column positions of a wide matrix are few and each holds a cell of every
     sample, so a shuffle on the position alone would make few, huge tasks. A
     salt from the sample id multiplies the keys; the map's rows are repeated
-    for each salt. Whether the map is broadcast is left to Spark's byte threshold.
+    for each salt. Whether the map is broadcast is left to Spark's byte threshold,
+    except with ``partitions`` (:func:`merge_join`), for a map that grows with the cells.
     """
     if salts == 1:
-        return cells.join(feature_map, key)
+        return merge_join(cells, feature_map, [key], partitions)
     salted = cells.withColumn("_salt", F.pmod(F.xxhash64("sample_id"), F.lit(salts)))
     repeated = feature_map.withColumn("_salt", F.explode(
         F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    return salted.join(repeated, [key, "_salt"]).drop("_salt")
+    return merge_join(salted, repeated, [key, "_salt"], partitions).drop("_salt")
 
 
 def cluster_scores(cells: DataFrame, feature_clusters: DataFrame, key: str,
-                   salts: int = 1, partitions: int | None = None) -> DataFrame:
+                   salts: int = 1, partitions: int | None = None,
+                   map_partitions: int | None = None) -> DataFrame:
     """J2 + A2: ``(grp, cluster, sample_id, score)``, score = Σ member values.
 
     ``cells`` has ``(sample_id, grp, <key>, value)``; ``feature_clusters``
     maps ``<key>`` to clusters (a bag: a feature listed twice counts twice).
     Spark broadcasts the map when its measured size is under the broadcast
     threshold and otherwise shuffles both sides on ``key`` (AQE splits skewed
-    keys, ``salts`` as in :func:`join_map`). There are nearly as many scores as
+    keys; ``salts`` and ``map_partitions`` as in :func:`join_map`). There are nearly as many scores as
     cells, so a task's sums take memory by its share of the cells: with
     ``partitions`` (a number that grows with the cells) they are summed in so
     many tasks, however few the session's shuffles have. Without it the sum is
     partially aggregated before the shuffle.
     """
-    picked = join_map(cells, feature_clusters.select(key, "cluster"), key, salts)
+    picked = join_map(cells, feature_clusters.select(key, "cluster"), key, salts, map_partitions)
     if partitions is not None:
         picked = picked.select("grp", "cluster", "sample_id", "value").repartition(
             partitions, "sample_id", "cluster")

@@ -43,6 +43,7 @@ class CohortAnalysis:
     cohort_sizes: DataFrame | None = None  # (grp, n) when known from elsewhere
     salts: int = 1  # join keys per feature, for features that are few (join_map)
     partitions: int | None = None  # tasks that sum the cells (cluster_scores, sample_features)
+    map_partitions: int | None = None  # tasks of the join with a large map (join_map)
     _memo: dict = field(default_factory=dict, repr=False)
 
     def _get(self, name, build):
@@ -59,7 +60,8 @@ class CohortAnalysis:
     @property
     def scores(self) -> DataFrame:
         return self._get("scores", lambda: stats.cluster_scores(
-            self.cells, self.feature_clusters, self.key, self.salts, self.partitions))
+            self.cells, self.feature_clusters, self.key, self.salts, self.partitions,
+            self.map_partitions))
 
     @property
     def stats(self) -> DataFrame:
@@ -81,7 +83,8 @@ class CohortAnalysis:
 
     def sample_features(self, background: DataFrame | None = None) -> DataFrame:
         return feat.sample_features(self.cells, self.feature_clusters, self.key, self.ranked,
-                                    self.k, background, self.salts, self.partitions)
+                                    self.k, background, self.salts, self.partitions,
+                                    self.map_partitions)
 
 
 # Join keys per column position: tasks of a shuffled position join are at least
@@ -211,20 +214,25 @@ def from_long(samples: DataFrame, cells: DataFrame, feature_clusters: DataFrame,
               code: str = "code", control: Iterable[str] = CONTROL_CODES,
               case: Iterable[str] = CASE_CODES, key: str = "feature_id",
               k: int = rank.TOP_K, unique_samples: bool = False,
-              partitions: int | None = None) -> CohortAnalysis:
+              partitions: int | None = None, sample_partitions: int | None = None,
+              map_partitions: int | None = None) -> CohortAnalysis:
     """Sample table ``(sample_id, code)`` + long cells ``(sample_id, key, value)``.
 
     Cells get their cohort through a join on ``sample_id``. Repeated sample rows
     count in the cohort size, but their cells count once; ``unique_samples``
     says that ``sample_id`` is a key of ``samples`` and saves making it one.
-    ``partitions``: tasks that sum the cells (default: as the session's shuffles).
+    ``partitions``: tasks that sum the cells; ``sample_partitions`` and ``map_partitions``:
+    tasks of their joins with many samples and with a large map (default of all three: as the
+    session's shuffles).
     """
     cohort = stats.assign_cohorts(samples, code, control, case).select("sample_id", "grp")
     return CohortAnalysis(
         cohort=cohort,
-        cells=stats.attach_cohort(cells, cohort if unique_samples else cohort.distinct()),
+        cells=stats.attach_cohort(cells, cohort if unique_samples else cohort.distinct(),
+                                  sample_partitions),
         feature_clusters=feature_clusters,
         key=key,
         k=k,
         partitions=partitions,
+        map_partitions=map_partitions,
     )

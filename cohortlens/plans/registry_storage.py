@@ -45,7 +45,7 @@ def half_analyses(spark, sf_dir):
             F.col("l_orderkey").alias("sample_id"), F.col("l_partkey").alias("feature_id"),
             F.col("l_quantity").cast("double").alias("value"))
         a = from_long(samples, cells, tables.long_membership(spark, sf_dir), unique_samples=True,
-                      partitions=tables.sum_partitions(spark, sf_dir))
+                      **tables.long_partitions(spark, sf_dir))
         a.cohort_sizes = stats.cohort_sizes(cohort.filter(F.pmod("sample_id", F.lit(2)) == half))
         yield a
 

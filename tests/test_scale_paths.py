@@ -8,6 +8,7 @@ the results do not change.
 
 import math
 import random
+import re
 from collections import defaultdict
 from contextlib import contextmanager
 
@@ -254,3 +255,24 @@ def test_sums_of_larger_tables_get_more_tasks_and_the_same_results(spark, tmp_pa
             assert (f", {parts}), REPARTITION_BY_NUM" in plan) == (n > 1)
     assert [sorted(QUERIES[name](spark, str(tmp_path)).collect()) for name in names] == before
     assert sorted(split.sample_features().collect()) == sorted(plain.sample_features().collect())
+
+
+def test_joins_of_long_cells_go_by_table_size(spark, monkeypatch):
+    """Joins with many orders, parts or customers have tasks by size, not by the session."""
+    sf_dir = SMOKE
+    names = ("cluster_scores", "t_scores_all", "sample_features")
+    before = [sorted(QUERIES[name](spark, sf_dir).collect(), key=str) for name in names]
+    monkeypatch.setattr(tables, "SUM_BYTES", 4096)
+    monkeypatch.setattr(tables, "JOIN_BYTES", 0)
+    parts = tables.long_partitions(spark, sf_dir)
+    assert set(parts.values()) == {tables.sum_partitions(spark, sf_dir)}
+    assert parts["partitions"] > 16  # more than the session's 8 shuffle partitions
+    for name in names:
+        df = QUERIES[name](spark, sf_dir)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin [sample_id" not in plan
+        for key in ("sample_id", "feature_id"):
+            sized = rf"hashpartitioning\({key}#\d+L, {parts['partitions']}\), REPARTITION_BY_NUM"
+            assert len(re.findall(sized, plan)) >= 2  # both sides of the join
+    after = [sorted(QUERIES[name](spark, sf_dir).collect(), key=str) for name in names]
+    assert after == before
