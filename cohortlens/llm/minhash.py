@@ -11,7 +11,8 @@ Candidates are tested without forming all pairs of a bucket. All members are
 tested against one hub, the member that shares most buckets with others; while a bucket has members outside its largest class,
 these become hubs too and are tested against every member of another class. A
 bucket is left when each member is in its largest class or has been a hub, so
-every link between different classes has been tested. In large buckets, pairs
+every link between different classes has been tested; later rounds read only the buckets
+that are left over, and a pair that shares several buckets is tested in one of them. In large buckets, pairs
 whose weights alone exclude a link (:func:`weight_limits`) need no test.
 """
 
@@ -39,9 +40,14 @@ COUNTERS = 131_072
 RANGE_PAIRS = 1 << 20
 #: Entries of the table of random numbers of one hash function.
 TABLE_BITS = 14
-#: A bucket of more members is large; also its further hubs in the first round of testing
-#: (four times as many in each next round).
+#: A bucket of more members is large; also its further hubs in the first round of testing.
 LARGE = 32
+#: So many times more hubs in each next round.
+MORE_HUBS = 32
+#: Pairs of texts that a task compares.
+PAIRS_AT_ONCE = 2048
+#: Edges whose components one task finds.
+FEW_EDGES = 10_000
 #: Room for rounding when sums of weights are compared.
 SLACK = 1e-6
 SEED = 29
@@ -281,6 +287,32 @@ def rare_frequencies(docs: DataFrame, frequent: np.ndarray, pairs: int) -> DataF
     return out
 
 
+def with_lists(texts: DataFrame, weights: Weights) -> DataFrame:
+    """``texts (node, text, …)`` plus ``rare_hash, rare_n``: the rare shingles of its reference.
+
+    Null for a text without rare shingles.
+    """
+    if weights.rare is None:
+        return texts.withColumns({"rare_hash": F.lit(None).cast("array<long>"),
+                                  "rare_n": F.lit(None).cast("array<int>")})
+    kept = texts.columns
+    lists = (weights.rare.groupBy("ref").agg(F.collect_list(F.struct("hash", "n")).alias("rare"))
+             .select("ref", F.col("rare.hash").alias("rare_hash"), F.col("rare.n").alias("rare_n")))
+    return texts.withColumn("ref", ref_of("node")).join(lists, "ref", "left").select(
+        *kept, "rare_hash", "rare_n")
+
+
+def aligned(hashes: np.ndarray, known: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Document frequencies of a text's sorted shingles, 1 for those that are not ``known``."""
+    own = np.ones(len(hashes), np.int32)
+    if len(hashes):  # a node of the same reference may have other shingles
+        known = np.asarray(known, np.int64).view(np.uint64)
+        at = np.minimum(np.searchsorted(hashes, known), len(hashes) - 1)
+        same = hashes[at] == known
+        own[at[same]] = np.asarray(n, np.int32)[same]
+    return own
+
+
 def with_rare(texts: DataFrame, weights: Weights) -> DataFrame:
     """``texts (node, text, …)`` plus ``found``: document frequencies of its sorted shingles.
 
@@ -288,32 +320,17 @@ def with_rare(texts: DataFrame, weights: Weights) -> DataFrame:
     """
     if weights.rare is None:
         return texts.withColumn("found", F.lit(None).cast("binary"))
-    texts = texts.withColumn("ref", ref_of("node"))
-    lists = (weights.rare.groupBy("ref").agg(F.collect_list(F.struct("hash", "n")).alias("rare"))
-             .select("ref", F.col("rare.hash").alias("rare_hash"), F.col("rare.n").alias("rare_n")))
-    kept = [c for c in texts.columns if c != "ref"]
+    kept = texts.columns
 
     def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = []
-            for text, known, n in zip(batch["text"], batch["rare_hash"], batch["rare_n"],
-                                      strict=True):
-                if known is None:
-                    found.append(None)
-                    continue
-                hashes, _, _ = shingle_sets([text])
-                own = np.ones(len(hashes), np.int32)
-                if len(hashes):  # a node of the same reference may have other shingles
-                    known = np.asarray(known, np.int64).view(np.uint64)
-                    at = np.minimum(np.searchsorted(hashes, known), len(hashes) - 1)
-                    same = hashes[at] == known
-                    own[at[same]] = np.asarray(n, np.int32)[same]
-                found.append(own.tobytes())
-            yield batch[kept].assign(found=found)
-
-    schema = ", ".join(f"{c} {t}" for c, t in texts.select(*kept).dtypes)
-    return texts.join(lists, "ref", "left").select(*kept, "rare_hash", "rare_n").mapInPandas(
-        tidy(align), f"{schema}, found binary")
+            yield batch[kept].assign(found=[
+                None if known is None else aligned(shingle_sets([text])[0], known, n).tobytes()
+                for text, known, n in zip(batch["text"], batch["rare_hash"], batch["rare_n"],
+                                          strict=True)])
+
+    schema = ", ".join(f"{c} {t}" for c, t in texts.dtypes)
+    return with_lists(texts, weights).mapInPandas(tidy(align), f"{schema}, found binary")
 
 
 def frequencies_of(found: list[bytes | None], sizes: np.ndarray) -> np.ndarray | None:
@@ -386,6 +403,7 @@ def node_of(text: Column) -> Column:
 def banded(docs: DataFrame, weights: Weights) -> DataFrame:
     """``doc_id, node, bands`` of all rows ``(doc_id, node, text)``."""
     shared = docs.sparkSession.sparkContext.broadcast(weights.table())
+    rare = weights.rare is not None
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = shared.value
@@ -394,7 +412,15 @@ def banded(docs: DataFrame, weights: Weights) -> DataFrame:
             for first, texts in slabs(batch["text"].tolist()):
                 hashes, counts, sizes = shingle_sets(texts)
                 last = first + len(texts)
-                found = frequencies_of(batch["found"].tolist()[first:last], sizes)
+                found = None
+                if rare:
+                    starts = np.cumsum(sizes) - sizes
+                    found = np.ones(len(hashes), np.int32)
+                    for at, size, own, n in zip(
+                            starts.tolist(), sizes.tolist(), batch["rare_hash"].array[first:last],
+                            batch["rare_n"].array[first:last], strict=True):
+                        if own is not None:
+                            found[at:at + size] = aligned(hashes[at:at + size], own, n)
                 bands = band_hashes(signatures(hashes, known.of(hashes, counts, found), sizes,
                                                known.ceiling)).view(np.int64)
                 rows = iter(bands)
@@ -402,7 +428,7 @@ def banded(docs: DataFrame, weights: Weights) -> DataFrame:
                     "doc_id": ids.array[first:last], "node": batch["node"].array[first:last],
                     "bands": [next(rows) if n else [] for n in sizes.tolist()]})
 
-    return with_rare(docs, weights).mapInPandas(
+    return with_lists(docs, weights).mapInPandas(
         tidy(sign), "doc_id long, node binary, bands array<long>")
 
 
@@ -419,7 +445,7 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 def verified(pairs: DataFrame, texts: DataFrame, weights: Weights, least: float) -> DataFrame:
     """The ``pairs`` (hub, node) whose texts are similar; a hot hub's pairs are split by Spark.
 
-    ``texts``: node, text and found (of :func:`with_rare`).
+    ``pairs`` are of :func:`written`; ``texts``: node, text and found (of :func:`with_rare`).
     """
     shared = pairs.sparkSession.sparkContext.broadcast(weights.table())
 
@@ -439,7 +465,9 @@ def verified(pairs: DataFrame, texts: DataFrame, weights: Weights, least: float)
                 keep.append(similarity(known, vector(text, found)) >= least)
             yield batch.loc[keep, ["hub", "node"]]
 
-    both = (pairs.join(texts, "node")
+    # few pairs are small as rows but not as work: tasks by their number
+    dealt = pairs.repartition(pairs.count() // PAIRS_AT_ONCE + 1).sortWithinPartitions("hub")
+    both = (dealt.join(texts, "node")
             .join(texts.select(F.col("node").alias("hub"), F.col("text").alias("hub_text"),
                                F.col("found").alias("hub_found")), "hub"))
     return both.select("hub", "node", "text", "found", "hub_text", "hub_found").mapInPandas(
@@ -448,13 +476,34 @@ def verified(pairs: DataFrame, texts: DataFrame, weights: Weights, least: float)
 
 # ---- components -------------------------------------------------------------
 
+def joined_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """``node, comp`` of few edges ``a, b``."""
+    above: dict[bytes, bytes] = {}
+
+    def top(node: bytes) -> bytes:
+        while above.setdefault(node, node) != node:
+            above[node] = node = above[above[node]]
+        return node
+
+    for batch in batches:
+        for a, b in zip(batch["a"], batch["b"], strict=True):
+            low, high = sorted((top(a), top(b)))
+            above[high] = low
+    yield pd.DataFrame({"node": list(above), "comp": [top(node) for node in above]})
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, comp`` of the nodes of ``edges (a, b)``: the smallest node of the component.
 
     Each round sets a node's label to the smallest among its neighbours' and
-    then to that label's own label, until nothing changes.
+    then to that label's own label, until nothing changes. Up to ``FEW_EDGES`` edges
+    are joined in one task.
     """
-    both = written(edges.select("a", "b").unionAll(edges.select("b", "a")).distinct(), "edges")
+    edges = written(edges.select("a", "b").distinct(), "edges")
+    if edges.limit(FEW_EDGES + 1).count() <= FEW_EDGES:
+        return written(edges.coalesce(1).mapInPandas(
+            tidy(joined_up), "node binary, comp binary"), "labels")
+    both = written(edges.unionAll(edges.select("b", "a")).distinct(), "edges")
     labels = written(both.groupBy(F.col("a").alias("node"))
                      .agg(F.least(F.min("b"), F.first("a")).alias("comp")), "labels")
     while True:
@@ -515,13 +564,15 @@ def linked_classes(nodes: DataFrame, docs: DataFrame, weights: Weights,
     spark = nodes.sparkSession
     rows = nodes.select("node", F.posexplode("bands").alias("band", "hash"))
     shared = (rows.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
-    buckets = written(rows.join(shared, ["band", "hash"]), "buckets")
+    buckets = written(rows.join(shared, ["band", "hash"])
+                      .withColumn("bucket", F.xxhash64("band", "hash")), "buckets")
     # a text in the middle of a group shares more bands than its edited copies do
-    degrees = buckets.groupBy("node").agg(F.sum("n").alias("degree"))
+    degrees = buckets.groupBy("node").agg(F.sum("n").alias("degree"),
+                                          F.collect_list("bucket").alias("own"))
     placed = buckets.join(degrees, "node").withColumn(
         "order", F.struct(-F.col("degree"), "node"))
     hubs = placed.groupBy("band", "hash").agg(F.min("order")["node"].alias("hub"))
-    members = written(placed.drop("degree").join(hubs, ["band", "hash"]), "members")
+    members = written(placed.drop("degree", "order").join(hubs, ["band", "hash"]), "members")
     texts = written(with_rare(
         docs.join(nodes.join(members.select("node").distinct(), "node")
                   .select("node", F.col("doc_id").alias("own")), "node")
@@ -532,34 +583,52 @@ def linked_classes(nodes: DataFrame, docs: DataFrame, weights: Weights,
     links = written(verified(tested, texts, weights, least), "links")
     release(spark)
     classes = components(links.select(F.col("hub").alias("a"), F.col("node").alias("b")))
-    used = members.select("band", "hash", F.col("hub").alias("node")).distinct()
+    used = members.filter("node = hub").select("node", "bucket")
     limits = weight_limits(buckets, texts, weights)
+    members = members.drop("band", "hash", "hub").join(limits, "node", "left")
     hubs_now = LARGE
     while True:
-        placed = (members.select("band", "hash", "n", "node", "order").join(classes, "node", "left")
-                  .withColumn("comp", F.coalesce("comp", "node")).join(limits, "node", "left"))
-        placed = written(placed, "placed")
-        largest = (placed.groupBy("band", "hash", "comp").agg(F.count(F.lit(1)).alias("n"))
-                   .groupBy("band", "hash")
-                   .agg(F.max_by("comp", "n").alias("main"), F.count(F.lit(1)).alias("classes"))
-                   .filter("classes > 1").drop("classes"))
-        outside = (placed.join(largest, ["band", "hash"]).filter("comp != main").drop("main")
-                   .filter((F.col("n") <= LARGE) | (F.col("known") >= least * F.col("all") - SLACK))
-                   .join(used, ["band", "hash", "node"], "left_anti"))
-        order = Window.partitionBy("band", "hash").orderBy("order")
-        chosen = written(outside.withColumn("rank", F.row_number().over(order))
-                         .filter(F.col("rank") <= hubs_now).drop("rank"), "hubs")
-        if chosen.isEmpty():
+        led = used.groupBy("node").agg(F.collect_set("bucket").alias("led"))
+        placed = written(
+            members.join(classes, "node", "left").join(led, "node", "left")
+            .withColumns({"comp": F.coalesce("comp", "node"),
+                          "led": F.coalesce("led", F.array().cast("array<long>"))})
+            .withColumn("able", ~F.array_contains("led", F.col("bucket")) & (
+                (F.col("n") <= LARGE) | (F.col("known") >= least * F.col("all") - SLACK))),
+            "placed")
+        # members outside the bucket's largest class that may have links and were no hubs yet
+        outside = (placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("size"),
+                                                        F.count_if("able").alias("able"))
+                   .groupBy("bucket").agg(
+                       F.max_by(F.struct("comp", "able"), "size").alias("main"),
+                       F.sum("able").alias("able"), F.count(F.lit(1)).alias("classes"))
+                   .select("bucket", F.col("main.comp").alias("main"), "classes",
+                           (F.col("able") - F.col("main.able")).alias("outside"))
+                   .filter("classes > 1 and outside > 0").drop("classes"))
+        # as many as hubs_now of a bucket, more or less; the same texts in all their buckets
+        chance = F.pmod(F.xxhash64("node"), F.lit(1 << 20)) / float(1 << 20)
+        chosen = written(
+            placed.join(outside, "bucket").filter(
+                F.col("able") & (F.col("comp") != F.col("main"))
+                & (chance * F.col("outside") < hubs_now))
+            .select("bucket", "node", "comp", "all", "known", "own", "led", "outside"), "hubs")
+        open_ = outside.filter(F.col("outside") > hubs_now).select("bucket")
+        ended = open_.isEmpty()
+        if ended and chosen.isEmpty():
             return classes
-        both = (chosen.alias("h").join(placed.alias("m"), (
-            (F.col("h.band") == F.col("m.band")) & (F.col("h.hash") == F.col("m.hash"))
-            & (F.col("h.comp") != F.col("m.comp"))
+        now = chosen.groupBy("node").agg(F.collect_list("bucket").alias("now"))
+        # a pair that shares several buckets is tested once: not if either led one of them
+        # before, and in the first of those that its hub leads now
+        both = chosen.join(now, "node").alias("h").join(placed.alias("m"), (
+            (F.col("h.bucket") == F.col("m.bucket")) & (F.col("h.comp") != F.col("m.comp"))
             & ((F.col("m.n") <= LARGE) | (
                 F.least("h.known", "m.known") >= least / (1 + least)
-                * (F.col("h.all") + F.col("m.all")) - SLACK)))))
+                * (F.col("h.all") + F.col("m.all")) - SLACK))
+            & ~F.arrays_overlap("h.led", "m.own") & ~F.arrays_overlap("m.led", "h.own")
+            & (F.col("h.bucket") == F.array_min(F.array_intersect("h.now", "m.own")))))
         pairs = both.select(F.least("h.node", "m.node").alias("hub"),
-                            F.greatest("h.node", "m.node").alias("node")).distinct()
-        pairs = written(pairs.join(tested, ["hub", "node"], "left_anti"), "pairs")
+                            F.greatest("h.node", "m.node").alias("node"))
+        pairs = written(pairs.distinct(), "pairs")
         links = written(verified(pairs, texts, weights, least), "links")
         if not links.isEmpty():
             named = classes.select(F.col("node"), "comp")
@@ -574,9 +643,11 @@ def linked_classes(nodes: DataFrame, docs: DataFrame, weights: Weights,
                 .join(classes, "node", "left_anti").distinct().select("node", F.col("node")))
             classes = written(everyone.toDF("node", "comp").join(merged_, "comp", "left").select(
                 "node", F.coalesce("to", "comp").alias("comp")), "classes")
-        tested = tested.unionAll(pairs)
-        used = used.unionAll(chosen.select("band", "hash", "node"))
-        hubs_now *= 4
+        if ended:
+            return classes
+        members = placed.drop("comp", "led", "able").join(open_, "bucket", "left_semi")
+        used = used.unionAll(chosen.select("node", "bucket"))
+        hubs_now *= MORE_HUBS
         release(spark)
 
 

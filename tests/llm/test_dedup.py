@@ -288,6 +288,36 @@ def test_buckets_of_several_classes_are_tested_to_the_end(docs, monkeypatch, lar
     assert {(min(g), len(g)) for g in groups.values()} == set(expect.values())
 
 
+@pytest.mark.parametrize("few", [0, 1000])
+def test_later_rounds_read_only_open_buckets(docs, monkeypatch, few):
+    rnd = random.Random(9)
+    texts = []
+    for _ in range(5):
+        words = [f"w{rnd.randrange(500)}" for _ in range(60)]
+        texts += [" ".join([*words, f"end{i}"]) for i in range(6)]
+    texts = list(enumerate(texts))
+    seen, before = [], minhash.written
+
+    def written(df, name):
+        out = before(df, name)
+        if name == "placed":
+            seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(minhash, "written", written)
+    monkeypatch.setattr(minhash, "LARGE", 4)
+    monkeypatch.setattr(minhash, "FEW_EDGES", few, raising=False)
+    rows = docs(texts).select("doc_id", minhash.node_of(minhash.text_of("text")).alias("node"),
+                              "text")
+    weights = minhash.shingle_weights(rows.select("text"))
+    # all meet in one bucket, those of a family also in one of theirs
+    nodes = rows.selectExpr("node", "doc_id", "array(0L, doc_id div 6) as bands")
+    classes = {bytes(r.node): bytes(r.comp)
+               for r in minhash.linked_classes(nodes, rows, weights).collect()}
+    assert len(classes) == 30 and len(set(classes.values())) == 5
+    assert seen[0] == 60 and seen[1:] and max(seen[1:]) <= 30
+
+
 def test_sampling_collides_with_the_weighted_similarity():
     rnd = np.random.default_rng(3)
     hashes = np.sort(rnd.integers(0, 1 << 63, 400, dtype=np.uint64) * np.uint64(2))
