@@ -39,13 +39,14 @@ def half_analyses(spark, sf_dir):
     """
     samples, obs = tables.long_samples(spark, sf_dir), tables.table(spark, sf_dir, "lineitem")
     cohort = stats.assign_cohorts(samples).select("sample_id", "grp")
+    partitions = tables.long_partitions(spark, sf_dir)
     for half in (0, 1):
         early = F.col("l_linenumber") <= HALF_LINE
         cells = obs.filter(early if half == 0 else ~early).select(
             F.col("l_orderkey").alias("sample_id"), F.col("l_partkey").alias("feature_id"),
             F.col("l_quantity").cast("double").alias("value"))
         a = from_long(samples, cells, tables.long_membership(spark, sf_dir), unique_samples=True,
-                      **tables.long_partitions(spark, sf_dir))
+                      **partitions)
         a.cohort_sizes = stats.cohort_sizes(cohort.filter(F.pmod("sample_id", F.lit(2)) == half))
         yield a
 
