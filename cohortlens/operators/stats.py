@@ -49,15 +49,16 @@ def cohort_sizes(cohort: DataFrame) -> DataFrame:
 
 def merge_join(left: DataFrame, right: DataFrame, keys: list[str],
                partitions: int | None = None) -> DataFrame:
-    """``left ⋈ right`` on ``keys``; with ``partitions`` a sort-merge join in so many tasks.
+    """``left ⋈ right`` on ``keys``; with ``partitions`` a shuffled hash join in so many tasks.
 
-    The sorts of a task take memory by its share of the rows, and with the session's
-    shuffle partitions that share grows with the tables.
+    A task keeps its share of ``right`` (whose keys are few rows each) and streams its rows
+    of ``left``, so a key that holds a large share of ``left`` takes no memory, as it would
+    in a sort. With the session's shuffle partitions these shares grow with the tables.
     """
     if partitions is None:
         return left.join(right, keys)
     return left.repartition(partitions, *keys).join(
-        right.repartition(partitions, *keys).hint("merge"), keys)
+        right.repartition(partitions, *keys).hint("shuffle_hash"), keys)
 
 
 def attach_cohort(obs: DataFrame, cohort: DataFrame, partitions: int | None = None) -> DataFrame:

@@ -305,3 +305,32 @@ def test_tasks_go_by_rows_where_files_are_small(spark, tmp_path):
     cols = [d[0] for d in res.description]
     expect = sorted(tuple(_norm(v) for v in r) for r in res.fetchall())
     assert sorted(tuple(_norm(v) for v in r) for r in df.select(*cols).collect()) == expect
+
+
+def test_joins_by_size_sort_no_cells(spark, tmp_path, monkeypatch):
+    """A task of a join by size keeps its orders or parts, not the cells of a hot one."""
+    _skewed_tables(spark, tmp_path)
+    monkeypatch.setattr(tables, "SUM_BYTES", 4096)
+    monkeypatch.setattr(tables, "JOIN_BYTES", 0)
+    con = duckdb.connect()
+    for t in ("orders", "lineitem", "part"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    df = QUERIES["cohort_stats"](spark, str(tmp_path))
+    rows = df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert len(re.findall(r"ShuffledHashJoin \[\w+#\d+L\], \[\w+#\d+L\], Inner, BuildRight", plan)) == 2
+    assert "SortMergeJoin" not in plan
+    res = con.execute(se.oracle_sql()["cohort_stats"])
+    cols = [d[0] for d in res.description]
+    at = [df.columns.index(c) for c in cols]
+    assert sorted(tuple(_norm(r[i]) for i in at) for r in rows) == sorted(
+        tuple(_norm(v) for v in r) for r in res.fetchall())
+
+
+def test_joins_by_size_go_by_the_larger_table(spark, tmp_path):
+    """Many orders of few line items: a task keeps its share of the orders in memory."""
+    _skewed_tables(spark, tmp_path)
+    spark.range(600_000).selectExpr("id AS o_orderkey", "'1-URGENT' AS o_orderpriority").coalesce(
+        1).write.mode("overwrite").parquet(f"{tmp_path}/orders.parquet")
+    assert tables.long_partitions(spark, str(tmp_path)) == {
+        "partitions": None, "sample_partitions": 3, "map_partitions": None}
